@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries_features  # noqa: F401  (registers on import)
+from . import queries_features, queries_quality  # noqa: F401  (register on import)
 from .registry import QUERIES, SQL, Query
 
 

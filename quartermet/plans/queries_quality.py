@@ -11,7 +11,7 @@ from ..operators import features as feats
 from . import views
 from .registry import query
 from .sql import NAMES, with_views
-from .views import curated
+from .views import curated, curated_table
 
 G = "station_id, year, quarter, dataset_version"
 
@@ -87,17 +87,16 @@ def null_share(spark, sf_dir):
          FROM f_temperature""",
 )
 def null_counts(spark, sf_dir):
-    rows = curated(spark, sf_dir)["temperature"]
+    rows = curated_table(spark, sf_dir, "temperature")
     return quality.null_counts(rows, "temp_mean_c", "temp_stddev_c", "heating_degree_days")
 
 
 # -------------------------------------------------------------- continuity
 
-def _well_observed(spark, sf_dir, least=12):
+def _well_observed(spark, sf_dir, least=12, names=NAMES):
     """Feature rows resting on enough hours; the rest count as absent."""
-    return {
-        n: t.where(F.col("count_observations") >= least) for n, t in curated(spark, sf_dir).items()
-    }
+    enough = F.col("count_observations") >= least
+    return {n: curated_table(spark, sf_dir, n).where(enough) for n in names}
 
 
 @query(
@@ -154,7 +153,7 @@ def completeness_matrix(spark, sf_dir):
          ON a.year = b.year AND a.quarter = b.quarter""",
 )
 def alignment(spark, sf_dir):
-    t = _well_observed(spark, sf_dir)
+    t = _well_observed(spark, sf_dir, names=("temperature", "humidity"))
     return quality.alignment(t["temperature"], t["humidity"])
 
 
@@ -221,7 +220,7 @@ def _valid_sql(n: str) -> str:
 
 @query("dq_range_counts", _valid_sql("temperature"))
 def range_counts(spark, sf_dir):
-    return quality.range_counts(curated(spark, sf_dir)["temperature"], "temperature")
+    return quality.range_counts(curated_table(spark, sf_dir, "temperature"), "temperature")
 
 
 @query(
@@ -236,7 +235,7 @@ def range_counts(spark, sf_dir):
           FROM f_wind""",
 )
 def expected_hours(spark, sf_dir):
-    return rounded(quality.hour_coverage(curated(spark, sf_dir)["wind"]))
+    return rounded(quality.hour_coverage(curated_table(spark, sf_dir, "wind")))
 
 
 @query(
@@ -249,7 +248,7 @@ def expected_hours(spark, sf_dir):
           WHERE count_observations > 0 AND (temp_mean_c IS NULL OR temp_stddev_c IS NULL)""",
 )
 def contract_alerts(spark, sf_dir):
-    rows = enrich.with_quarter_bounds(curated(spark, sf_dir)["temperature"])
+    rows = enrich.with_quarter_bounds(curated_table(spark, sf_dir, "temperature"))
     return quality.contract_alerts(rows, ("temp_mean_c", "temp_stddev_c"))
 
 
@@ -276,7 +275,7 @@ def missing_by_month(spark, sf_dir):
 )
 def orphans(spark, sf_dir):
     active = views.stations(spark, sf_dir).where("is_active")
-    return quality.unknown_stations(curated(spark, sf_dir)["temperature"], active)
+    return quality.unknown_stations(curated_table(spark, sf_dir, "temperature"), active)
 
 
 @query(
@@ -287,7 +286,7 @@ def orphans(spark, sf_dir):
 )
 def orphan_count(spark, sf_dir):
     active = views.stations(spark, sf_dir).where("is_active")
-    return quality.orphan_count(curated(spark, sf_dir)["temperature"], active, "station_id")
+    return quality.orphan_count(curated_table(spark, sf_dir, "temperature"), active, "station_id")
 
 
 @query(
@@ -298,7 +297,7 @@ def orphan_count(spark, sf_dir):
              OR make_date(year, quarter * 3, 28) > end_date""",
 )
 def active_dates(spark, sf_dir):
-    rows = curated(spark, sf_dir)["temperature"].select(*KEY)
+    rows = curated_table(spark, sf_dir, "temperature").select(*KEY)
     return quality.outside_active_dates(rows, views.stations(spark, sf_dir))
 
 
@@ -314,10 +313,9 @@ def duplicates(spark, sf_dir):
 
 
 def _undeduplicated(spark, sf_dir):
-    hours = (F.col("l_linenumber") - 1) + 7 * (F.col("l_orderkey") % 3).cast("int")
-    return views.table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("int").alias(STATION),
-        (F.col("l_shipdate") + F.make_dt_interval(hours=hours)).alias("timestamp"),
+    return views.table(spark, sf_dir, "lineitem").selectExpr(
+        f"CAST(l_suppkey AS INT) AS {STATION}",
+        f"{views.LINE_HOUR} AS timestamp",
         "l_orderkey",
         "l_partkey",
         "l_linenumber",
@@ -353,7 +351,7 @@ def dedupe_latest(spark, sf_dir):
          FROM f_temperature""",
 )
 def type_change_check(spark, sf_dir):
-    rows = rounded(curated(spark, sf_dir)["temperature"].select("temp_mean_c"))
+    rows = rounded(curated_table(spark, sf_dir, "temperature").select("temp_mean_c"))
     exact = rows.select(F.col("temp_mean_c").cast("decimal(18,6)").alias("temp_mean_c"))
     return quality.type_change(exact, "temp_mean_c", "decimal(4,2)")
 
@@ -388,7 +386,7 @@ _PAGE = "station_id, year, quarter, dataset_version, count_observations, count_m
           ORDER BY year DESC, quarter DESC, station_id, dataset_version LIMIT 50 OFFSET 25""",
 )
 def feature_page(spark, sf_dir):
-    rows = curated(spark, sf_dir)["wind"].select(*_PAGE.split(", "))
+    rows = curated_table(spark, sf_dir, "wind").select(*_PAGE.split(", "))
     return serving.feature_page(rows, 50, 25, quarter=3, min_year=1996, max_year=2000)
 
 
@@ -398,7 +396,7 @@ def feature_page(spark, sf_dir):
     + "SELECT count(*) AS total FROM f_wind WHERE year >= 1996 AND year <= 2000 AND quarter = 3",
 )
 def feature_total(spark, sf_dir):
-    rows = curated(spark, sf_dir)["wind"]
+    rows = curated_table(spark, sf_dir, "wind")
     return serving.total(serving.filter_features(rows, quarter=3, min_year=1996, max_year=2000))
 
 
@@ -409,7 +407,7 @@ def feature_total(spark, sf_dir):
           WHERE station_id = 7 ORDER BY year, quarter, dataset_version LIMIT 1000""",
 )
 def station_series(spark, sf_dir):
-    rows = curated(spark, sf_dir)["precipitation"].select(*_PAGE.split(", "), "precip_total_mm")
+    rows = curated_table(spark, sf_dir, "precipitation").select(*_PAGE.split(", "), "precip_total_mm")
     return rounded(serving.station_series(rows, 7, limit=1000))
 
 
@@ -447,7 +445,7 @@ def station_total(spark, sf_dir):
            min(quarter) AS min_quarter, max(quarter) AS max_quarter FROM f_wind""",
 )
 def product_stats(spark, sf_dir):
-    return serving.feature_stats(curated(spark, sf_dir)["wind"], "wind")
+    return serving.feature_stats(curated_table(spark, sf_dir, "wind"), "wind")
 
 
 @query(
@@ -510,7 +508,7 @@ def freshness(spark, sf_dir):
          FROM f_humidity GROUP BY station_id ORDER BY latest_data DESC, station_id LIMIT 20""",
 )
 def latest_per_station(spark, sf_dir):
-    rows = enrich.with_quarter_bounds(curated(spark, sf_dir)["humidity"].select("station_id", "year", "quarter"))
+    rows = enrich.with_quarter_bounds(curated_table(spark, sf_dir, "humidity").select("station_id", "year", "quarter"))
     return serving.latest_per_station(rows)
 
 
@@ -523,7 +521,7 @@ def latest_per_station(spark, sf_dir):
            round(avg(temp_stddev_c), 6) AS avg_value FROM f_temperature""",
 )
 def value_summary(spark, sf_dir):
-    return rounded(serving.value_summary(curated(spark, sf_dir)["temperature"], "temp_stddev_c"))
+    return rounded(serving.value_summary(curated_table(spark, sf_dir, "temperature"), "temp_stddev_c"))
 
 
 @query(
@@ -533,7 +531,7 @@ def value_summary(spark, sf_dir):
          FROM f_temperature WHERE missingness_ratio > 0.2""",
 )
 def missingness_report(spark, sf_dir):
-    return rounded(serving.missingness_report(curated(spark, sf_dir)["temperature"]))
+    return rounded(serving.missingness_report(curated_table(spark, sf_dir, "temperature")))
 
 
 @query(
@@ -542,7 +540,7 @@ def missingness_report(spark, sf_dir):
     + "SELECT year, quarter, count(*) AS row_count FROM f_pressure GROUP BY year, quarter",
 )
 def counts_by_quarter(spark, sf_dir):
-    return serving.counts_by_quarter(curated(spark, sf_dir)["pressure"])
+    return serving.counts_by_quarter(curated_table(spark, sf_dir, "pressure"))
 
 
 @query(
@@ -576,7 +574,7 @@ def table_sizes(spark, sf_dir):
          GROUP BY ALL""",
 )
 def derive_stations(spark, sf_dir):
-    rows = curated(spark, sf_dir)["wind"].select(*KEY)
+    rows = curated_table(spark, sf_dir, "wind").select(*KEY)
     return rounded(serving.derive_stations(enrich.with_stations(rows, views.stations(spark, sf_dir))))
 
 

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from . import queries_features, queries_quality  # noqa: F401  (register on import)
+from . import (  # noqa: F401  (register on import)
+    queries_catalog,
+    queries_features,
+    queries_quality,
+    queries_requests,
+)
 from .registry import QUERIES, SQL, Query
 
 

@@ -263,7 +263,7 @@ view(
     "version_events",
     (),
     """SELECT o_orderkey AS version_id, 'dataset_' || o_custkey AS dataset_name,
-              'v' || o_orderkey AS version, o_orderdate AS at, 0::BIGINT AS step,
+              'v' || o_orderkey AS version, o_orderdate AS moment, 0::BIGINT AS step,
               'pending' AS status, NULL::BIGINT AS record_count, NULL::BIGINT AS total_size_bytes
        FROM orders
        UNION ALL

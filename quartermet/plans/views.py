@@ -7,6 +7,11 @@ versions and schema registrations.  Every view reads its whole table.
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,45 +37,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------- observations
 
-def _measures() -> dict[str, Column]:
-    order, line, qty = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity")
-    discount, price = F.col("l_discount"), F.col("l_extendedprice")
-
-    def every(n: int) -> Column:
-        return order % n == 0
-
-    rain = F.round(F.greatest(discount - 0.05, F.lit(0.0)) * 100, 1)
-    temperature = F.when(line == 7, -999.0).when(every(97), qty + 40).otherwise(qty - 25)
-    return {
-        "QN": (1 + order % 10).cast("int"),
-        "TT_TU": temperature,
-        "RF_TU": F.when(every(109), 104.0).otherwise(F.round(20 + discount * 800, 6)),
-        "R1": F.when(every(101), -1.0).otherwise(rain),
-        "RS_IND": F.when(discount > 0.055, 1).otherwise(0),
-        "WRTR": line,
-        "F": F.when(every(103), 160.0).otherwise(qty / 4),
-        "D": F.when(every(11), -999).otherwise((F.col("l_partkey") * 37 % 361).cast("int")),
-        "P": F.when(every(107), 800.0).otherwise(qty + 985),
-        "P0": qty + 993,
-        "TF_TU": qty - 31.5,
-        "V_N": (line + 1).cast("double"),
-        "V_N_I": F.col("l_returnflag"),
-        "ATMO_STRAHL": F.floor(price / 800).cast("double"),
-        "FD_STRAHL": F.floor(price / 1000).cast("double"),
-        "FG_STRAHL": F.floor(price / 500).cast("double"),
-    }
-
-
-def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per station and hour with all measures; unused ones are pruned."""
-    made = _measures()
-    hours = (F.col("l_linenumber") - 1) + 7 * (F.col("l_orderkey") % 3).cast("int")
-    rows = table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("int").alias(STATION),
-        (F.col("l_shipdate") + F.make_dt_interval(hours=hours)).alias("timestamp"),
-        *[c.alias(n) for n, c in made.items()],
+#: measure -> expression over a line
+MEASURES = {
+    "QN": "CAST(1 + l_orderkey % 10 AS INT)",
+    "TT_TU": "CASE WHEN l_linenumber = 7 THEN -999D WHEN l_orderkey % 97 = 0 "
+    "THEN l_quantity + 40 ELSE l_quantity - 25 END",
+    "RF_TU": "CASE WHEN l_orderkey % 109 = 0 THEN 104D ELSE round(20 + l_discount * 800, 6) END",
+    "R1": "CASE WHEN l_orderkey % 101 = 0 THEN -1D "
+    "ELSE round(greatest(l_discount - 0.05D, 0D) * 100, 1) END",
+    "RS_IND": "CASE WHEN l_discount > 0.055D THEN 1 ELSE 0 END",
+    "WRTR": "l_linenumber",
+    "F": "CASE WHEN l_orderkey % 103 = 0 THEN 160D ELSE l_quantity / 4 END",
+    "D": "CASE WHEN l_orderkey % 11 = 0 THEN -999 ELSE CAST(l_partkey * 37 % 361 AS INT) END",
+    "P": "CASE WHEN l_orderkey % 107 = 0 THEN 800D ELSE l_quantity + 985 END",
+    "P0": "l_quantity + 993",
+    "TF_TU": "l_quantity - 31.5D",
+    "V_N": "CAST(l_linenumber + 1 AS DOUBLE)",
+    "V_N_I": "l_returnflag",
+    "ATMO_STRAHL": "CAST(floor(l_extendedprice / 800) AS DOUBLE)",
+    "FD_STRAHL": "CAST(floor(l_extendedprice / 1000) AS DOUBLE)",
+    "FG_STRAHL": "CAST(floor(l_extendedprice / 500) AS DOUBLE)",
+}
+
+LINE_HOUR = (
+    "l_shipdate + make_dt_interval(0, CAST(l_linenumber - 1 + 7 * (l_orderkey % 3) AS INT))"
+)
+
+
+def hourly(spark: SparkSession, sf_dir: str, *measures: str) -> DataFrame:
+    """One row per station and hour with the measures asked for."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        f"CAST(l_suppkey AS INT) AS {STATION}",
+        f"{LINE_HOUR} AS timestamp",
+        *[f"{MEASURES[n]} AS {n}" for n in measures],
     )
-    return rows.groupBy(STATION, "timestamp").agg(*[F.max(n).alias(n) for n in made])
+    if not measures:
+        return rows.distinct()
+    return rows.groupBy(STATION, "timestamp").agg(*[F.max(n).alias(n) for n in measures])
 
 
 def parsed(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
@@ -78,7 +81,7 @@ def parsed(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
     schema = PRODUCT_SCHEMAS[product]
     quality = quality_column(product)
     return (
-        hourly(spark, sf_dir)
+        hourly(spark, sf_dir, "QN", *schema.names[3:])
         .withColumnRenamed("QN", quality)
         .withColumn(OBSERVED, F.date_format("timestamp", OBSERVED_FORMAT))
         .select(*schema.names, "timestamp")
@@ -103,9 +106,12 @@ def product_features(
 
 def curated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Feature tables of all five products by curated name."""
-    return {
-        name: product_features(spark, sf_dir, product) for product, name in CURATED_NAMES.items()
-    }
+    return {n: curated_table(spark, sf_dir, n) for n in CURATED_NAMES.values()}
+
+
+def curated_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    product = next(p for p, n in CURATED_NAMES.items() if n == name)
+    return product_features(spark, sf_dir, product)
 
 
 def raw_lines(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
@@ -286,3 +292,37 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     given = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("page"), "html")
     return given.unionByName(derived)
+
+
+# --------------------------------------------------------------- archives
+
+def _zip_text(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """One archive per text, holding it and a metadata file."""
+    for batch in texts:
+        made = []
+        for text in batch:
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                # A fixed date: the same text must give the same bytes when a task is repeated.
+                for name, content in (("Metadaten_Parameter.txt", "Parameter\n"), ("produkt.txt", text)):
+                    member = zipfile.ZipInfo(name, date_time=(2024, 1, 1, 0, 0, 0))
+                    archive.writestr(member, content, zipfile.ZIP_DEFLATED)
+            made.append(buffer.getvalue())
+        yield pd.Series(made)
+
+
+def archive_files(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
+    """An archive per station and year (path, content, rows).
+
+    Rows are unique per station and hour, so an archive holds at most 8,784 lines.
+    """
+    zipped = F.pandas_udf(_zip_text, "binary")
+    lines = raw_lines(spark, sf_dir, product).groupBy(STATION, F.year("timestamp").alias("year")).agg(
+        F.array_sort(F.collect_list("value")).alias("lines"), F.count(F.lit(1)).alias("rows")
+    )
+    text = F.concat(F.lit(header_line(product) + "\n"), F.array_join("lines", "\n"), F.lit("\n"))
+    return lines.select(
+        F.format_string("station_%05d/%d.zip", F.col(STATION), F.col("year")).alias("path"),
+        zipped(text).alias("content"),
+        "rows",
+    )

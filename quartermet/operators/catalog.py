@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_json, content_hash
+from ..functions.ranking import number_by_time
 from ..model import COMPATIBILITY_MODES, VERSION_STATES
 
 SCHEMA = ("schema_name", "version")
@@ -44,9 +45,9 @@ def register_schemas(existing: DataFrame | None, requests: DataFrame) -> DataFra
     A definition already registered under its name keeps its version; others
     are numbered on from the highest one, in the order they were asked for.
     """
-    fresh = _new_definitions(existing, requests)
-    order = Window.partitionBy("schema_name").orderBy("created_at", "request_id")
-    number = F.row_number().over(order)
+    fresh, number = number_by_time(
+        _new_definitions(existing, requests), ["schema_name"], "created_at", ["request_id"]
+    )
     if existing is not None:
         top = existing.groupBy("schema_name").agg(F.max("version").alias("_top"))
         fresh = fresh.join(top, "schema_name", "left")
@@ -74,18 +75,26 @@ def assigned_versions(registry: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def consecutive_versions(registry: DataFrame) -> DataFrame:
-    """Each version beside the one before it."""
-    order = Window.partitionBy("schema_name").orderBy("version")
-    return registry.select(
+    """Each version beside the one before it.
+
+    Versions are numbered without holes, so the one before is found by number:
+    a join that spreads over versions, not a window over a whole schema.
+    """
+    before = registry.select(
+        "schema_name",
+        (F.col("version") + 1).alias("to_version"),
+        F.col("version").alias("from_version"),
+        F.col("fields").alias("old_fields"),
+    )
+    later = registry.select(
         "schema_name",
-        F.lag("version").over(order).alias("from_version"),
         F.col("version").alias("to_version"),
-        F.lag("fields").over(order).alias("old_fields"),
         F.col("fields").alias("new_fields"),
         "compatibility_mode",
         "created_at",
         "created_by",
     )
+    return later.join(before, ["schema_name", "to_version"], "left")
 
 
 def _names(fields: str) -> Column:

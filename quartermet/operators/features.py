@@ -10,7 +10,8 @@ percentiles of a product come from one digest.  Wind needs a single aggregate:
 its direction mode is taken from sixteen counters, not from a second grouping
 with a window and a join.  Temperature adds a day-level branch (24 rows become
 one) and precipitation its spells; each is joined once on the group key, both
-sides one row per group and partitioned alike.
+sides one row per group and partitioned alike.  Rows without station or time
+belong to no group: staging sets them apart (``cleaning.split_rejects``).
 """
 
 from __future__ import annotations
@@ -115,7 +116,9 @@ def temperature(
         *more,
     )
     hourly = hourly.withColumns(_unpack(temp_q25_c=0, temp_median_c=1, temp_q75_c=2))
-    out = _finish(hourly.join(degree_days(temperature_days(rows), profile), list(GROUP), "left"))
+    # Both sides have the same groups.  An inner join lets Spark give both the same
+    # key filters, so what lies below the two groupings is planned, and run, once.
+    out = _finish(hourly.join(degree_days(temperature_days(rows), profile), list(GROUP)))
     if extras:
         out = out.withColumns(
             {
@@ -156,7 +159,7 @@ def precipitation(
         break_on_gap=break_on_gap,
         one_row_per_hour=one_row_per_hour,
     )
-    return _finish(hourly.join(spells, list(GROUP), "left"))
+    return _finish(hourly.join(spells, list(GROUP)))
 
 
 # ------------------------------------------------------------------ wind

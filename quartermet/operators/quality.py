@@ -314,10 +314,10 @@ def unknown_stations(rows: DataFrame, stations: DataFrame, key: str = "station_i
 
 
 def orphan_count(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Number of rows whose key the parent table lacks."""
-    return rows.join(parents.select(key), key, "left_anti").agg(
-        F.count(F.lit(1)).alias("orphaned_rows")
-    )
+    """Number of rows whose key the parent table lacks; rows are counted per key first."""
+    per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    lost = per_key.join(parents.select(key), key, "left_anti")
+    return lost.agg(F.coalesce(F.sum("_n"), F.lit(0).cast("bigint")).alias("orphaned_rows"))
 
 
 def unknown_versions(features: DataFrame, versions: DataFrame) -> DataFrame:
@@ -343,7 +343,6 @@ def missing_products(objects: DataFrame, expected: tuple[str, ...] | None = None
     names = expected or ("air_temperature", "precipitation", "wind", "pressure", "moisture")
     have = objects.select("path_variable").distinct()
     want = F.explode(F.array(*[F.lit(n) for n in names])).alias("path_variable")
-    # Start from the objects' own session; one row, unfolded to the names.
     wanted = objects.sparkSession.range(1).select(want)
     return wanted.join(have, "path_variable", "left_anti")
 

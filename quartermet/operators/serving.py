@@ -134,11 +134,12 @@ def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
 
 def freshness(tables: dict[str, DataFrame]) -> DataFrame:
     """Latest quarter present per product."""
-    latest = tagged(tables, *PERIOD).groupBy("product").agg(F.max(F.struct(*PERIOD)).alias("latest"))
+    number = F.col("year") * 4 + F.col("quarter") - 1  # quarters in one running number
+    latest = tagged(tables, *PERIOD).groupBy("product").agg(F.max(number).alias("latest"))
     return latest.select(
         "product",
-        F.col("latest.year").alias("latest_year"),
-        F.col("latest.quarter").alias("latest_quarter"),
+        F.floor(F.col("latest") / 4).cast("int").alias("latest_year"),
+        (F.col("latest") % 4 + 1).alias("latest_quarter"),
     )
 
 

@@ -59,12 +59,12 @@ _register_features()
 
 
 @query(
-    "precipitation_features_any_input",
+    "precipitation_features_by_day_masks",
     features_sql("precipitation"),
 )
-def precipitation_any_input(spark, sf_dir):
-    """Spells by hour counts: no promise about repeated hours needed."""
-    out = views.product_features(spark, sf_dir, "precipitation", one_row_per_hour=False)
+def precipitation_by_day_masks(spark, sf_dir):
+    """Spells by day masks: the view has one row per station and hour."""
+    out = views.product_features(spark, sf_dir, "precipitation", one_row_per_hour=True)
     return rounded(out.select(*G.split(", "), *FEATURE_COLUMNS["precipitation"]))
 
 
@@ -125,7 +125,7 @@ def degree_days(spark, sf_dir):
 def all_spells(spark, sf_dir):
     rows = views.staged(spark, sf_dir, "precipitation").where("quality_acceptable")
     wet = F.coalesce(F.col("R1") > 0, F.lit(False)).alias("is_wet")
-    runs = spells(rows.select(*GROUP, "timestamp", wet), one_row_per_hour=True)
+    runs = spells(rows.select(*GROUP, "timestamp", wet))
     return runs.select(
         F.col(STATION).alias("station_id"),
         "year", "quarter", "dataset_version", "is_wet", "length", "first_hour", "last_hour",

@@ -99,8 +99,6 @@ def staged(
 def product_features(
     spark: SparkSession, sf_dir: str, product: str, profile: Profile = PIPELINE, **options: bool
 ) -> DataFrame:
-    if product == "precipitation":
-        options.setdefault("one_row_per_hour", True)  # hourly() guarantees it
     return features(staged(spark, sf_dir, product, profile), product, profile, **options)
 
 

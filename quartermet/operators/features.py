@@ -10,8 +10,9 @@ percentiles of a product come from one digest.  Wind needs a single aggregate:
 its direction mode is taken from sixteen counters, not from a second grouping
 with a window and a join.  Temperature adds a day-level branch (24 rows become
 one) and precipitation its spells; each is joined once on the group key, both
-sides one row per group and partitioned alike.  Rows without station or time
-belong to no group: staging sets them apart (``cleaning.split_rejects``).
+sides one row per group and partitioned alike, and Spark drops the branch where
+none of its columns is asked for.  Rows without station or time belong to no
+group: staging sets them apart (``cleaning.split_rejects``).
 """
 
 from __future__ import annotations
@@ -25,7 +26,14 @@ from .spells import longest_spells
 
 
 def _usable(df: DataFrame, exclude_outliers: bool) -> DataFrame:
+    """Acceptable rows that belong to a group.
+
+    The key filters are stated here, so that both branches of a product carry
+    the same ones and Spark runs what they share once.
+    """
     df = df.where("quality_acceptable")
+    for key in GROUP:
+        df = df.where(F.col(key).isNotNull())
     return df.where(~F.col("has_outlier")) if exclude_outliers else df
 
 
@@ -116,9 +124,7 @@ def temperature(
         *more,
     )
     hourly = hourly.withColumns(_unpack(temp_q25_c=0, temp_median_c=1, temp_q75_c=2))
-    # Both sides have the same groups.  An inner join lets Spark give both the same
-    # key filters, so what lies below the two groupings is planned, and run, once.
-    out = _finish(hourly.join(degree_days(temperature_days(rows), profile), list(GROUP)))
+    out = _finish(hourly.join(degree_days(temperature_days(rows), profile), list(GROUP), "left"))
     if extras:
         out = out.withColumns(
             {
@@ -159,7 +165,7 @@ def precipitation(
         break_on_gap=break_on_gap,
         one_row_per_hour=one_row_per_hour,
     )
-    return _finish(hourly.join(spells, list(GROUP)))
+    return _finish(hourly.join(spells, list(GROUP), "left"))
 
 
 # ------------------------------------------------------------------ wind

@@ -76,7 +76,11 @@ view(
 
 
 def registry(spark, sf_dir):
-    return catalog.register_schemas(None, views.schema_requests(spark, sf_dir))
+    """The registry of all requests, as the stored table it is in use."""
+    path = Layout(shared_folder(spark, "registry")).log("schemas")
+    made = catalog.register_schemas(None, views.schema_requests(spark, sf_dir))
+    made.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def deactivations(spark, sf_dir):
@@ -97,7 +101,8 @@ def deactivations(spark, sf_dir):
            created_by FROM registry""",
 )
 def schema_register(spark, sf_dir):
-    return registry(spark, sf_dir).drop("fields", "is_active")
+    made = catalog.register_schemas(None, views.schema_requests(spark, sf_dir))
+    return made.drop("fields", "is_active")
 
 
 @query(
@@ -109,7 +114,9 @@ def schema_register_more(spark, sf_dir):
     """Registering later requests on top of the registry of the earlier ones."""
     requests = views.schema_requests(spark, sf_dir)
     later = F.col("created_at") >= F.lit("1999-01-01").cast("timestamp_ntz")
-    known = catalog.register_schemas(None, requests.where(~later))
+    path = Layout(shared_folder(spark, "registry")).log("schemas")
+    tables.append_log(catalog.register_schemas(None, requests.where(~later)), path)
+    known = spark.read.parquet(path)
     added = catalog.register_schemas(known, requests.where(later))
     return added.select("schema_name", "version", "schema_hash")
 

@@ -128,8 +128,8 @@ def log_latency_histogram(spark, sf_dir):
     with_views("requests")
     + """SELECT endpoint, last_success, round(age_s, 12) AS age_s, age_s > 3600 AS is_stale FROM (
            SELECT endpoint, max(ts) FILTER (WHERE status BETWEEN 200 AND 299) AS last_success,
-             epoch_us(TIMESTAMP '2024-01-31 00:00:00') / 1000000.0::DOUBLE
-             - epoch_us(max(ts) FILTER (WHERE status BETWEEN 200 AND 299)) / 1000000.0::DOUBLE AS age_s
+             (epoch_us(TIMESTAMP '2024-01-31 00:00:00')
+              - epoch_us(max(ts) FILTER (WHERE status BETWEEN 200 AND 299))) / 1000000.0::DOUBLE AS age_s
            FROM requests GROUP BY endpoint)""",
 )
 def log_staleness(spark, sf_dir):

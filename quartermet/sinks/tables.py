@@ -3,7 +3,8 @@
 Tables are partitioned by version, year and quarter, the columns every read
 filters on.  Rows are rebalanced by those columns before the write: Spark then
 makes files near its advisory size, merging small quarters and splitting a
-quarter that holds much of the data.  A run replaces the quarters it computes
+quarter that holds much of the data.  Files are sorted by station, so a read of
+one station skips row groups.  A run replaces the quarters it computes
 and no others (dynamic partition overwrite), so running it twice gives the same
 table.
 """
@@ -34,6 +35,9 @@ def write_partitioned(
 ) -> dict[str, object]:
     """Write and return statistics, which are taken during the write.
 
+    They are counted as tasks finish: after a lost executor, rows written by a
+    repeated task may be counted twice.  ``table_statistics`` reads a table back.
+
     ``overwrite`` replaces the partitions present in the rows, ``replace`` the
     whole table.  ``also`` adds further aggregates to the statistics.
     """
@@ -43,7 +47,8 @@ def write_partitioned(
     if absent:
         raise ValueError(f"partition columns {absent} are not in the table")
     seen = Observation()
-    rows = df.hint("rebalance", *partition_by).observe(
+    inner = [c for c in ("station_id", STATION, "timestamp") if c in df.columns and c not in partition_by]
+    rows = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *inner).observe(
         seen, F.count(F.lit(1)).alias("rows_written"), *also
     )
     writer = rows.write.partitionBy(*partition_by).option("compression", "snappy")

@@ -107,10 +107,10 @@ def last_success(df: DataFrame, as_of: Column, stale_after_s: int = 86_400) -> D
     good = F.when(F.col("status").between(200, 299), F.col("ts"))
     out = df.groupBy("endpoint").agg(F.max(good).alias("last_success"))
 
-    def seconds(c: Column) -> Column:
-        return F.unix_micros(c.cast("timestamp")) / 1_000_000
+    def micros(c: Column) -> Column:
+        return F.unix_micros(c.cast("timestamp"))
 
-    age = seconds(as_of) - seconds(F.col("last_success"))
+    age = (micros(as_of) - micros(F.col("last_success"))) / 1_000_000
     return out.withColumn("age_s", age).withColumn(
         "is_stale", F.coalesce(age > stale_after_s, F.lit(True))
     )

@@ -73,11 +73,11 @@ def add_processing_metadata(df: DataFrame, product: str) -> DataFrame:
 
 
 def add_version(df: DataFrame, version: str | Column | None = None) -> DataFrame:
-    """Add dataset_version if absent; by default one curated name per quarter."""
+    """Add dataset_version if absent; by default one staged version per quarter."""
     if "dataset_version" in df.columns:
         return df
     if version is None:
-        version = version_name("year", "quarter")
+        version = version_name("year", "quarter", "staged")
     return df.withColumn("dataset_version", F.lit(version) if isinstance(version, str) else version)
 
 

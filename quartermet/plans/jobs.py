@@ -133,8 +133,7 @@ def curate(
         made = features(rows, product, profile, **options)
         staged_names = F.col("dataset_version").alias("staged_version")
         if version is not None:
-            made = made.withColumn("_from", F.col("dataset_version")).drop("dataset_version")
-            made = add_version(made, version)
+            made = add_version(made.drop("dataset_version"), version)
         out = to_contract(enrich(made, stations), table)
         targets = []
         if isinstance(version, str) and year is not None and quarter is not None:

@@ -598,9 +598,8 @@ _G = "station_id, year, quarter, dataset_version"
 def staged_quarter(spark, sf_dir):
     """Written to the staged zone, one quarter read back."""
     zone = Layout(shared_folder(spark, "staged"))
-    rows = views.staged(spark, sf_dir, "wind")
-    tables.write_staged(rows, zone.staged("wind"))
-    back = staged.load_staged(spark, zone, "wind", 1998, 2, "1998Q2_v1")
+    tables.write_staged(views.cleaned(spark, sf_dir, "wind"), zone.staged("wind"))
+    back = staged.load_staged(spark, zone, "wind", 1998, 2, "1998Q2_staged_v1")
     return back.select(STATION, "timestamp", "F", "quality_acceptable")
 
 

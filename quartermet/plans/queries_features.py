@@ -114,7 +114,7 @@ def temperature_without_outliers(spark, sf_dir):
 def degree_days(spark, sf_dir):
     rows = views.staged(spark, sf_dir, "air_temperature").where("quality_acceptable")
     out = feats.degree_days(feats.temperature_days(rows))
-    return rounded(out.withColumnRenamed(STATION, "station_id"))
+    return rounded(views.curated_version(out).withColumnRenamed(STATION, "station_id"))
 
 
 @query(
@@ -126,7 +126,7 @@ def all_spells(spark, sf_dir):
     rows = views.staged(spark, sf_dir, "precipitation").where("quality_acceptable")
     wet = F.coalesce(F.col("R1") > 0, F.lit(False)).alias("is_wet")
     runs = spells(rows.select(*GROUP, "timestamp", wet))
-    return runs.select(
+    return views.curated_version(runs).select(
         F.col(STATION).alias("station_id"),
         "year", "quarter", "dataset_version", "is_wet", "length", "first_hour", "last_hour",
     )
@@ -147,7 +147,7 @@ def spells_broken_by_gaps(spark, sf_dir):
     runs = spells(
         rows.select(*GROUP, "timestamp", wet), break_on_gap=True, one_row_per_hour=True
     )
-    return runs.select(
+    return views.curated_version(runs).select(
         F.col(STATION).alias("station_id"),
         "year", "quarter", "dataset_version", "is_wet", "length", "first_hour", "last_hour",
     )

@@ -585,4 +585,5 @@ def derive_stations(spark, sf_dir):
 )
 def temperature_days(spark, sf_dir):
     rows = views.staged(spark, sf_dir, "air_temperature").where("quality_acceptable")
-    return rounded(feats.temperature_days(rows).withColumnRenamed(STATION, "station_id"))
+    days = views.curated_version(feats.temperature_days(rows))
+    return rounded(days.withColumnRenamed(STATION, "station_id"))

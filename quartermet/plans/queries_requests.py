@@ -311,7 +311,7 @@ def stream_errors(spark, sf_dir):
     "incremental_load",
     with_views("hourly")
     + """SELECT station_id AS "STATIONS_ID", ts AS "timestamp", nullif(raw_r1, -999) AS "R1",
-           dataset_version FROM hourly""",
+           replace(dataset_version, '_v1', '_staged_v1') AS dataset_version FROM hourly""",
 )
 def incremental_load(spark, sf_dir):
     """Raw files arriving in two lots; each run loads only what is new."""

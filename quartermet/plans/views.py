@@ -88,18 +88,34 @@ def parsed(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
     )
 
 
+def cleaned(
+    spark: SparkSession, sf_dir: str, product: str, profile: Profile = PIPELINE
+) -> DataFrame:
+    return cleaning.clean(parsed(spark, sf_dir, product), product, profile)
+
+
+STAGED_VERSION = "all_staged_v1"
+
+
 def staged(
     spark: SparkSession, sf_dir: str, product: str, profile: Profile = PIPELINE
 ) -> DataFrame:
-    """Cleaned rows of one product, one dataset version per quarter."""
-    rows = cleaning.clean(parsed(spark, sf_dir, product), product, profile)
-    return rows.withColumn("dataset_version", version_name("year", "quarter"))
+    """Cleaned rows of one product under one staged version."""
+    rows = cleaned(spark, sf_dir, product, profile)
+    return rows.withColumn("dataset_version", F.lit(STAGED_VERSION))
+
+
+def curated_version(df: DataFrame) -> DataFrame:
+    """Rows under the curated version of their quarter."""
+    return df.withColumn("dataset_version", version_name("year", "quarter"))
 
 
 def product_features(
     spark: SparkSession, sf_dir: str, product: str, profile: Profile = PIPELINE, **options: bool
 ) -> DataFrame:
-    return features(staged(spark, sf_dir, product, profile), product, profile, **options)
+    """Features of a product, named by quarter; names are put on the few feature rows."""
+    rows = staged(spark, sf_dir, product, profile)
+    return curated_version(features(rows, product, profile, **options))
 
 
 def curated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -14,8 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import version_name
-from ..operators.cleaning import clean
+from ..operators.cleaning import add_version, clean
 from ..sources.observations import stream_observations
 
 
@@ -63,7 +62,7 @@ def load_new_files(
     The file sink commits each batch once, so a failed run can be repeated.
     """
     rows = clean(stream_observations(spark, folder, product, pattern), product)
-    rows = rows.withColumn("dataset_version", version_name("year", "quarter"))
+    rows = add_version(rows)
     query = (
         rows.writeStream.format("parquet")
         .option("path", staged)

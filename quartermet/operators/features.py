@@ -7,8 +7,8 @@ Plan of each: filter and prune at the scan, pre-aggregate in the map tasks,
 shuffle one partial row per group and task, finish.  A station that holds much
 of the data is therefore cut down before the shuffle, whatever its share.  All
 percentiles of a product come from one digest.  Wind needs a single aggregate:
-its direction mode is taken from sixteen counters, not from a second grouping
-with a window and a join.  Temperature adds a day-level branch (24 rows become
+its direction mode is an aggregate like the others, not a second grouping with
+a window and a join.  Temperature adds a day-level branch (24 rows become
 one) and precipitation its spells; each is joined once on the group key, both
 sides one row per group and partitioned alike, and Spark drops the branch where
 none of its columns is asked for.  Rows without station or time belong to no
@@ -173,14 +173,6 @@ def precipitation(
 SECTORS = 16
 
 
-def _prevailing(counters: list[str]) -> Column:
-    """Centre of the fullest sector, the lowest one on a tie; NULL if all are empty."""
-    counts = F.array(*counters)
-    fullest = F.array_max(counts)
-    sector = F.array_position(counts, fullest) - 1
-    return F.when(fullest > 0, sector * (360.0 / SECTORS))
-
-
 def wind(
     df: DataFrame, profile: Profile = PIPELINE, *, exclude_outliers: bool = False
 ) -> DataFrame:
@@ -192,7 +184,6 @@ def wind(
         F.sin(angle).alias("_sin"),
         F.cos(angle).alias("_cos"),
     )
-    counters = [f"_in_{i}" for i in range(SECTORS)]
     out = rows.groupBy(*GROUP).agg(
         *_spread("F", "wind_speed", "mps", "mean", "min", "max", "stddev"),
         _percentiles("F", 0.5, 0.75, 0.95),
@@ -201,18 +192,19 @@ def wind(
         *_counts("F"),
         F.stddev_samp("_sin").alias("_sin_sd"),
         F.stddev_samp("_cos").alias("_cos_sd"),
-        *[F.count_if(F.col("_sector") == i).alias(c) for i, c in enumerate(counters)],
+        # The most frequent sector, the lowest on a tie; missing directions are no sector.
+        F.mode("_sector", deterministic=True).alias("_sector"),
     )
     out = out.withColumns(
         {
             **_unpack(
                 wind_speed_median_mps=0, wind_speed_q75_mps=1, wind_speed_q95_mps=2
             ),
-            "prevailing_direction": _prevailing(counters),
+            "prevailing_direction": F.col("_sector") * (360.0 / SECTORS),
             "direction_variability": F.hypot("_sin_sd", "_cos_sd"),
         }
     )
-    return _finish(out.drop(*counters, "_sin_sd", "_cos_sd"))
+    return _finish(out.drop("_sector", "_sin_sd", "_cos_sd"))
 
 
 # -------------------------------------------------------------- pressure

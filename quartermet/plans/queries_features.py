@@ -144,9 +144,7 @@ def all_spells(spark, sf_dir):
 def spells_broken_by_gaps(spark, sf_dir):
     rows = views.staged(spark, sf_dir, "precipitation").where("quality_acceptable")
     wet = F.coalesce(F.col("R1") > 0, F.lit(False)).alias("is_wet")
-    runs = spells(
-        rows.select(*GROUP, "timestamp", wet), break_on_gap=True, one_row_per_hour=True
-    )
+    runs = spells(rows.select(*GROUP, "timestamp", wet), break_on_gap=True)
     return views.curated_version(runs).select(
         F.col(STATION).alias("station_id"),
         "year", "quarter", "dataset_version", "is_wet", "length", "first_hour", "last_hour",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
 from ..model import CURATED_NAMES
+from .catalog import fold_versions
 
 ALL_QUARTERS = (1, 2, 3, 4)
 
@@ -49,6 +50,12 @@ def ingestion_statistics(files: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def fold_runs(events: DataFrame) -> DataFrame:
+    """Current state of ingestion runs from their events (run_id, at, step, and
+    the values an event sets, such as variable, status, station_count, error)."""
+    return fold_versions(events, ["run_id"])
+
+
 def run_quality(features: DataFrame, *by: str) -> DataFrame:
     """Mean missingness and station count of computed features."""
     return features.groupBy(*by).agg(

@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import object_path, path_columns, period_year, rounded, station_code
+from ..functions.columns import (
+    object_path,
+    path_columns,
+    period_year,
+    rounded,
+    station_code,
+    version_name,
+)
 from ..layout import Layout
 from ..model import PRODUCT_PREFIXES, STATION
 from ..operators import catalog, cleaning, enrich, quality, runs
 from ..session import shared_folder
 from ..sinks import tables
 from ..sources import archives, listing, observations, staged, stations
-from . import views
+from . import jobs, views
+from .queries_features import contract_sql
 from .registry import query
 from .sql import NAMES, view, with_views
 from .views import curated_table
@@ -196,6 +204,40 @@ def schema_compat(spark, sf_dir):
     return catalog.compatibility_violations(catalog.consecutive_versions(registry(spark, sf_dir)))
 
 
+@query(
+    "schema_screen_requests",
+    with_views("registry", "schema_fields")
+    + """, latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY schema_name
+                    ORDER BY version DESC) AS newest FROM registry
+                    WHERE created_at < TIMESTAMP '1999-01-01') WHERE newest = 1),
+         asked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY schema_name
+                    ORDER BY created_at, request_id) AS first FROM schema_requests
+                    WHERE created_at >= TIMESTAMP '1999-01-01') WHERE first = 1),
+         pairs AS (SELECT a.schema_name, a.compatibility_mode AS mode, a.request_id AS new_id,
+                     l.request_id AS old_id FROM asked a JOIN latest l USING (schema_name))
+         SELECT schema_name, 'removed_required' AS rule, o.field FROM pairs
+         JOIN schema_fields o ON o.l_orderkey = old_id
+         WHERE mode IN ('BACKWARD', 'FULL') AND o.required AND NOT EXISTS (
+           SELECT 1 FROM schema_fields n WHERE n.l_orderkey = new_id AND n.field = o.field)
+         UNION ALL
+         SELECT schema_name, 'added_required', n.field FROM pairs
+         JOIN schema_fields n ON n.l_orderkey = new_id
+         WHERE mode IN ('FORWARD', 'FULL') AND n.required AND n.dflt IS NULL AND NOT EXISTS (
+           SELECT 1 FROM schema_fields o WHERE o.l_orderkey = old_id AND o.field = n.field)""",
+)
+def schema_screen_requests(spark, sf_dir):
+    """The first later request of each schema against its latest earlier version."""
+    requests = views.schema_requests(spark, sf_dir)
+    later = F.col("created_at") >= F.lit("1999-01-01").cast("timestamp_ntz")
+    path = Layout(shared_folder(spark, "registry")).log("schemas")
+    tables.append_log(catalog.register_schemas(None, requests.where(~later)), path)
+    rest = [c for c in requests.columns if c != "schema_name"]
+    first = F.min_by(F.struct(*rest), F.struct("created_at", "request_id")).alias("r")
+    asked = requests.where(later).groupBy("schema_name").agg(first).select("schema_name", "r.*")
+    _, rejected = catalog.screen_requests(spark.read.parquet(path), asked)
+    return rejected.select("schema_name", "rule", "field")
+
+
 @query(
     "schema_change_log",
     with_views("registry", "deactivations")
@@ -313,6 +355,29 @@ view(
 )
 
 
+@query(
+    "version_create",
+    """SELECT dataset_name, version, version_id, 'pending' AS status FROM (
+         SELECT 'dataset_' || o_custkey AS dataset_name, o_orderpriority AS version,
+           o_orderkey AS version_id, row_number() OVER (PARTITION BY o_custkey, o_orderpriority
+             ORDER BY o_orderdate, o_orderkey) AS place FROM orders WHERE o_orderstatus <> 'F')
+       WHERE place = 1 AND (dataset_name, version) NOT IN (
+         SELECT ('dataset_' || o_custkey, o_orderpriority) FROM orders WHERE o_orderstatus = 'F')""",
+)
+def version_create(spark, sf_dir):
+    """Versions asked for (by customer and priority); finished orders are there already."""
+    asked = views.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("dataset_"), F.col("o_custkey").cast("string")).alias("dataset_name"),
+        F.col("o_orderpriority").alias("version"),
+        F.col("o_orderkey").alias("version_id"),
+        F.col("o_orderdate").alias("at"),
+        "o_orderstatus",
+    )
+    there = asked.where("o_orderstatus = 'F'")
+    made = catalog.create_versions(there, asked.where("o_orderstatus <> 'F'").drop("o_orderstatus"))
+    return made.select("dataset_name", "version", "version_id", "status")
+
+
 @query(
     "lineage",
     with_views("edges")
@@ -666,6 +731,60 @@ def run_quality(spark, sf_dir):
     return rounded(runs.run_quality(rows, "product", "year"))
 
 
+@query(
+    "ingestion_runs",
+    """SELECT o_orderkey AS run_id, 'variable_' || o_custkey % 7 AS variable,
+         coalesce(max(CASE WHEN l_linestatus = 'F' THEN 'completed' END), 'running') AS status,
+         count(l_orderkey) AS events FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+       GROUP BY ALL""",
+)
+def ingestion_runs(spark, sf_dir):
+    """Runs started per order; a line with status F completes its run."""
+    at = F.col("o_orderdate").alias("at")
+    started = views.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("run_id"), at, F.lit(0).alias("step"),
+        F.concat(F.lit("variable_"), (F.col("o_custkey") % 7).cast("string")).alias("variable"),
+        F.lit("running").alias("status"),
+    )
+    line = views.table(spark, sf_dir, "lineitem")
+    # Updates come later than any start, so that the state follows from them alone.
+    updated = line.select(
+        F.col("l_orderkey").alias("run_id"),
+        (F.col("l_shipdate") + F.expr("INTERVAL '3650' DAY")).alias("at"),
+        F.lit(1).alias("step"),
+        F.when(F.col("l_linestatus") == "F", "completed").alias("status"),
+    )
+    state = runs.fold_runs(started.unionByName(updated, allowMissingColumns=True))
+    counts = line.groupBy(F.col("l_orderkey").alias("run_id")).agg(F.count(F.lit(1)).alias("events"))
+    return state.join(counts, "run_id", "left").select(
+        "run_id", "variable", "status", F.coalesce("events", F.lit(0).cast("bigint")).alias("events")
+    )
+
+
+@query(
+    "raw_to_curated",
+    contract_sql("pressure"),
+)
+def raw_to_curated(spark, sf_dir):
+    """The whole way by jobs: raw files, staged table, curated table, read back."""
+    product, table = "pressure", "pressure"
+    zone = Layout(shared_folder(spark, "zones"))
+    raw = views.parsed(spark, sf_dir, product).drop("timestamp")
+    raw.write.options(sep=";", header="true").csv(zone.raw(product))
+    jobs.stage(spark, zone, product, version="all_staged_v1", pattern="*.csv")
+    jobs.curate(
+        spark, zone, product, views.stations(spark, sf_dir),
+        staged_version="all_staged_v1", version=version_name("year", "quarter"),
+    )
+    out = staged.load_features(spark, zone, table).drop("computed_at")
+    return out.select(
+        *[
+            F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else f.name
+            for f in out.schema.fields
+        ]
+    )
+
+
 @query(
     "batch_summary",
     """SELECT count(*) AS total, count(*) FILTER (WHERE o_orderstatus <> 'F') AS successful,

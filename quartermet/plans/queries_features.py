@@ -151,6 +151,25 @@ def spells_broken_by_gaps(spark, sf_dir):
     )
 
 
+@query(
+    "longest_spells_broken_by_gaps",
+    with_views("good")
+    + f"""SELECT {G}, max(length) FILTER (WHERE is_wet) AS max_wet_spell_hours,
+            max(length) FILTER (WHERE NOT is_wet) AS max_dry_spell_hours FROM (
+              SELECT {G}, is_wet, count(*) AS length
+              FROM (SELECT {G}, is_wet,
+                      ts - to_hours(row_number() OVER (PARTITION BY {G}, is_wet ORDER BY ts)) AS run
+                    FROM (SELECT {G}, ts, coalesce(r1 > 0, false) AS is_wet FROM good))
+              GROUP BY {G}, is_wet, run)
+          GROUP BY {G}""",
+)
+def longest_spells_broken_by_gaps(spark, sf_dir):
+    out = views.product_features(
+        spark, sf_dir, "precipitation", break_on_gap=True, one_row_per_hour=True
+    )
+    return out.select(*G.split(", "), "max_wet_spell_hours", "max_dry_spell_hours")
+
+
 # -------------------------------------------------------------- enrichment
 
 FLAGSHIP_SQL = (
@@ -197,7 +216,7 @@ def quarter_bounds(spark, sf_dir):
     )
 
 
-def _contract_sql(name: str) -> str:
+def contract_sql(name: str) -> str:
     cells = []
     for c in CURATED_TABLES[name]:
         value = f"f.{c.feature} / {c.divide_by}" if c.divide_by != 1 else f"f.{c.feature}"
@@ -238,7 +257,19 @@ def _register_contract() -> None:
                 ]
             )
 
-        query(f"contract_{name}", _contract_sql(name))(run)
+        query(f"contract_{name}", contract_sql(name))(run)
+
+        def respond(spark, sf_dir, product=product, name=name):
+            rows = views.product_features(spark, sf_dir, product)
+            rows = enrich.with_quarter_bounds(
+                enrich.with_stations(rows, views.stations(spark, sf_dir))
+            )
+            return enrich.to_response(enrich.to_contract(rows, name, with_time=False), name)
+
+        text = contract_sql(name)
+        if name == "wind":
+            text = f"SELECT * REPLACE (prevailing_direction::VARCHAR AS prevailing_direction) FROM ({text})"
+        query(f"response_{name}", text)(respond)
 
 
 _register_contract()

@@ -102,7 +102,9 @@ def staged(
 ) -> DataFrame:
     """Cleaned rows of one product under one staged version."""
     rows = cleaned(spark, sf_dir, product, profile)
-    return rows.withColumn("dataset_version", F.lit(STAGED_VERSION))
+    # A value of the row, as in a staged table, not a constant of the plan.
+    version = F.when(F.col(STATION).isNotNull(), STAGED_VERSION)
+    return rows.withColumn("dataset_version", version)
 
 
 def curated_version(df: DataFrame) -> DataFrame:

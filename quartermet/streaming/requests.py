@@ -179,12 +179,13 @@ def error_ratio_alert(
 
 
 def latency_alert(
-    df: DataFrame, above_s: float = 2.0, width: str = "5 minutes", step_s: int = 60, hold_s: int = 600
+    df: DataFrame, above_s: float = 2.0, width: str = "5 minutes", step_s: int = 60, hold_s: int = 600,
+    by: tuple[str, ...] = ("endpoint",),
 ) -> DataFrame:
-    """Endpoints and grid points whose p95 stayed above the limit."""
-    out = latency(df, width, f"{step_s} seconds")
-    breached = out.where(F.col("p95_s") > above_s).select("endpoint", F.col("window_end").alias("at"))
-    return held(breached, step_s, hold_s, ("endpoint",))
+    """Groups and grid points whose p95 stayed above the limit."""
+    out = latency(df, width, f"{step_s} seconds", by)
+    breached = out.where(F.col("p95_s") > above_s).select(*by, F.col("window_end").alias("at"))
+    return held(breached, step_s, hold_s, by)
 
 
 def failing_share_alert(
@@ -199,12 +200,16 @@ def failing_share_alert(
     return held(breached, step_s, hold_s)
 
 
-def quiet_points(df: DataFrame, below: float, width_s: int, step_s: int) -> DataFrame:
+def quiet_points(
+    df: DataFrame, below: float, width_s: int, step_s: int, counted: Column | None = None
+) -> DataFrame:
     """Grid points whose trailing window has fewer requests than ``below``.
 
-    Windows without any request count too: they come from the grid.
+    Windows without any request count too: they come from the grid, which spans
+    the whole log.  ``counted`` restricts the requests that are counted.
     """
-    seen = _flat(_grouped(df, f"{width_s} seconds", f"{step_s} seconds", ()).agg(
+    some = df if counted is None else df.where(counted)
+    seen = _flat(_grouped(some, f"{width_s} seconds", f"{step_s} seconds", ()).agg(
         F.count(F.lit(1)).alias("requests")
     )).select(F.col("window_end").alias("at"), "requests")
     filled = time_grid(df, step_s).join(seen, "at", "left")
@@ -212,18 +217,16 @@ def quiet_points(df: DataFrame, below: float, width_s: int, step_s: int) -> Data
 
 
 def low_traffic_alert(
-    df: DataFrame, below_per_s: float = 0.01, width_s: int = 300, step_s: int = 60, hold_s: int = 900
+    df: DataFrame, below_per_s: float = 0.01, width_s: int = 300, step_s: int = 60, hold_s: int = 900,
+    counted: Column | None = None,
 ) -> DataFrame:
     """Grid points at which the request rate stayed below the limit."""
-    return held(quiet_points(df, below_per_s * width_s, width_s, step_s), step_s, hold_s)
+    return held(quiet_points(df, below_per_s * width_s, width_s, step_s, counted), step_s, hold_s)
 
 
 def no_success_alert(
     df: DataFrame, width_s: int = 21_600, step_s: int = 300, hold_s: int = 1_800
 ) -> DataFrame:
     """Grid points without a 2xx response in the trailing window, sustained."""
-    good = df.where(F.col("status").between(200, 299))
-    seen = _flat(_grouped(good, f"{width_s} seconds", f"{step_s} seconds", ()).agg(
-        F.count(F.lit(1)).alias("requests")
-    )).select(F.col("window_end").alias("at"))
-    return held(time_grid(df, step_s).join(seen, "at", "left_anti"), step_s, hold_s)
+    good = F.col("status").between(200, 299)
+    return held(quiet_points(df, 1, width_s, step_s, good), step_s, hold_s)

@@ -289,3 +289,14 @@ def test_layout_rejects_unknown_names():
     for call in (zone.raw, zone.staged, zone.curated):
         with pytest.raises(ValueError):
             call("nothing")
+
+
+def test_upsert_of_nothing_empties_its_targets(spark, tmp_path):
+    path = str(tmp_path / "f")
+    rows = feature_rows(spark, [(1, 2023, 1, 1), (1, 2023, 2, 1)])
+    tables.upsert_features(rows, path)
+    tables.upsert_features(rows.where("false"), path, [("2023Q1_v1", 2023, 1)])
+    assert contents(spark, path) == [(1, 2023, 2, 1)]
+    tables.upsert_features(rows.where("v > 5"), path, [("2023Q2_v1", 2023, 2)])
+    left = list((tmp_path / "f").glob("dataset_version=*/year=*/quarter=*"))
+    assert left == []

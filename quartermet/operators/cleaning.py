@@ -8,11 +8,13 @@ write).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.counted import counted
 from ..functions.columns import outside, version_name, without_sentinel
 from ..model import PIPELINE, PRODUCT_SCHEMAS, STATION, Profile, measure_columns
 
@@ -154,7 +156,8 @@ def quality_share(df: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def observed_metrics(df: DataFrame, product: str, name: str) -> tuple[DataFrame, Observation]:
+def observed_metrics(
+    df: DataFrame, product: str
+) -> tuple[DataFrame, Callable[[], dict[str, object]]]:
     """Attach the cleaning metrics to whatever action runs next on the table."""
-    seen = Observation(name)
-    return df.observe(seen, *cleaning_metric_columns(df, product)), seen
+    return counted(df, *cleaning_metric_columns(df, product))

@@ -12,12 +12,13 @@ import uuid
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.counted import counted
 from ..layout import Layout
 from ..model import CURATED_NAMES, PIPELINE, STATION, Profile, product_schema
-from ..operators.cleaning import add_version, clean, cleaning_metric_columns, split_rejects
+from ..operators.cleaning import add_version, clean, observed_metrics, split_rejects
 from ..operators.enrich import enrich, to_contract
 from ..operators.features import features
 from ..operators.quality import QualityError
@@ -87,15 +88,14 @@ def stage(
             raw = read_archives(spark, layout.raw(product), product)
         else:
             raw = read_observations(spark, layout.raw(product), product, pattern)
-        parsed, cleaned = Observation(), Observation()
         keyless = F.col(STATION).isNull() | F.col("timestamp").isNull()
-        raw = raw.observe(
-            parsed, F.count(F.lit(1)).alias("rows_read"), F.count_if(keyless).alias("rows_rejected")
+        raw, parsed = counted(
+            raw, F.count(F.lit(1)).alias("rows_read"), F.count_if(keyless).alias("rows_rejected")
         )
         rows = clean(split_rejects(raw)[0], product, profile)
-        rows = rows.observe(cleaned, *cleaning_metric_columns(rows, product))
+        rows, cleaned = observed_metrics(rows, product)
         wrote = write_staged(rows, layout.staged(product), version, mode=mode)
-        seen = {**parsed.get, **cleaned.get, "rows_written": wrote["rows_written"]}
+        seen = {**parsed(), **cleaned(), "rows_written": wrote["rows_written"]}
         if seen["rows_rejected"] > MAX_PARSE_ERRORS * max(seen["rows_read"], 1):
             raise QualityError(f"{seen['rows_rejected']} of {seen['rows_read']} rows did not parse")
         return seen

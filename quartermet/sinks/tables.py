@@ -14,9 +14,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.counted import counted
 from ..model import STATION
 from ..operators.cleaning import add_version
 
@@ -35,8 +36,7 @@ def write_partitioned(
 ) -> dict[str, object]:
     """Write and return statistics, which are taken during the write.
 
-    They are counted as tasks finish: after a lost executor, rows written by a
-    repeated task may be counted twice.  ``table_statistics`` reads a table back.
+    ``table_statistics`` reads a table back for exact ones.
 
     ``overwrite`` replaces the partitions present in the rows, ``replace`` the
     whole table.  ``also`` adds further aggregates to the statistics.
@@ -46,11 +46,9 @@ def write_partitioned(
     absent = [c for c in partition_by if c not in df.columns]
     if absent:
         raise ValueError(f"partition columns {absent} are not in the table")
-    seen = Observation()
     inner = [c for c in ("station_id", STATION, "timestamp") if c in df.columns and c not in partition_by]
-    rows = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *inner).observe(
-        seen, F.count(F.lit(1)).alias("rows_written"), *also
-    )
+    rows, wrote = counted(df, F.count(F.lit(1)).alias("rows_written"), *also)
+    rows = rows.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *inner)
     writer = rows.write.partitionBy(*partition_by).option("compression", "snappy")
     writer = writer.option("maxRecordsPerFile", target_file_mb * 1024 * 1024 // ROW_BYTES)
     if mode == "overwrite":
@@ -60,7 +58,7 @@ def write_partitioned(
     else:
         writer = writer.mode(mode)
     writer.parquet(path)
-    return {"path": path, "partition_by": list(partition_by), "mode": mode, **seen.get}
+    return {"path": path, "partition_by": list(partition_by), "mode": mode, **wrote()}
 
 
 def write_staged(df: DataFrame, path: str, version: str | None = None, **options) -> dict[str, object]:

@@ -98,9 +98,9 @@ def test_metrics(spark):
 
 def test_observed_metrics_come_from_the_write(spark, tmp_path):
     df = cleaning.clean(air(spark, ROWS), "air_temperature")
-    rows, seen = cleaning.observed_metrics(df, "air_temperature", "check")
+    rows, seen = cleaning.observed_metrics(df, "air_temperature")
     rows.write.parquet(str(tmp_path / "out"))
-    assert seen.get["total_rows"] == 4
+    assert seen()["total_rows"] == 4
 
 
 def test_unknown_product(spark):

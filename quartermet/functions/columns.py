@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..model import OBSERVED_FORMAT, RAW_ROOT, SENTINEL
+from ..model import RAW_ROOT, SENTINEL
 
 
 def col(c: Column | str) -> Column:
@@ -15,11 +15,18 @@ def col(c: Column | str) -> Column:
 # ---------------------------------------------------------------- time
 
 def observed_at(text: Column | str) -> Column:
-    """Hour text to a zone-less UTC timestamp, NULL when it does not parse."""
+    """Hour text (yyyyMMddHH) to a zone-less UTC timestamp, NULL when it is none."""
     c = col(text)
-    # The pattern alone would accept a shorter text such as "202301011".
     hour = F.when(c.rlike(r"^\d{10}$"), c)
-    return F.try_to_timestamp(hour, F.lit(OBSERVED_FORMAT)).cast("timestamp_ntz")
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(hour, start, length).cast("int")
+
+    # Made from its parts, not through a zoned timestamp: no hour is skipped or
+    # doubled, whatever the session's time zone.
+    return F.try_make_timestamp_ntz(
+        part(1, 4), part(5, 2), part(7, 2), part(9, 2), F.lit(0), F.lit(0).cast("decimal(16,6)")
+    )
 
 
 def quarter_start(year: Column | str, quarter: Column | str) -> Column:

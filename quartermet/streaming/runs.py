@@ -26,7 +26,7 @@ def stream_table(spark: SparkSession, folder: str, schema: str, pattern: str = "
 
 
 def with_event_time(df: DataFrame, lateness: str) -> DataFrame:
-    """ts as a TIMESTAMP (watermarks want one) with a watermark."""
+    """ts as a TIMESTAMP (watermarks want one) with a watermark; the session must run in UTC."""
     return df.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
 
 

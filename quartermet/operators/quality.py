@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import observed_at, percent, quarter_end, quarter_hours, quarter_start, ratio
-from ..model import CRITICAL_COLUMNS, KEY, OBSERVED, PRODUCT_SCHEMAS, STATION, measure_columns
+from ..model import CRITICAL_COLUMNS, KEY, PRODUCT_SCHEMAS, STATION, measure_columns
 
 PERIOD = ("year", "quarter")
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from quartermet.plans import registered
 from tests.conftest import SF_SMALL
 from tools import check_sql
 
-ALL = sorted(entry.queries())
+ALL = sorted(registered.queries())
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert sorted(entry.oracle_sql()) == ALL
+    assert sorted(registered.sql()) == ALL
 
 
 @pytest.mark.parametrize("name", ALL)

@@ -127,10 +127,12 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[: n + 1]
 
 
-def word_hashes(blob: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and 64-bit hash of each word of a byte array."""
+def word_hashes(
+    blob: np.ndarray, lower: bool, between: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and 64-bit hash of each word of a byte array; ``between`` marks the bytes of no word."""
     inside = np.zeros(len(blob) + 2, np.int8)
-    inside[1:-1] = ~SPACE[blob]
+    inside[1:-1] = ~between[blob]
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     sums = np.zeros(len(blob) + 1, np.uint64)
@@ -216,3 +218,25 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     nodes = have.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     roots = have.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return nodes.union(roots)
+
+
+# ------------------------------------------------------------- whole rows
+
+
+def map_rows(docs: DataFrame, work, made: T.StructType, text: str = "text") -> DataFrame:
+    """Run ``work`` over Arrow batches of two columns: ``row`` (all of ``docs``), ``text`` (UTF-8).
+
+    ``work`` yields batches of ``row`` and the columns ``made``.  The table's
+    own columns stay apart in ``row``, so no name can clash.
+    """
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("text"),
+    )
+    return rows.mapInArrow(work, T.StructType([rows.schema["row"], *made.fields]))
+
+
+def with_text(rows: DataFrame, columns: list[str], text: str, new) -> DataFrame:
+    """The columns of ``row`` with another text; ``n_chars``, if there is one, follows it."""
+    made = {text: new, "n_chars": F.char_length(new).cast("long")}
+    return rows.select(*[(made[c] if c in made else F.col(f"row.`{c}`")).alias(c) for c in columns])

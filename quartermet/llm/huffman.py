@@ -29,8 +29,10 @@ from .tokens import encoder
 #: Longest code in bits; decoding tables have 2 ** LIMIT entries.
 LIMIT = 18
 BLOCK = 1 << 16
-STRIDE = 256
-IDS = "part int, doc_id long, start long, n int, ids binary"
+STRIDE = 128
+#: Blocks that are decoded side by side.
+ABREAST = 8
+IDS = "part int, doc_id long, start long, n int, ids binary, counts binary"
 BLOCKS = (
     "part int, first long, n_ids int, doc_ids array<long>, doc_starts array<long>, at array<int>, "
     "payload binary, checkpoints binary"
@@ -126,7 +128,7 @@ def unpack_bits(payload: bytes, starts: np.ndarray, table: tuple[int, np.ndarray
         seen = (four[at >> 3] >> (shift - (at & 7)).astype(np.uint32)) & mask
         out[i] = ids[seen]
         at += sizes[seen]
-    return out.T
+    return np.ascontiguousarray(out.T)
 
 
 # ------------------------------------------------------------------ jobs
@@ -135,11 +137,13 @@ def unpack_bits(payload: bytes, starts: np.ndarray, table: tuple[int, np.ndarray
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
     """Ids of each document in ascending document id; ``start`` counts within ``part``.
 
-    Ranges are cut by document id and then by text, so that equal ids spread too.
+    Each part's last row is no document: it has how often each id occurs in the
+    part, as little-endian 64-bit integers in ``counts``.  Ranges are cut by document id and then by text, so that equal ids spread too.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, total = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        counts = np.zeros(0, np.int64)
         end = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -148,7 +152,13 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
                 sizes = np.fromiter(map(len, ids), np.int64, len(ids))
                 starts = total + np.cumsum(sizes) - sizes
                 total += int(sizes.sum())
-                yield batch_of(IDS, [[part] * (b - a), keys[a:b], starts, sizes, [x.tobytes() for x in ids]])
+                found = np.bincount(np.concatenate(ids))
+                counts = np.pad(counts, (0, max(0, len(found) - len(counts))))
+                counts[: len(found)] += found
+                made = [x.tobytes() for x in ids]
+                yield batch_of(IDS, [[part] * (b - a), keys[a:b], starts, sizes, made, [None] * (b - a)])
+        if total:
+            yield batch_of(IDS, [[part], [None], [total], [0], [None], [counts.tobytes()]])
 
     rows = id_and_text(docs).withColumn("tie", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
@@ -156,20 +166,20 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
 
 
 def id_counts(ids: DataFrame) -> DataFrame:
-    """How often each id occurs: columns id, n."""
+    """How often each id occurs, from the parts' own counts: columns id, n."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
             for cell in batch.column(0):
-                found = np.bincount(np.frombuffer(cell.as_buffer(), np.uint32))
-                if len(found) > len(total):
-                    total = np.pad(total, (0, max(len(found), 2 * len(total)) - len(total)))
+                found = np.frombuffer(cell.as_buffer(), np.int64)
+                total = np.pad(total, (0, max(0, len(found) - len(total))))
                 total[: len(found)] += found
         used = np.flatnonzero(total)
         yield batch_of("id long, n long", [used, total[used]])
 
-    return ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    parts = ids.where("counts IS NOT NULL").select("counts")
+    return parts.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def encode_blocks(ids: DataFrame, lengths: np.ndarray, bases: dict[int, int]) -> DataFrame:
@@ -190,7 +200,7 @@ def encode_blocks(ids: DataFrame, lengths: np.ndarray, bases: dict[int, int]) ->
 
         for batch in batches:
             for part, key, start, cell in zip(
-                *(batch.column(i).to_pylist() for i in range(3)), batch.column(4), strict=True
+                *(batch.column(i).to_pylist() for i in range(3)), batch.column(3), strict=True
             ):
                 own = np.frombuffer(cell.as_buffer(), np.uint32)
                 start += bases[part]
@@ -208,7 +218,7 @@ def encode_blocks(ids: DataFrame, lengths: np.ndarray, bases: dict[int, int]) ->
         if held:
             yield block()
 
-    return ids.mapInArrow(encode, BLOCKS)
+    return ids.where("counts IS NULL").select("part", "doc_id", "start", "ids").mapInArrow(encode, BLOCKS)
 
 
 _tables: dict[bytes, tuple[int, np.ndarray, np.ndarray]] = {}
@@ -227,18 +237,22 @@ def decode_blocks(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:
             _tables.clear()
             _tables[key] = Code(lengths).table()
         for batch in batches:
-            for i in range(batch.num_rows):
-                first, n, keys, starts, at, payload, marks = (
-                    batch.column(k)[i].as_py() for k in range(1, len(batch.schema))
-                )
-                lanes = np.frombuffer(marks, np.uint32)
-                ids = unpack_bits(payload, lanes, _tables[key]).reshape(-1)[:n]
-                ends = [*at[1:], n]
-                yield batch_of(
-                    PIECES,
-                    [keys, starts, [first + a for a in at], [b - a for a, b in zip(at, ends, strict=True)],
-                     [ids[a:b].tobytes() for a, b in zip(at, ends, strict=True)]],
-                )
+            for low in range(0, batch.num_rows, ABREAST):
+                some = batch.slice(low, ABREAST)
+                payloads = some.column("payload").to_pylist()
+                marks = [np.frombuffer(x, np.uint32) for x in some.column("checkpoints").to_pylist()]
+                begin = np.cumsum([0, *map(len, payloads)])
+                lanes = np.concatenate([m + (b << 3) for m, b in zip(marks, begin[:-1], strict=True)])
+                ids = unpack_bits(b"".join(payloads), lanes, _tables[key])
+                rows = np.cumsum([0, *map(len, marks)])
+                for k, row in enumerate(some.drop_columns(["payload", "checkpoints"]).to_pylist()):
+                    own = ids[rows[k] : rows[k + 1]].reshape(-1)[: row["n_ids"]]
+                    bounds = [*row["at"], len(own)]
+                    yield batch_of(
+                        PIECES,
+                        [row["doc_ids"], row["doc_starts"], [row["first"] + a for a in row["at"]], np.diff(bounds),
+                         [own[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]],
+                    )
 
     return blocks.select(*(f.name for f in schema_of(BLOCKS))).mapInArrow(decode, PIECES)
 
@@ -254,7 +268,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int | None =
     ids = spark.read.parquet(work)
     # One row for each id of the vocabulary, one for each range of documents.
     counted = id_counts(ids).toPandas()
-    totals = ids.groupBy("part").agg(F.max(F.col("start") + F.col("n")).alias("n")).orderBy("part").collect()
+    totals = ids.where("counts IS NOT NULL").select("part", "start").orderBy("part").collect()
     bases, total = {}, 0
     for part, n in totals:
         bases[part] = total

@@ -8,10 +8,11 @@ import zlib
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.registry import Query
 from ..session import shared_folder
-from . import huffman, packing
+from . import decontamination, huffman, packing
 from .common import stored, table
 
 QUERIES: dict[str, Query] = {}
@@ -30,7 +31,7 @@ def tokenizer_path() -> str:
     return os.path.abspath(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def combined_crc32(parts: pd.Series) -> pd.Series:
     """Checksum of pieces (bytes long, checksum) laid after each other."""
 
@@ -68,3 +69,13 @@ def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
         F.col("bin").alias("sequence_id"), F.col("offset").cast("long").alias("offset"),
     )
+
+
+@query
+def op2_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontamination.mark(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )

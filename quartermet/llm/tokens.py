@@ -16,6 +16,13 @@ REMEMBER = 600_000
 STEP = 2_000_000
 
 
+def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slices of ``flat`` laid after each other, and where each starts; last the end."""
+    ends = np.zeros(len(size) + 1, np.int32)
+    np.cumsum(size, out=ends[1:])
+    return flat[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1], dtype=np.int32)], ends
+
+
 class _Numbers(dict):
     """Numbers pieces in the order in which they are first asked for."""
 
@@ -42,11 +49,12 @@ class Encoder:
         sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             sizes[number] = len(token)
-        self.sizes = sizes
-        self.keep(_Numbers(), np.zeros(0, np.uint32), np.zeros(1, np.int32))
+        self.bytes = sizes
+        self.marks = {x: self.tokenizer.encode(x, add_special_tokens=False).ids for x in ".,"}
+        self.keep(_Numbers(), np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32))
 
-    def keep(self, number: _Numbers, flat: np.ndarray, bounds: np.ndarray) -> None:
-        self.number, self.flat, self.bounds = number, flat, bounds
+    def keep(self, number: _Numbers, flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        self.number, self.flat, self.begin, self.size = number, flat, begin, size
         self.uses = np.zeros(len(number), np.int32)
 
     def forget(self) -> None:
@@ -54,32 +62,66 @@ class Encoder:
         often = self.uses > 1
         if often.sum() > REMEMBER // 2:
             often[:] = False
-        sizes = np.diff(self.bounds)
         number = _Numbers()
         for piece, yes in zip(self.number, often.tolist(), strict=True):
             if yes:
                 number[piece] = len(number)
-        bounds = np.concatenate([[0], np.cumsum(sizes[often])]).astype(np.int32)
-        self.keep(number, self.flat[np.repeat(often, sizes)], bounds)
+        flat, begin = gathered(self.flat, self.begin[often], self.size[often])
+        self.keep(number, flat, begin[:-1], self.size[often])
+
+    def library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, each after a space, and how many each has."""
+        if any(x[-1:].isspace() or not x for x in pieces):
+            each = [x.ids for x in self.tokenizer.encode_batch_fast([" " + x for x in pieces], add_special_tokens=False)]
+            size = np.fromiter(map(len, each), np.int32, len(each))
+            return np.fromiter(chain.from_iterable(each), np.uint32, int(size.sum())), size
+        texts = [" " + " ".join(pieces[i : i + 100]) for i in range(0, len(pieces), 100)]
+        each = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(each), np.uint32, sum(map(len, each)))
+        ends = np.cumsum(np.fromiter((len(x.encode()) + 1 for x in pieces), np.int64, len(pieces)))
+        at = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
+        return ids, np.diff(at, prepend=0).astype(np.int32)
 
     def learn(self) -> None:
-        """Encode the pieces numbered since the last time, in one go if none ends in white space."""
-        known = len(self.bounds) - 1
-        pieces = [" " + x for x in islice(self.number, known, None)]
-        if not pieces:
+        """Encode the pieces numbered since the last time.
+
+        A word with a full stop or comma behind it has the word's ids and the mark's.
+        """
+        number, known = self.number, len(self.begin)
+        plain, marked = [], {".": ([], []), ",": ([], [])}  # of marked pieces: own and the word's number
+        for piece in list(islice(number, known, None)):
+            if piece[-1:] in self.marks and piece[-2:-1].isalpha():
+                mine, words = marked[piece[-1]]
+                mine.append(number[piece])
+                words.append(number[piece[:-1]])
+        composed = {x for mine, _ in marked.values() for x in mine}
+        at = [i for i in range(known, len(number)) if i not in composed]
+        plain = [x for i, x in enumerate(islice(number, known, None), known) if i not in composed]
+        more = len(number) - known
+        if not more:
             return
-        if any(x[-1].isspace() for x in pieces):
-            each = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, each), np.int32, len(each))
-            got = np.fromiter(chain.from_iterable(each), np.uint32, int(sizes.sum()))
-        else:
-            got = np.array(self.tokenizer.encode("".join(pieces), add_special_tokens=False).ids, np.uint32)
-            ends = np.cumsum(np.fromiter((len(x.encode()) for x in pieces), np.int64, len(pieces)))
-            at = np.searchsorted(np.cumsum(self.sizes[got]), ends) + 1
-            sizes = np.diff(at, prepend=0).astype(np.int32)
-        self.flat = np.concatenate([self.flat, got])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes, dtype=np.int32)])
-        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int32)])
+        self.begin = np.concatenate([self.begin, np.zeros(more, np.int32)])
+        self.size = np.concatenate([self.size, np.zeros(more, np.int32)])
+        self.uses = np.concatenate([self.uses, np.zeros(more, np.int32)])
+        if plain:
+            ids, size = self.library(plain)
+            self.add(np.array(at), ids, size)
+        for mark, (mine, words) in marked.items():
+            if mine:
+                end = self.marks[mark]
+                size = self.size[words] + np.int32(len(end))
+                begin = np.cumsum(size) - size
+                ids = np.empty(int(size.sum()), np.uint32)
+                got, cuts = gathered(self.flat, self.begin[words], self.size[words])
+                ids[np.arange(len(got)) + np.repeat(begin - cuts[:-1], self.size[words])] = got
+                for k, x in enumerate(end):
+                    ids[begin + self.size[words] + k] = x
+                self.add(np.array(mine), ids, size)
+
+    def add(self, at: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        self.begin[at] = len(self.flat) + np.cumsum(size) - size
+        self.size[at] = size
+        self.flat = np.concatenate([self.flat, ids])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
@@ -108,11 +150,7 @@ class Encoder:
         at = np.fromiter(map(self.number.__getitem__, pieces), np.int32, len(pieces))
         self.learn()
         self.uses += np.bincount(at, minlength=len(self.uses)).astype(np.int32)
-        begin = self.bounds[at]
-        sizes = self.bounds[at + 1] - begin
-        ends = np.zeros(len(at) + 1, np.int32)
-        np.cumsum(sizes, out=ends[1:])
-        ids = self.flat[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1], dtype=np.int32)]
+        ids, ends = gathered(self.flat, self.begin[at], self.size[at])
         cuts = ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
         return [np.concatenate([x, ids[a:b]]) for x, a, b in zip(first, cuts[:-1], cuts[1:], strict=True)]
 

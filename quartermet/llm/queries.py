@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..plans.registry import Query
 from ..session import shared_folder
-from . import decontamination, huffman, packing
+from . import decontamination, huffman, packing, toxicity
 from .common import stored, table
 
 QUERIES: dict[str, Query] = {}
@@ -79,3 +79,13 @@ def op2_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op10_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        F.col("row.doc_id").alias("doc_id"), toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )

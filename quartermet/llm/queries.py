@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..plans.registry import Query
 from ..session import shared_folder
-from . import decontamination, huffman, packing, toxicity
+from . import decontamination, huffman, packing, toxicity, windows
 from .common import stored, table
 
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,9 @@ def op10_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op9_window_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = windows.dedup_substrings(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

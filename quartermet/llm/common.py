@@ -160,14 +160,18 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return blob, np.concatenate([[0], np.cumsum(sizes)])
 
 
-def least_of_run(values: np.ndarray, run: int) -> np.ndarray:
-    """Smallest value of each ``run`` consecutive ones, by doubling."""
-    have, width = values, 1
-    while width * 2 <= run:
-        have = np.minimum(have[:-width], have[width:])
-        width *= 2
-    rest = run - width
-    return np.minimum(have[: len(have) - rest], have[rest:]) if rest else have
+def lowest_places(values: np.ndarray, run: int) -> np.ndarray:
+    """Place of the smallest of each ``run`` consecutive values, the first of equal ones, by doubling."""
+    if len(values) < run:
+        return np.zeros(0, np.int32)
+    low, place, width = values, np.arange(len(values), dtype=np.int32), 1
+    while width < run:
+        shift = min(width, run - width)
+        later = low[shift:] < low[:-shift]
+        place = np.where(later, place[shift:], place[:-shift])
+        low = np.minimum(low[shift:], low[:-shift])
+        width += shift
+    return place
 
 
 # ------------------------------------------------------------ components

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..plans.registry import Query
 from ..session import shared_folder
-from . import decontamination, huffman, packing, toxicity, windows
+from . import decontamination, huffman, packing, suffixes, toxicity, windows
 from .common import stored, table
 
 QUERIES: dict[str, Query] = {}
@@ -95,3 +95,9 @@ def op10_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_window_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = windows.dedup_substrings(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op7_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.dedup_bytes(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .chunks import NO_ID, Chunk, Chunks, answer, ask, bucket_of, by_bucket
-from .common import batch_of, joined, least_of_run, steps, windows_hash, word_hashes
+from .common import batch_of, joined, lowest_places, steps, windows_hash, word_hashes
 
 WINDOW = 20
 #: Lengths below the window that are asked first, each twice the one before.
@@ -52,19 +52,24 @@ class Words:
         self.alive = start[start + WINDOW <= self.ends[doc]] if len(start) else start
         self.doc = doc
 
-    def chosen(self, length: int) -> np.ndarray:
-        """Hash of the representative of each live window."""
-        if length == WINDOW:
-            return windows_hash(self.hashes, WINDOW)[self.alive]
-        return least_of_run(windows_hash(self.hashes, length), WINDOW - length + 1)[self.alive]
+    def chosen(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the representatives, one for each place; the number of each live window's one."""
+        hashes = windows_hash(self.hashes, length)
+        place = lowest_places(hashes, WINDOW - length + 1)[self.alive]
+        # Places rise with the windows: equal ones are neighbours.
+        new = np.diff(place, prepend=-1) != 0
+        return hashes[place[new]], np.cumsum(new) - 1
 
     def narrow(self, level: int, buckets: int, length: int) -> None:
         """Keep the windows whose representative occurs again, here or in other chunks."""
-        mine = self.chosen(length)
+        mine, of_window = self.chosen(length)
         distinct, at, places = np.unique(mine, return_inverse=True, return_counts=True)
-        again = self.chunk.bits(level, bucket_of(distinct, buckets))
-        # A representative of several windows may be one place only; more than one is asked again.
-        self.alive = self.alive[(again | (places > 1))[at]]
+        again = self.chunk.bits(level, bucket_of(distinct, buckets)) | (places > 1)
+        self.alive = self.alive[again[at][of_window]]
+
+    def whole(self) -> np.ndarray:
+        """Hash of each live window."""
+        return windows_hash(self.hashes, WINDOW)[self.alive]
 
 
 def _asked(chunks: Chunks, level: int, answers: DataFrame | None, buckets: int) -> DataFrame:
@@ -74,14 +79,14 @@ def _asked(chunks: Chunks, level: int, answers: DataFrame | None, buckets: int)
         words = Words(chunk)
         for before in range(level):
             words.narrow(before, buckets, LEVELS[before])
-        yield from ask(chunk, np.unique(words.chosen(LEVELS[level])), level, buckets)
+        yield from ask(chunk, np.unique(words.chosen(LEVELS[level])[0]), level, buckets)
 
     return chunks.each(work, ASKED) if answers is None else chunks.each_with(answers, work, ASKED)
 
 
 def _first_places(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct hashes of the live windows, the place of each first one, and each window's number among them."""
-    return np.unique(words.chosen(WINDOW), return_index=True, return_inverse=True)
+    return np.unique(words.whole(), return_index=True, return_inverse=True)
 
 
 def _sent(words: Words, buckets: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..plans.registry import Query
 from ..session import shared_folder
-from . import decontamination, huffman, packing, suffixes, toxicity, windows
+from . import decontamination, huffman, lsh_forest, packing, suffixes, toxicity, windows
 from .common import stored, table
 
 QUERIES: dict[str, Query] = {}
@@ -101,3 +101,11 @@ def op9_window_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffixes.dedup_bytes(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lsh_forest.groups(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )

@@ -7,7 +7,7 @@ by a label of ``DEPTH`` MinHashes.  Classes with a common prefix of ``LEAST``
 labels form a region; a region of more than ``REGION`` classes is split by longer
 prefixes, each part as deep as it needs.  Within a region classes are compared by
 sketches of 128 bytes; pairs below ``LIKELY`` are left out (a link at the
-threshold would lie four standard errors above), the others are candidates.
+threshold lies three standard errors above), the others are candidates.
 
 Candidates are confirmed on full sets in rounds: first each class with its best
 partner and the centre of its region, then, always between classes not yet
@@ -37,10 +37,10 @@ WORDS = 5
 SIMILAR = 75
 TREES, DEPTH, LEAST = 16, 8, 3
 REGION = 4096
-LIKELY = 0.6
+LIKELY = 0.63
 #: Best partners confirmed for each class in each round; None: all.
-ROUNDS = (1, 4, None)
-SIGNED = "uid long, doc_id long, n long, k binary, th binary, sig binary, sketch binary"
+ROUNDS = (1, 2, None)
+SIGNED = "uid long, doc_id long, n long, k binary, th binary, sig binary"
 PAIRS = "a long, b long"
 
 
@@ -77,7 +77,7 @@ def signature(own: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """Each document with the size, key, signature and sketch of its set.
+    """Each document with the size, key and signature of its set.
 
     ``uid`` follows the partitions: write the result before it is used twice.
     """
@@ -85,20 +85,19 @@ def signed(docs: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 36
         for batch in batches:
-            made: list[list] = [[], [], [], []]
+            made: list[list] = [[], [], []]
             for own in sets_of(batch.column("text").to_pylist()):
                 if len(own):
-                    sig = signature(own)
-                    row = (len(own), set_key(own), sig.astype(">u4").tobytes(), (sig >> np.uint64(40)).astype(np.uint8).tobytes())
+                    row = (len(own), set_key(own), signature(own).astype(">u4").tobytes())
                 else:
-                    row = (0, None, None, None)
+                    row = (0, None, None)
                 for column, value in zip(made, row, strict=True):
                     column.append(value)
-            n, k, sig, sketch = made
+            n, k, sig = made
             yield batch_of(
                 SIGNED,
                 [np.arange(uid, uid + len(n)), batch.column("doc_id").to_pylist(), n, k,
-                 batch.column("th").to_pylist(), sig, sketch],
+                 batch.column("th").to_pylist(), sig],
             )
             uid += len(n)
 
@@ -111,21 +110,29 @@ def with_hash(docs: DataFrame) -> DataFrame:
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """Equal sets as one row: k, rep, doc_id (smallest), n, th (of one of the texts), sig, sketch."""
+    """Equal sets as one row: k, rep, doc_id (smallest), n, th (of one of the texts), sig."""
     return rows.where("n > 0").groupBy("k").agg(
         F.min("uid").alias("rep"), F.min("doc_id").alias("doc_id"), F.min("th").alias("th"),
-        F.any_value("sig").alias("sig"), F.any_value("sketch").alias("sketch"),
+        F.any_value("sig").alias("sig"),
     )
 
 
 def forest(found: DataFrame) -> DataFrame:
-    """Classes by region: key, rep, label, sketch; only regions of two and more."""
+    """Classes by region: key, tree, rep, sig, whole; only regions of two and more.
+
+    ``whole`` has a bit for each tree in which the class lies in a region that is
+    not split.
+    """
     keys = [F.xxhash64(F.lit(t), F.substring("sig", t * DEPTH * 4 + 1, LEAST * 4)) for t in range(TREES)]
     places = found.select("rep", F.posexplode(F.array(*keys)).alias("tree", "key"))
-    shared = places.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    label = F.expr(f"substring(sig, tree * {DEPTH * 4} + 1, {DEPTH * 4})")
-    return places.join(shared, "key").join(found.select("rep", "sig", "sketch"), "rep").select(
-        "key", "rep", label.alias("label"), "sketch"
+    shared = places.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    bit = F.when(F.col("c") <= REGION, F.expr("shiftleft(1, tree)")).otherwise(0)
+    own = places.join(shared, "key").groupBy("rep").agg(
+        F.sum(bit).cast("int").alias("whole"), F.collect_list(F.struct("tree", "key")).alias("at")
+    )
+    rows = own.join(found.select("rep", "sig"), "rep")
+    return rows.select("rep", "whole", "sig", F.explode("at").alias("at")).select(
+        "at.key", "at.tree", "rep", "sig", "whole"
     )
 
 
@@ -154,37 +161,51 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def candidates(sketches: np.ndarray, groups: np.ndarray, top: int | None) -> np.ndarray:
-    """Pairs of places of a region that may be links and would join two groups."""
+    """Pairs of places of a region that may be links and would join two groups.
+
+    Members of the largest group ask for none: the other side does.
+    """
     least = int(LIKELY * sketches.shape[1])
+    names, of, sizes = np.unique(groups, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return np.zeros((0, 2), np.int64)
     out: list[np.ndarray] = []
     likely = np.zeros(len(groups), np.int64)
-    if len(np.unique(groups)) < 2:
-        return np.zeros((0, 2), np.int64)
+    asking = np.flatnonzero(of != sizes.argmax()) if sizes.max() > 1 else np.arange(len(groups))
     block = max(1, (1 << 23) // (len(groups) * sketches.shape[1]))
-    for a in range(0, len(groups), block):
-        own = slice(a, a + block)
+    for a in range(0, len(asking), block):
+        own = asking[a : a + block]
         same = (sketches[own, None, :] == sketches[None, :, :]).sum(2, dtype=np.int32)
         same[groups[own, None] == groups[None, :]] = 0
         same[same < least] = 0
         likely += same.sum(0)
         if top is None:
             i, j = np.nonzero(same)
-            out.append(np.stack([i + a, j], 1)[i + a < j])
+            out.append(np.stack([own[i], j], 1))
             continue
         for _ in range(top):
             best = same.argmax(1)
             i = np.flatnonzero(same[np.arange(len(same)), best])
-            out.append(np.stack([i + a, best[i]], 1))
+            out.append(np.stack([own[i], best[i]], 1))
             same[i, best[i]] = 0
     if top is not None and likely.any():
-        # The class most like all others: the text that the copies were made from.
+        # The class most like the others: the text that the copies were made from.
         centre = int(likely.argmax())
-        same = (sketches == sketches[centre]).sum(1)
-        i = np.flatnonzero((same >= least) & (groups != groups[centre]))
+        same = (sketches[asking] == sketches[centre]).sum(1)
+        i = asking[(same >= least) & (groups[asking] != groups[centre])]
         out.append(np.stack([i, np.full(len(i), centre)], 1))
     return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
 
+def met_before(pairs: np.ndarray, labels: np.ndarray, whole: np.ndarray, tree: int) -> np.ndarray:
+    """Pairs that an earlier tree compares too; labels by row, tree and depth."""
+    met = np.zeros(len(pairs), bool)
+    for t in range(tree):
+        both = (whole[pairs[:, 0]] & whole[pairs[:, 1]]) >> t & 1
+        met |= both.astype(bool) & (labels[pairs[:, 0], t, :LEAST] == labels[pairs[:, 1], t, :LEAST]).all(1)
+    return met
+
+
 def split_region(labels: np.ndarray, depth: int = LEAST) -> Iterator[np.ndarray]:
     """Places of a region's parts, each with as long a prefix as its size needs; labels (rows of numbers) are sorted.
 
@@ -206,22 +227,22 @@ def split_region(labels: np.ndarray, depth: int = LEAST) -> Iterator[np.ndarray]
 
 
 def likely_pairs(regions: DataFrame, top: int | None) -> DataFrame:
-    """Distinct candidate pairs a < b of rows key, rep, component, label, sketch."""
+    """Distinct candidate pairs a < b of rows key, tree, rep, component, sig, whole."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def region(rows: pa.Table) -> pa.RecordBatch | None:
-            reps = rows.column("rep").to_numpy()
-            groups = rows.column("component").to_numpy()
-            sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(reps), -1)
-            labels = np.frombuffer(b"".join(rows.column("label").to_pylist()), ">u4").reshape(len(reps), -1)
-            found = [part[candidates(sketches[part], groups[part], top)] for part in split_region(labels)]
-            pairs = reps[np.concatenate(found)]
-            if not len(pairs):
-                return None
-            pairs = np.unique(np.sort(pairs, 1), axis=0)
-            return batch_of(PAIRS, [pairs[:, 0], pairs[:, 1]])
+            tree = rows.column("tree")[0].as_py()
+            reps, groups, whole = (rows.column(c).to_numpy() for c in ("rep", "component", "whole"))
+            sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), ">u4").reshape(len(reps), TREES, DEPTH)
+            sketches = (sigs & 255).astype(np.uint8).reshape(len(reps), -1)
+            found = [part[candidates(sketches[part], groups[part], top)] for part in split_region(sigs[:, tree])]
+            pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
+            if top is None:
+                pairs = pairs[~met_before(pairs, sigs, whole, tree)]
+            pairs = np.sort(reps[pairs], 1)
+            return batch_of(PAIRS, [pairs[:, 0], pairs[:, 1]]) if len(pairs) else None
 
         for batch in batches:
             keys = batch.column("key").to_numpy()
@@ -235,8 +256,9 @@ def likely_pairs(regions: DataFrame, top: int | None) -> DataFrame:
         if sum(x.num_rows for x in held) > 1 and (made := region(pa.Table.from_batches(held))):
             yield made
 
-    rows = regions.select("key", "rep", "component", "label", "sketch")
-    rows = rows.repartition("key").sortWithinPartitions("key", "label", "rep")
+    label = F.expr(f"substring(sig, tree * {DEPTH * 4} + 1, {DEPTH * 4})").alias("label")
+    rows = regions.select("key", "tree", "rep", "component", "sig", "whole", label)
+    rows = rows.repartition("key").sortWithinPartitions("key", "label", "rep").drop("label")
     return rows.mapInArrow(compare, PAIRS).distinct()
 
 

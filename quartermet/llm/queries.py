@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..plans.registry import Query
 from ..session import shared_folder
-from . import decontamination, huffman, lsh_forest, packing, suffixes, toxicity, windows
+from . import decontamination, huffman, lattice, lsh_forest, packing, suffixes, toxicity, windows
 from .common import stored, table
 
 QUERIES: dict[str, Query] = {}
@@ -109,3 +109,11 @@ def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+@query
+def op6_lattice_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )

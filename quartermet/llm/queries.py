@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..plans.registry import Query
 from ..session import shared_folder
-from . import decontamination, huffman, lattice, lsh_forest, packing, suffixes, toxicity, windows
+from . import decontamination, html_text, huffman, lattice, lsh_forest, packing, suffixes, toxicity, windows
 from .common import stored, table
 
 QUERIES: dict[str, Query] = {}
@@ -117,3 +117,8 @@ def op6_lattice_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+@query
+def op5_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..plans.registry import Query
 from ..session import shared_folder
-from . import decontamination, html_text, huffman, lattice, lsh_forest, packing, suffixes, toxicity, windows
+from . import decontamination, html_text, huffman, lattice, lsh_forest, packing, pii, suffixes, toxicity, windows
 from .common import stored, table
 
 QUERIES: dict[str, Query] = {}
@@ -60,9 +60,8 @@ def op1_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """Pieces with a checksum of their ids and their places in sequences."""
     made = stored(packing.pieces(docs, tokenizer_path(), end_id=2), "pieces")
     places = packing.pack(made)
     return made.join(places, "uid").select(
@@ -71,6 +70,11 @@ def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_rows(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -122,3 +126,10 @@ def op6_lattice_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op4_skip_chain_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.col("counts")[i].alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select(F.col("row.doc_id").alias("doc_id"), *counts, "base_sha256", "spans")

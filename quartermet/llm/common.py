@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +54,19 @@ def steps(texts: list[bytes], most: int = STEP_BYTES) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
+def small(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``most`` bytes of a binary column: Python objects of few rows at a time."""
+    for batch in batches:
+        sizes = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes + 1)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = max(int(np.searchsorted(ends, before + most)), start + 1)
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def batch_of(schema: T.StructType | str, columns: list) -> pa.RecordBatch:
     """A record batch of Spark's schema from lists or arrays."""
     from pyspark.sql.pandas.types import to_arrow_schema

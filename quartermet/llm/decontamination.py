@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import joined, map_rows, steps, stored, with_text, word_hashes
+from .common import joined, map_rows, small, steps, stored, with_text, word_hashes
 
 WINDOW = 10
 #: Bytes of item texts that one automaton holds; more items take further passes over the documents.
@@ -235,7 +235,7 @@ def _marker(block: list, window: int):
             _streams.clear()
             _streams[key] = (block, Stream(block, window))
         stream = _streams[key][1]
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column("text").to_pylist()
             out = [x for a, b in steps(texts) for x in stream.mark(texts[a:b])]
             names = [sorted({y for y in x[3] if y is not None}) for x in out]

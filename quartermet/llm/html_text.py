@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_rows
+from .common import map_rows, small
 
 MADE = T.StructType().add("main_text", "string").add("n_blocks", "integer").add("n_kept", "integer")
 
@@ -292,7 +292,7 @@ def extract(pages: DataFrame, column: str = "html", costs: Costs = Costs()) -> D
     """Rows of ``pages`` as ``row`` with main_text, n_blocks and n_kept."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             made = [main_blocks(x.decode(), costs) for x in batch.column("text").to_pylist()]
             columns = [["\n".join(t) for t, _ in made], [n for _, n in made], [len(t) for t, _ in made]]
             kinds = [pa.string(), pa.int32(), pa.int32()]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from .common import batch_of, id_and_text, schema_of, steps
+from .common import batch_of, id_and_text, schema_of, small
 from .tokens import encoder
 
 #: Longest code in bits; decoding tables have 2 ** LIMIT entries.
@@ -145,18 +145,18 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
         enc, part, total = encoder(tokenizer), TaskContext.get().partitionId(), 0
         counts = np.zeros(0, np.int64)
         end = np.array([] if end_id is None else [end_id], np.uint32)
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in steps(texts, 4 << 20):
-                ids = [np.concatenate([x, end]) for x in enc.encode([t.decode() for t in texts[a:b]])]
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-                starts = total + np.cumsum(sizes) - sizes
-                total += int(sizes.sum())
-                found = np.bincount(np.concatenate(ids))
-                counts = np.pad(counts, (0, max(0, len(found) - len(counts))))
-                counts[: len(found)] += found
-                made = [x.tobytes() for x in ids]
-                yield batch_of(IDS, [[part] * (b - a), keys[a:b], starts, sizes, made, [None] * (b - a)])
+        for batch in small(batches):
+            n = batch.num_rows
+            texts = [t.decode() for t in batch.column("text").to_pylist()]
+            ids = [np.concatenate([x, end]) for x in enc.encode(texts)]
+            sizes = np.fromiter(map(len, ids), np.int64, n)
+            starts = total + np.cumsum(sizes) - sizes
+            total += int(sizes.sum())
+            found = np.bincount(np.concatenate(ids))
+            counts = np.pad(counts, (0, max(0, len(found) - len(counts))))
+            counts[: len(found)] += found
+            made = [x.tobytes() for x in ids]
+            yield batch_of(IDS, [[part] * n, batch.column("doc_id").to_pylist(), starts, sizes, made, [None] * n])
         if total:
             yield batch_of(IDS, [[part], [None], [total], [0], [None], [counts.tobytes()]])
 

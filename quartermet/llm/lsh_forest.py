@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, components, joined, mix, steps, stored, windows_hash, word_hashes
+from .common import batch_of, components, joined, mix, small, steps, stored, windows_hash, word_hashes
 
 WORDS = 5
 #: Links share so many hundredths of their union.
@@ -84,7 +84,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 36
-        for batch in batches:
+        for batch in small(batches):
             made: list[list] = [[], [], []]
             for own in sets_of(batch.column("text").to_pylist()):
                 if len(own):
@@ -150,7 +150,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(new))
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             sets = list(sets_of(batch.column("text").to_pylist()))
             reps = batch.column("rep").to_pylist()
             yield batch_of("rep long, own binary", [reps, [x.astype("<u8").tobytes() for x in sets]])

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, id_and_text, steps, stored
+from .common import batch_of, id_and_text, small, stored
 from .tokens import encoder
 
 LENGTH = 1024
@@ -46,18 +46,18 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int | None, length: int = LE
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, uid = encoder(tokenizer), TaskContext.get().partitionId() << 36
         end = np.array([] if end_id is None else [end_id], np.uint32)
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in steps(texts, 4 << 20):
-                rows: list[tuple] = []
-                for key, ids in zip(keys[a:b], enc.encode([t.decode() for t in texts[a:b]]), strict=True):
-                    ids = np.concatenate([ids, end])
-                    first = (len(ids) - 1) % length + 1 if len(ids) else 0
-                    bounds = [0, *range(first, len(ids) + 1, length)] if len(ids) else [0, 0]
-                    for k, (x, y) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                        rows.append((uid, key, k, x, y - x, ids[x:y].tobytes()))
-                        uid += 1
-                yield batch_of(PIECES, list(zip(*rows, strict=True)))
+        for batch in small(batches):
+            keys = batch.column("doc_id").to_pylist()
+            texts = [t.decode() for t in batch.column("text").to_pylist()]
+            rows: list[tuple] = []
+            for key, ids in zip(keys, enc.encode(texts), strict=True):
+                ids = np.concatenate([ids, end])
+                first = (len(ids) - 1) % length + 1 if len(ids) else 0
+                bounds = [0, *range(first, len(ids) + 1, length)] if len(ids) else [0, 0]
+                for k, (x, y) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                    rows.append((uid, key, k, x, y - x, ids[x:y].tobytes()))
+                    uid += 1
+            yield batch_of(PIECES, list(zip(*rows, strict=True)))
 
     return id_and_text(docs).mapInArrow(cut, PIECES)
 

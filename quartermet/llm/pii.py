@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batch_of, map_rows, with_text
+from .common import batch_of, map_rows, small, with_text
 
 KINDS = ("email", "ip", "card", "phone")
 #: Label of tokens that are no personal data.
@@ -225,7 +225,7 @@ def fit(docs: DataFrame) -> Field:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes, steps = np.zeros((SHAPES, NONE + 1), np.int64), np.zeros((NONE + 1, NONE + 1), np.int64)
-        for batch in batches:
+        for batch in small(batches, "t"):
             for raw in batch.column(0).to_pylist():
                 if not _HINT.search(raw):
                     continue
@@ -266,7 +266,7 @@ def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
     empty = ([0] * NONE, hashlib.sha256(b"").hexdigest(), "", "")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for raw in batch.column("text").to_pylist():
                 base = base_spans(raw.decode()) if _HINT.search(raw) else []

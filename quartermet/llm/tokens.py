@@ -11,9 +11,9 @@ import numpy as np
 #: A space before more white space: such texts go to the library whole.
 _RUNS = re.compile(r" \s")
 #: Pieces remembered by one worker; beyond, those used once are forgotten.
-REMEMBER = 600_000
+REMEMBER = 450_000
 #: Characters of texts that are put together from pieces at once.
-STEP = 2_000_000
+STEP = 1_000_000
 
 
 def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

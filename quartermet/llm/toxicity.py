@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_rows
+from .common import map_rows, small
 
 SAMPLE = 2400
 SAMPLE_BYTES = 1 << 18
@@ -244,7 +244,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """Rows of ``docs`` as ``row`` with score (0 to 1) and top_gain, the largest gain of a window."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             gains = [model.gains(x) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array([model.score(g) for g in gains], pa.float64()),

@@ -27,7 +27,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage."""
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

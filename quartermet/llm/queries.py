@@ -64,8 +64,10 @@ def packed_rows(docs: DataFrame) -> DataFrame:
     """Pieces with a checksum of their ids and their places in sequences."""
     made = stored(packing.pieces(docs, tokenizer_path(), end_id=2), "pieces")
     places = packing.pack(made)
-    return made.join(places, "uid").select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+    # The checksum first: the ids themselves are not shuffled.
+    digests = made.select("uid", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return digests.join(places, "uid").select(
+        "doc_id", "piece", "start", "length", "ids_crc32",
         F.col("bin").alias("sequence_id"), F.col("offset").cast("long").alias("offset"),
     )
 

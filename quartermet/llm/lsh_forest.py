@@ -11,9 +11,11 @@ threshold lies three standard errors above), the others are candidates.
 
 Candidates are confirmed on full sets in rounds: first each class with its best
 partner and the centre of its region, then, always between classes not yet
-connected, the best few, and at last all.  So a group of thousands of near copies
-needs as many confirmations as members, and no pair that could still join two
-groups is left unconfirmed.
+connected, the best few, and at last all.  The last round sends no pairs: the sets
+of the classes that still have a likely partner in another group go to the
+region, which compares them there.  So a group of thousands of near copies makes
+as many rows as it has members, and no pair that could still join two groups is
+left unconfirmed.
 
 NULL and empty texts, and those of white space, have no words: they are linked with
 nothing and are their own group.  Rows that repeat an id stand for themselves;
@@ -22,7 +24,7 @@ a NULL id loses against any other.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,8 @@ SIMILAR = 75
 TREES, DEPTH, LEAST = 16, 8, 3
 REGION = 4096
 LIKELY = 0.63
-#: Best partners confirmed for each class in each round; None: all.
-ROUNDS = (1, 2, None)
+#: Best partners confirmed for each class in each round; then all.
+ROUNDS = (1, 2)
 SIGNED = "uid long, doc_id long, n long, k binary, th binary, sig binary"
 PAIRS = "a long, b long"
 
@@ -226,40 +228,87 @@ def split_region(labels: np.ndarray, depth: int = LEAST) -> Iterator[np.ndarray]
         begin = end
 
 
-def likely_pairs(regions: DataFrame, top: int | None) -> DataFrame:
-    """Distinct candidate pairs a < b of rows key, tree, rep, component, sig, whole."""
+class Region:
+    """The classes of one region, sorted by their labels."""
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, rows: pa.Table):
+        self.rows = rows
+        self.tree = rows.column("tree")[0].as_py()
+        self.reps, self.groups, self.whole = (rows.column(c).to_numpy() for c in ("rep", "component", "whole"))
+        raw = b"".join(rows.column("sig").to_pylist())
+        self.sigs = np.frombuffer(raw, ">u4").reshape(len(self.reps), TREES, DEPTH)
+
+    def pairs(self, top: int | None) -> np.ndarray:
+        """Places of candidates; of all of them, those that no earlier tree compares."""
+        sketches = (self.sigs & 255).astype(np.uint8).reshape(len(self.reps), -1)
+        parts = split_region(self.sigs[:, self.tree])
+        found = np.concatenate([p[candidates(sketches[p], self.groups[p], top)] for p in parts])
+        found = np.unique(np.sort(found, 1), axis=0)
+        return found if top is not None else found[~met_before(found, self.sigs, self.whole, self.tree)]
+
+
+def by_region(rows: DataFrame, work: Callable[[Region], list | None], schema: str) -> DataFrame:
+    """Run ``work`` on each region of two classes and more; it gives the columns of its rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def region(rows: pa.Table) -> pa.RecordBatch | None:
-            tree = rows.column("tree")[0].as_py()
-            reps, groups, whole = (rows.column(c).to_numpy() for c in ("rep", "component", "whole"))
-            sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), ">u4").reshape(len(reps), TREES, DEPTH)
-            sketches = (sigs & 255).astype(np.uint8).reshape(len(reps), -1)
-            found = [part[candidates(sketches[part], groups[part], top)] for part in split_region(sigs[:, tree])]
-            pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
-            if top is None:
-                pairs = pairs[~met_before(pairs, sigs, whole, tree)]
-            pairs = np.sort(reps[pairs], 1)
-            return batch_of(PAIRS, [pairs[:, 0], pairs[:, 1]]) if len(pairs) else None
+        def done() -> Iterator[pa.RecordBatch]:
+            if sum(x.num_rows for x in held) > 1 and (made := work(Region(pa.Table.from_batches(held)))):
+                yield batch_of(schema, made)
 
         for batch in batches:
             keys = batch.column("key").to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 if held and held[0].column("key")[0].as_py() != keys[a]:
-                    if sum(x.num_rows for x in held) > 1 and (made := region(pa.Table.from_batches(held))):
-                        yield made
+                    yield from done()
                     held = []
                 held.append(batch.slice(a, b - a))
-        if sum(x.num_rows for x in held) > 1 and (made := region(pa.Table.from_batches(held))):
-            yield made
+        yield from done()
+
+    label = F.expr(f"substring(sig, tree * {DEPTH * 4} + 1, {DEPTH * 4})")
+    dealt = rows.withColumn("label", label).repartition("key").sortWithinPartitions("key", "label", "rep")
+    return dealt.drop("label").mapInArrow(run, schema)
+
+
+def likely_pairs(regions: DataFrame, top: int) -> DataFrame:
+    """Distinct pairs a < b of the best candidates."""
+
+    def work(region: Region) -> list | None:
+        pairs = np.sort(region.reps[region.pairs(top)], 1)
+        return [pairs[:, 0], pairs[:, 1]] if len(pairs) else None
+
+    return by_region(regions, work, PAIRS).distinct()
+
+
+def rest_confirmed(regions: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among all candidates, found where the sets of their classes meet."""
+
+    def involved(region: Region) -> list | None:
+        at = np.unique(region.pairs(None))
+        return [np.full(len(at), region.rows.column("key")[0].as_py()), region.reps[at]] if len(at) else None
+
+    def links(region: Region) -> list | None:
+        pairs = region.pairs(None)
+        own = [np.frombuffer(x, "<u8") for x in region.rows.column("own").to_pylist()]
+        _, flat = np.unique(np.concatenate(own), return_inverse=True)
+        sizes = np.array([len(x) for x in own])
+        ends = np.cumsum(sizes)
+        seen = np.zeros(int(flat.max()) + 1, bool)
+        found = []
+        for i in np.unique(pairs[:, 0]):
+            seen[flat[ends[i] - sizes[i] : ends[i]]] = True
+            both = np.add.reduceat(seen[flat], ends - sizes, dtype=np.int64)
+            seen[flat[ends[i] - sizes[i] : ends[i]]] = False
+            j = pairs[pairs[:, 0] == i, 1]
+            j = j[100 * both[j] >= SIMILAR * (sizes[i] + sizes[j] - both[j])]
+            found.append(np.stack([np.full(len(j), i), j], 1))
+        kept = np.sort(region.reps[np.concatenate(found)], 1) if found else np.zeros((0, 2), np.int64)
+        return [kept[:, 0], kept[:, 1]] if len(kept) else None
 
-    label = F.expr(f"substring(sig, tree * {DEPTH * 4} + 1, {DEPTH * 4})").alias("label")
-    rows = regions.select("key", "tree", "rep", "component", "sig", "whole", label)
-    rows = rows.repartition("key").sortWithinPartitions("key", "label", "rep").drop("label")
-    return rows.mapInArrow(compare, PAIRS).distinct()
+    some = by_region(regions, involved, "key long, rep long")
+    return by_region(regions.join(some, ["key", "rep"]).join(sets, "rep"), links, PAIRS)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -290,13 +339,15 @@ def groups(docs: DataFrame) -> DataFrame:
     live = regions.select("rep").distinct()
     sets = stored(full_sets(docs, found.select("k", "rep", "th").join(live, "rep")), "sets")
     links = joins = None
-    for top in ROUNDS:
+    for top in (*ROUNDS, None):
         if joins is None:
             grouped = regions.withColumn("component", F.col("rep"))
         else:
             grouped = regions.join(joins, regions["rep"] == joins["node"], "left")
             grouped = grouped.withColumn("component", F.coalesce("component", "rep"))
-        new = stored(confirmed(likely_pairs(grouped, top), sets), "links")
+        grouped = grouped.select("key", "tree", "rep", "component", "sig", "whole")
+        found_now = rest_confirmed(grouped, sets) if top is None else confirmed(likely_pairs(grouped, top), sets)
+        new = stored(found_now, "links")
         if new.isEmpty():
             continue
         links = new if links is None else links.union(new)

@@ -97,6 +97,15 @@ def not_null_rejects(df: DataFrame, *columns: str) -> DataFrame:
     return df.where(reduce(Column.__or__, [F.col(c).isNull() for c in columns]))
 
 
+def require_parsed(raw: DataFrame, max_share: float) -> dict[str, int]:
+    """Count rows and those without station or time; too large a share of them raises."""
+    keyless = F.col(STATION).isNull() | F.col("timestamp").isNull()
+    rows, bad = raw.agg(F.count(F.lit(1)), F.count_if(keyless)).first()
+    if bad > max_share * max(rows, 1):
+        raise QualityError(f"{bad} of {rows} rows did not parse")
+    return {"rows_read": rows, "rows_rejected": bad}
+
+
 # ------------------------------------------------------------ continuity
 
 def year_range(spark: SparkSession, first: int, last: int) -> DataFrame:
@@ -139,11 +148,12 @@ def completeness_matrix(tables: dict[str, DataFrame], expected: DataFrame) -> Da
 
 
 def alignment(left: DataFrame, right: DataFrame, tolerance: int = 10) -> DataFrame:
-    """Quarter counts of two products side by side."""
+    """Quarter counts of two products side by side; a quarter that one lacks counts as 0 there."""
     a = left.groupBy(*PERIOD).agg(F.count(F.lit(1)).alias("left_count"))
     b = right.groupBy(*PERIOD).agg(F.count(F.lit(1)).alias("right_count"))
     apart = F.abs(F.col("left_count") - F.col("right_count")) > tolerance
-    return a.join(b, list(PERIOD), "full").withColumn(
+    # Also where one side has nothing: that is what the check is for.
+    return a.join(b, list(PERIOD), "full").fillna(0, ["left_count", "right_count"]).withColumn(
         "status", F.when(apart, "MISMATCH").otherwise("OK")
     )
 

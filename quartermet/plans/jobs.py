@@ -1,7 +1,7 @@
 """Whole jobs: raw to staged, staged to curated, over all stations and quarters.
 
-A job reads its input once per branch of its plan, writes once and takes its
-counts from that write.  Every run is recorded, failed ones too; a curating run
+A job reads its input once per branch of its plan (staging once more, to judge
+it before writing), writes once and takes its counts from that write.  Every run is recorded, failed ones too; a curating run
 also appends version events and lineage edges, so the catalogue follows from
 the work done.
 """
@@ -12,16 +12,17 @@ import uuid
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.counted import counted
 from ..layout import Layout
-from ..model import CURATED_NAMES, PIPELINE, STATION, Profile, product_schema
+from ..model import CURATED_NAMES, PIPELINE, Profile, product_schema
+from ..operators.catalog import add_lineage
 from ..operators.cleaning import add_version, clean, observed_metrics, split_rejects
 from ..operators.enrich import enrich, to_contract
 from ..operators.features import features
-from ..operators.quality import QualityError
+from ..operators.quality import require_parsed
 from ..operators.runs import run_record
 from ..sinks.tables import append_log, upsert_features, write_staged
 from ..sources.archives import read_archives
@@ -58,7 +59,7 @@ def _recorded(
     try:
         metrics = work()
     except Exception as error:
-        log("failed", error=str(error)[:2000])
+        log("failed", error=str(error))
         raise
     return log("success", metrics={k: str(v) for k, v in metrics.items()})
 
@@ -79,7 +80,7 @@ def stage(
     """Raw files of a product to its staged table.
 
     Rows without station or time are left out and counted; too large a share of
-    them fails the run.
+    them fails the run before anything is written.
     """
     product_schema(product)
 
@@ -88,17 +89,12 @@ def stage(
             raw = read_archives(spark, layout.raw(product), product)
         else:
             raw = read_observations(spark, layout.raw(product), product, pattern)
-        keyless = F.col(STATION).isNull() | F.col("timestamp").isNull()
-        raw, parsed = counted(
-            raw, F.count(F.lit(1)).alias("rows_read"), F.count_if(keyless).alias("rows_rejected")
-        )
+        # Exact counts from a pass of their own: the decision comes before the write.
+        parsed = require_parsed(raw, MAX_PARSE_ERRORS)
         rows = clean(split_rejects(raw)[0], product, profile)
         rows, cleaned = observed_metrics(rows, product)
         wrote = write_staged(rows, layout.staged(product), version, mode=mode)
-        seen = {**parsed(), **cleaned(), "rows_written": wrote["rows_written"]}
-        if seen["rows_rejected"] > MAX_PARSE_ERRORS * max(seen["rows_read"], 1):
-            raise QualityError(f"{seen['rows_rejected']} of {seen['rows_read']} rows did not parse")
-        return seen
+        return {**parsed, **cleaned(), "rows_written": wrote["rows_written"]}
 
     return _recorded(spark, layout, "stage", product, version, work)
 
@@ -122,7 +118,9 @@ def curate(
     """Staged rows to the curated features of a product.
 
     All quarters in one run, or one of them.  ``version`` names the curated
-    rows; by default they keep the version of their staged rows.
+    rows; by default they keep the version of their staged rows.  A name wants
+    one staged version in each quarter: name it in ``staged_version`` if there
+    are several.
     """
     if product not in CURATED_NAMES:
         raise ValueError(f"no features for product {product!r}")
@@ -130,8 +128,14 @@ def curate(
 
     def work() -> dict[str, object]:
         rows = load_staged(spark, layout, product, year, quarter, staged_version)
-        made = features(rows, product, profile, **options)
         staged_names = F.col("dataset_version").alias("staged_version")
+        sources = rows.select("year", "quarter", staged_names).distinct()
+        if version is None:
+            sources = sources.withColumn("dataset_version", F.col("staged_version"))
+        else:
+            _one_staged_version(sources)
+            sources = add_version(sources, version)
+        made = features(rows, product, profile, **options)
         if version is not None:
             made = add_version(made.drop("dataset_version"), version)
         out = to_contract(enrich(made, stations), table)
@@ -139,39 +143,48 @@ def curate(
         if isinstance(version, str) and year is not None and quarter is not None:
             targets = [(version, year, quarter)]
         wrote = upsert_features(out, layout.curated(table), targets, mode)
-        sources = rows.select("year", "quarter", staged_names).distinct()
-        _catalogue(spark, layout, table, sources, version, year, quarter)
+        _catalogue(spark, layout, table, sources)
         return wrote
 
     label = version if isinstance(version, str) else staged_version
     return _recorded(spark, layout, "curate", product, label, work)
 
 
-def _catalogue(
-    spark: SparkSession, layout: Layout, table: str, sources: DataFrame,
-    version: str | Column | None, year: int | None, quarter: int | None,
-) -> None:
+def _one_staged_version(sources: DataFrame) -> None:
+    """Raise if rows of several staged versions would get one name."""
+    several = sources.groupBy("year", "quarter").count().where("count > 1").orderBy("year", "quarter")
+    if found := several.take(3):
+        quarters = ", ".join(f"{r['year']}Q{r['quarter']}" for r in found)
+        raise ValueError(f"several staged versions in {quarters}: name one in staged_version")
+
+
+def _catalogue(spark: SparkSession, layout: Layout, table: str, sources: DataFrame) -> None:
     """Version events and lineage edges of the quarters just written.
 
-    Both come from the written table and the staged partitions: a few rows per
-    quarter, read from two columns.
+    ``sources`` has the run's own quarters with their staged and curated
+    versions; versions that the run never touched stay as they are.
     """
     dataset = f"curated_{table}_features"
-    label = version if isinstance(version, str) else None
+    own = ["dataset_version", "year", "quarter"]
     done = (
-        load_features(spark, layout, table, year, quarter, label)
-        .groupBy("dataset_version", "year", "quarter")
+        load_features(spark, layout, table)
+        .join(sources.select(*own).distinct(), own, "left_semi")
+        .groupBy(*own)
         .agg(
             F.count(F.lit(1)).alias("record_count"),
             F.avg("missingness_ratio").cast("double").alias("avg_missingness_ratio"),
         )
     )
-    edges = done.join(sources, ["year", "quarter"]).select(
+    edges = done.join(sources, own).select(
         F.concat_ws(":", F.lit(dataset), "dataset_version").alias("child_id"),
         F.concat_ws(":", F.lit(f"staged_{table}"), "staged_version").alias("parent_id"),
         F.lit("aggregation").alias("transformation_type"),
     )
-    append_log(edges.distinct(), layout.log("lineage"))
+    try:
+        known = spark.read.parquet(layout.log("lineage"))
+    except AnalysisException:  # the first run
+        known = None
+    append_log(add_lineage(known, edges), layout.log("lineage"))
     events = done.select(
         F.concat_ws(":", F.lit(dataset), "dataset_version").alias("version_id"),
         F.lit(dataset).alias("dataset_name"),

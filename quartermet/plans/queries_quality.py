@@ -144,8 +144,8 @@ def completeness_matrix(spark, sf_dir):
     "dq_alignment_full_outer",
     with_views("f_temperature", "f_humidity")
     + """SELECT coalesce(a.year, b.year) AS year, coalesce(a.quarter, b.quarter) AS quarter,
-           left_count, right_count,
-           CASE WHEN abs(left_count - right_count) > 10 THEN 'MISMATCH' ELSE 'OK' END AS status
+           coalesce(left_count, 0) AS left_count, coalesce(right_count, 0) AS right_count,
+           CASE WHEN abs(coalesce(left_count, 0) - coalesce(right_count, 0)) > 10 THEN 'MISMATCH' ELSE 'OK' END AS status
          FROM (SELECT year, quarter, count(*) AS left_count FROM f_temperature
                WHERE count_observations >= 12 GROUP BY year, quarter) a
          FULL JOIN (SELECT year, quarter, count(*) AS right_count FROM f_humidity

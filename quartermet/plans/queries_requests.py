@@ -322,6 +322,9 @@ def incremental_load(spark, sf_dir):
     for lot in (early, ~early):
         some = rows.where(lot).drop("timestamp")
         some.write.mode("append").options(sep=";", header="true").csv(zone.raw(product))
+        # Lines that do not parse arrive too, and are left out.
+        broken = some.where(F.col(STATION) % 10 == 0).withColumn("MESS_DATUM", F.lit("broken"))
+        broken.write.mode("append").options(sep=";", header="true").csv(zone.raw(product))
         runs.load_new_files(
             spark, zone.raw(product), product, zone.staged(product), zone.log("load"), "*.csv"
         )

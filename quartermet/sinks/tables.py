@@ -14,12 +14,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.counted import counted
 from ..model import STATION
 from ..operators.cleaning import add_version
+from ..session import shared_folder
 
 PARTITIONS = ("dataset_version", "year", "quarter")
 ROW_BYTES = 100  # estimate for a staged row, as for the raw text it comes from
@@ -66,6 +68,26 @@ def write_staged(df: DataFrame, path: str, version: str | None = None, **options
     return write_partitioned(add_version(df, version), path, **options)
 
 
+def merge_staged(df: DataFrame, path: str) -> None:
+    """Staged rows added to the quarters present in them; rows of the same station, time and version are replaced.
+
+    Doing it twice is doing it once, so a batch that is repeated after a failure
+    does no harm.  The quarters are rewritten by way of the shared folder.
+    """
+    spark = df.sparkSession
+    key = ["dataset_version", STATION, "timestamp"]
+    try:
+        have = spark.read.parquet(path)
+    except AnalysisException:  # the first rows
+        write_partitioned(df, path)
+        return
+    kept = have.join(df.select(*PARTITIONS).distinct(), list(PARTITIONS), "left_semi")
+    kept = kept.join(df.select(*key), key, "left_anti")
+    work = shared_folder(spark, "merge")
+    kept.unionByName(df, allowMissingColumns=True).write.parquet(work)
+    write_partitioned(spark.read.parquet(work), path)
+
+
 def write_by_station(df: DataFrame, path: str, version: str | None = None, **options) -> dict[str, object]:
     """Staged rows laid out by station and year."""
     return write_staged(df, path, version, partition_by=(STATION, "year"), **options)

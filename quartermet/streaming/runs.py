@@ -14,7 +14,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import add_version, clean
+from ..operators.cleaning import add_version, clean, split_rejects
+from ..operators.quality import require_parsed
+from ..sinks.tables import merge_staged
 from ..sources.observations import stream_observations
 
 
@@ -55,24 +57,38 @@ def read_windows(spark: SparkSession, path: str, key: Sequence[str]) -> DataFram
 
 
 def load_new_files(
-    spark: SparkSession, folder: str, product: str, staged: str, checkpoint: str, pattern: str = "*.txt"
+    spark: SparkSession,
+    folder: str,
+    product: str,
+    staged: str,
+    checkpoint: str,
+    pattern: str = "*.txt",
+    max_rejects: float = 0.30,
 ) -> int:
-    """Clean and stage the raw files not seen by an earlier run; returns their rows.
+    """Clean and stage the raw files not seen by an earlier run; returns the rows staged.
 
-    The file sink commits each batch once, so a failed run can be repeated.
+    Rows without station or time are left out; a batch with too large a share of
+    them fails before it writes.  Rows are merged into the table that
+    ``jobs.stage`` writes, so both can load the same folder, and a batch that is
+    repeated replaces itself.
     """
-    rows = clean(stream_observations(spark, folder, product, pattern), product)
-    rows = add_version(rows)
+    staged_rows = 0
+
+    def write(batch: DataFrame, number: int) -> None:
+        nonlocal staged_rows
+        seen = require_parsed(batch, max_rejects)
+        merge_staged(add_version(clean(split_rejects(batch)[0], product)), staged)
+        staged_rows += seen["rows_read"] - seen["rows_rejected"]
+
     query = (
-        rows.writeStream.format("parquet")
-        .option("path", staged)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("dataset_version", "year", "quarter")
+        stream_observations(spark, folder, product, pattern)
+        .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
+        .foreachBatch(write)
         .start()
     )
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    return staged_rows
 
 
 def stream_metric(

@@ -54,10 +54,10 @@ def test_completeness_matrix(spark):
 
 
 def test_alignment(spark):
-    a = keys(spark, [(s, 2023, 1) for s in range(12)] + [(1, 2023, 2)])
+    a = keys(spark, [(s, 2023, 1) for s in range(12)] + [(1, 2023, 2)] + [(s, 2023, 4) for s in range(11)])
     b = keys(spark, [(1, 2023, 1), (1, 2023, 3)])
     got = {r.quarter: (r.left_count, r.right_count, r.status) for r in quality.alignment(a, b).collect()}
-    assert got == {1: (12, 1, "MISMATCH"), 2: (1, None, "OK"), 3: (None, 1, "OK")}
+    assert got == {1: (12, 1, "MISMATCH"), 2: (1, 0, "OK"), 3: (0, 1, "OK"), 4: (11, 0, "MISMATCH")}
 
 
 def temperature(spark, **changes):

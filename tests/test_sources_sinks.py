@@ -284,6 +284,65 @@ def test_incremental_load_reads_new_files_once(spark, tmp_path):
     assert staged.load_staged(spark, zone, "air_temperature", 2023, 1).count() == 36
 
 
+def test_incremental_load_and_staging_share_a_table(spark, tmp_path):
+    zone = Layout(str(tmp_path))
+    raw = tmp_path / "raw/dwd/air_temperature"
+    args = (spark, zone.raw("air_temperature"), "air_temperature", zone.staged("air_temperature"), zone.log("load"))
+    write(raw / "a.txt", AIR + air_lines(1, range(24)) + "1;bad;5;1;1\n" * 3)
+    assert runs.load_new_files(*args) == 24  # the three lines are left out
+    jobs.stage(spark, zone, "air_temperature")
+    write(raw / "b.txt", AIR + air_lines(2, range(12)))
+    assert runs.load_new_files(*args) == 12
+    rows = staged.load_staged(spark, zone, "air_temperature")
+    assert (rows.count(), rows.where("dataset_version IS NULL").count()) == (36, 0)
+    jobs.stage(spark, zone, "air_temperature")
+    assert staged.load_staged(spark, zone, "air_temperature").count() == 36
+    write(raw / "c.txt", AIR + air_lines(3, range(2)) + "1;bad;5;1;1\n" * 9)
+    with pytest.raises(Exception, match="did not parse"):
+        runs.load_new_files(*args)
+    assert staged.load_staged(spark, zone, "air_temperature").count() == 36
+
+
+def test_a_failing_run_leaves_staged_rows(spark, tmp_path):
+    zone = Layout(str(tmp_path))
+    raw = tmp_path / "raw/dwd/air_temperature"
+    write(raw / "a.txt", AIR + air_lines(1, range(24)))
+    jobs.stage(spark, zone, "air_temperature", version="v1")
+    write(raw / "b.txt", AIR + "1;bad;5;1;1\n" * 22)
+    with pytest.raises(quality.QualityError):
+        jobs.stage(spark, zone, "air_temperature", version="v1")
+    assert staged.load_staged(spark, zone, "air_temperature").count() == 24
+
+
+def test_errors_are_recorded_whole(spark, tmp_path):
+    zone = Layout(str(tmp_path))
+
+    def fail():
+        raise ValueError("x" * 5000)
+
+    with pytest.raises(ValueError):
+        jobs._recorded(spark, zone, "stage", "wind", None, fail)
+    assert len(spark.read.parquet(zone.log("runs")).first().error) == 5000
+
+
+def test_curated_names_want_one_staged_version_and_true_lineage(spark, tmp_path):
+    zone = raw_zone(tmp_path)
+    known = spark.createDataFrame([], "station_id int, station_name string, latitude double, longitude double, elevation_m int")
+    for version in ("s_v1", "s_v2"):
+        jobs.stage(spark, zone, "air_temperature", version=version)
+    with pytest.raises(ValueError, match="several staged versions"):
+        jobs.curate(spark, zone, "air_temperature", known, version="v1")
+    for _ in range(2):
+        jobs.curate(spark, zone, "air_temperature", known, staged_version="s_v1", version="c_v1")
+    jobs.curate(spark, zone, "air_temperature", known, staged_version="s_v2", version="c_v2")
+    edges = {(r.child_id, r.parent_id) for r in spark.read.parquet(zone.log("lineage")).collect()}
+    child = "curated_temperature_features:c_v"
+    assert edges == {(f"{child}{i}", f"staged_temperature:s_v{i}") for i in (1, 2)}
+    assert spark.read.parquet(zone.log("lineage")).count() == 2
+    events = spark.read.parquet(zone.log("versions")).groupBy("version").count().collect()
+    assert {r.version: r["count"] for r in events} == {"c_v1": 4, "c_v2": 2}  # two quarters in each run
+
+
 def test_layout_rejects_unknown_names():
     zone = Layout("/x")
     for call in (zone.raw, zone.staged, zone.curated):

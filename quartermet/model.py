@@ -71,6 +71,7 @@ CURATED_NAMES: dict[str, str] = {
 # Dataset version states.
 VERSION_STATES = ("pending", "processing", "available", "deprecated", "failed")
 
+# The modes of the schema catalogue.
 COMPATIBILITY_MODES = ("BACKWARD", "FORWARD", "FULL", "NONE")
 
 
@@ -97,6 +98,7 @@ def measure_columns(product: str) -> list[str]:
     ]
 
 
+# Fixed values from here to CONTRACT: limits of the pipeline and of the data contract.
 @dataclass(frozen=True)
 class Profile:
     """Thresholds of cleaning and features."""
@@ -244,7 +246,7 @@ CURATED_TABLES: dict[str, tuple[Column, ...]] = {
     ),
 }
 
-# Columns whose NULL share the quality checks watch, by curated table.
+# Columns whose NULL share the quality checks watch, by curated table.
 CRITICAL_COLUMNS: dict[str, tuple[str, ...]] = {
     "temperature": ("temp_mean_c", "temp_min_c", "temp_max_c"),
     "precipitation": ("precip_total_mm", "precip_mean_mm"),

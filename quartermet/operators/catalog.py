@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_json, content_hash
 from ..functions.ranking import number_by_time
-from ..model import COMPATIBILITY_MODES, VERSION_STATES
+from ..model import VERSION_STATES
 
 SCHEMA = ("schema_name", "version")
 
@@ -209,10 +209,6 @@ def change_log(registry: DataFrame, deactivations: DataFrame) -> DataFrame:
     return registered.unionByName(switched)
 
 
-def unknown_modes(requests: DataFrame) -> DataFrame:
-    return requests.where(~F.col("compatibility_mode").isin(*COMPATIBILITY_MODES))
-
-
 def schema_json(registry: DataFrame) -> DataFrame:
     return registry.withColumn("definition", canonical_json("fields"))
 

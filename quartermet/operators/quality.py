@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import observed_at, percent, quarter_end, quarter_hours, quarter_start, ratio
-from ..model import CRITICAL_COLUMNS, KEY, PRODUCT_SCHEMAS, STATION, measure_columns
+from ..model import CRITICAL_COLUMNS, KEY, STATION, measure_columns
 
 PERIOD = ("year", "quarter")
 
@@ -80,8 +80,13 @@ def null_shares(
     return reduce(DataFrame.unionByName, parts)
 
 
-def null_excess(tables: dict[str, DataFrame], max_pct: float = 15.0) -> DataFrame:
-    return null_shares(tables).where(F.col("null_pct") > max_pct)
+def null_excess(
+    tables: dict[str, DataFrame],
+    max_pct: float = 15.0,
+    critical: dict[str, tuple[str, ...]] = CRITICAL_COLUMNS,
+) -> DataFrame:
+    """Columns and quarters with too large a NULL share."""
+    return null_shares(tables, critical).where(F.col("null_pct") > max_pct)
 
 
 def null_counts(df: DataFrame, *columns: str) -> DataFrame:
@@ -368,10 +373,6 @@ def missing_columns(df: DataFrame, required: tuple[str, ...]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
-def unknown_products(rows: DataFrame) -> DataFrame:
-    return rows.where(~F.col("product").isin(*PRODUCT_SCHEMAS))
-
-
 # ---------------------------------------------------------- duplicates
 
 def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:

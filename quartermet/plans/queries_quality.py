@@ -21,21 +21,23 @@ G = "station_id, year, quarter, dataset_version"
 @query(
     "dq_short_quarters",
     with_views("tagged")
-    + """SELECT product, year, quarter, count(*) AS row_count FROM tagged
-         GROUP BY product, year, quarter HAVING count(*) < 100000""",
+    + """SELECT product, year, quarter, count(*) AS row_count
+         FROM tagged WHERE count_observations >= 18
+         GROUP BY product, year, quarter HAVING count(*) < 11""",
 )
 def short_quarters(spark, sf_dir):
-    return quality.short_quarters(curated(spark, sf_dir), min_rows=100_000)
+    return quality.short_quarters(_well_observed(spark, sf_dir, 18), min_rows=11)
 
 
 @query(
     "dq_station_coverage",
     with_views("tagged")
-    + """SELECT product, year, quarter, count(DISTINCT station_id) AS station_count FROM tagged
-         GROUP BY product, year, quarter HAVING count(DISTINCT station_id) < 50000""",
+    + """SELECT product, year, quarter, count(DISTINCT station_id) AS station_count
+         FROM tagged WHERE count_observations >= 18
+         GROUP BY product, year, quarter HAVING count(DISTINCT station_id) < 11""",
 )
 def station_coverage(spark, sf_dir):
-    return quality.thin_coverage(curated(spark, sf_dir), min_stations=50_000)
+    return quality.thin_coverage(_well_observed(spark, sf_dir, 18), min_stations=11)
 
 
 @query(
@@ -44,11 +46,12 @@ def station_coverage(spark, sf_dir):
     + """SELECT product, year, quarter, row_count FROM (
            SELECT product, year, quarter, count(*) AS row_count,
              row_number() OVER (PARTITION BY product ORDER BY year DESC, quarter DESC) AS place
-           FROM tagged GROUP BY product, year, quarter HAVING count(*) < 100000)
+           FROM tagged WHERE count_observations >= 18
+           GROUP BY product, year, quarter HAVING count(*) < 11)
          WHERE place <= 10""",
 )
 def newest_short_quarters(spark, sf_dir):
-    found = quality.short_quarters(curated(spark, sf_dir), min_rows=100_000)
+    found = quality.short_quarters(_well_observed(spark, sf_dir, 18), min_rows=11)
     return quality.newest(found, 10, "product")
 
 
@@ -77,6 +80,14 @@ def null_share(spark, sf_dir):
     return quality.null_shares(curated(spark, sf_dir), _SHARES)
 
 
+@query(
+    "dq_null_excess",
+    with_views(*[f"f_{n}" for n in NAMES]) + f"SELECT * FROM ({_share_sql()}) WHERE null_pct > 1",
+)
+def null_excess(spark, sf_dir):
+    return quality.null_excess(curated(spark, sf_dir), 1.0, _SHARES)
+
+
 @query(
     "dq_null_counts",
     with_views("f_temperature")
@@ -361,11 +372,12 @@ def type_change_check(spark, sf_dir):
     with_views("tagged")
     + """SELECT check_name, check_type, status, year, quarter, product FROM (
            SELECT 'station_quarter_rows' AS check_name, 'completeness' AS check_type,
-             'failed' AS status, year, quarter, product FROM tagged
-           GROUP BY year, quarter, product HAVING count(*) < 100000)""",
+             'failed' AS status, year, quarter, product
+           FROM tagged WHERE count_observations >= 18
+           GROUP BY year, quarter, product HAVING count(*) < 11)""",
 )
 def dq_check_log(spark, sf_dir):
-    found = quality.short_quarters(curated(spark, sf_dir), min_rows=100_000)
+    found = quality.short_quarters(_well_observed(spark, sf_dir, 18), min_rows=11)
     at = F.make_date("year", F.col("quarter") * 3, F.lit(1)).cast("timestamp")
     log = quality.check_records(found, "station_quarter_rows", "completeness", "fail", at)
     result = F.from_json("result", "product string, year int, quarter int")

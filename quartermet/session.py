@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,13 +39,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for written tables, seen by every executor.
 
-    It lies below ``spark.checkpoint.dir``.  Only a local session may go
-    without that setting: there the machine's own temporary folder is shared by
-    all tasks.
+    It lies below ``spark.checkpoint.dir``.  Only a session in one process
+    (``local[...]``, as in tests) may go without that setting.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="quartermet-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"

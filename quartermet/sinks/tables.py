@@ -94,15 +94,25 @@ def write_by_station(df: DataFrame, path: str, version: str | None = None, **opt
 
 
 def table_statistics(df: DataFrame) -> DataFrame:
-    """Read-back check of a written table: one row, one scan."""
-    parts = [F.count(F.lit(1)).alias("total_rows"), F.lit(len(df.columns)).alias("schema_fields")]
-    parts.append(F.countDistinct("_file").alias("files"))
-    if "timestamp" in df.columns:
-        parts += [F.min("timestamp").alias("min_timestamp"), F.max("timestamp").alias("max_timestamp")]
+    """Read-back check of a written table: one row, one scan.
+
+    Rows are first summed up by file and station, so that the distinct counts
+    work on few of them.
+    """
     station = next((c for c in (STATION, "station_id") if c in df.columns), None)
+    timed = "timestamp" in df.columns
+    own = [F.count(F.lit(1)).alias("n")]
+    if timed:
+        own += [F.min("timestamp").alias("low"), F.max("timestamp").alias("high")]
+    keys = [F.col("_metadata.file_path").alias("_file")] + ([F.col(station).alias("_station")] if station else [])
+    summed = df.groupBy(*keys).agg(*own)
+    parts = [F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.lit(len(df.columns)).alias("schema_fields")]
+    parts.append(F.countDistinct("_file").alias("files"))
+    if timed:
+        parts += [F.min("low").alias("min_timestamp"), F.max("high").alias("max_timestamp")]
     if station:
-        parts.append(F.countDistinct(station).alias("distinct_stations"))
-    return df.withColumn("_file", F.col("_metadata.file_path")).agg(*parts)
+        parts.append(F.countDistinct("_station").alias("distinct_stations"))
+    return summed.agg(*parts)
 
 
 # ----------------------------------------------------------------- features

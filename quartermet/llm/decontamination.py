@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -259,8 +260,6 @@ def _again(done: DataFrame, block: list, window: int) -> DataFrame:
 
 def _merge(one, two, text):
     """Marks of two blocks over one text, united."""
-    import pandas as pd
-
     @F.pandas_udf(MADE)
     def unite(a: pd.DataFrame, b: pd.DataFrame, texts: pd.Series) -> pd.DataFrame:
         rows = []
@@ -291,8 +290,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover
 
 @F.pandas_udf(T.StringType())
 def _without(texts, spans):
-    import pandas as pd
-
     out = []
     for text, cuts in zip(texts, spans, strict=True):
         if text is None or cuts is None or not len(cuts):

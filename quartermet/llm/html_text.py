@@ -72,7 +72,7 @@ ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^
 class Costs:
     """Log odds by feature, and capacities between blocks."""
 
-    base: float = -1.0
+    base: float = -0.8
     words: float = 0.9  # for each natural logarithm of 1 + words
     links: float = -5.0  # times the share of characters in links
     sentence: float = 0.8  # ends like a sentence

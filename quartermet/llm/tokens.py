@@ -10,7 +10,7 @@ import numpy as np
 
 #: A space before more white space: such texts go to the library whole.
 _RUNS = re.compile(r" \s")
-#: Pieces remembered by one worker; beyond, those used once are forgotten.
+#: Pieces remembered by one worker; beyond, those used least are forgotten.
 REMEMBER = 450_000
 #: Characters of texts that are put together from pieces at once.
 STEP = 1_000_000
@@ -45,6 +45,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # Each piece is asked once: the library's own cache would only cost.
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)
         # A byte-level token is written with one character for each byte.
         sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, number in self.tokenizer.get_vocab().items():
@@ -58,10 +61,10 @@ class Encoder:
         self.uses = np.zeros(len(number), np.int32)
 
     def forget(self) -> None:
-        """Keep the pieces used more than once, if that is few enough."""
-        often = self.uses > 1
-        if often.sum() > REMEMBER // 2:
-            often[:] = False
+        """Keep the pieces used most, at most half of ``REMEMBER``."""
+        least = 2
+        while (often := self.uses >= least).sum() > REMEMBER // 2:
+            least *= 2
         number = _Numbers()
         for piece, yes in zip(self.number, often.tolist(), strict=True):
             if yes:

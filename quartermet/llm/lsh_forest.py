@@ -329,9 +329,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """Each document with n_shingles, component_id (smallest id of its group), th (MD5 of its text) and uid.
+    """Each document with n_shingles, component_id (smallest id of its group), th (MD5 of its text), uid and root.
 
-    ``uid`` tells rows apart, ``first`` is the smallest of the group's rows with the smallest id.
+    ``uid`` tells rows apart, ``root`` groups: ids may repeat or be NULL.  Rows without words have no root.
     """
     rows = stored(signed(docs), "signed")
     found = stored(classes(rows), "classes")
@@ -359,18 +359,17 @@ def groups(docs: DataFrame) -> DataFrame:
         least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         named = named.join(least, "root")
     else:
-        named = named.withColumn("component_id", F.col("doc_id"))
-    out = rows.select("uid", "doc_id", "n", "k", "th").join(named.select("k", "component_id"), "k", "left")
+        named = named.withColumn("component_id", F.col("doc_id")).withColumn("root", F.col("rep"))
+    out = rows.select("uid", "doc_id", "n", "k", "th").join(named.select("k", "component_id", "root"), "k", "left")
     linked = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("uid", "doc_id", F.col("n").alias("n_shingles"), linked.alias("component_id"), "th")
+    return out.select("uid", "doc_id", F.col("n").alias("n_shingles"), linked.alias("component_id"), "th", "root")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group: the first text of the smallest id; rows without words all stay."""
-    found = groups(docs)
-    keepers = found.where("n_shingles > 0 AND doc_id <=> component_id")
-    # Rows of one group that share the smallest id: the first text by its hash.
-    keepers = keepers.groupBy("component_id").agg(F.min("th").alias("th"))
+    # NULL ids come last; of rows that share the smallest id, the first text by its hash.
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th")
+    keepers = groups(docs).where("n_shingles > 0").groupBy("root").agg(F.min(order).alias("first")).select("first.*")
     th = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
     row = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -378,6 +377,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"),
     )
     chosen = row.where("worded").alias("r").join(
-        keepers.alias("k"), F.expr("r.id <=> k.component_id AND r.th = k.th"), "left_semi"
+        keepers.alias("k"), F.expr("r.id <=> k.doc_id AND r.th = k.th"), "left_semi"
     )
+    # Rows of one id and text are of one group.
     return chosen.dropDuplicates(["id", "th"]).select("row.*").union(row.where("NOT worded").select("row.*"))

@@ -4,18 +4,22 @@ A document's set holds its distinct shingles of five words (A-Z as a-z; fewer
 words are one shingle).  Equal sets form a class; everything after works on
 classes, so exact copies cost nothing.  Each of ``TREES`` trees orders the classes
 by a label of ``DEPTH`` MinHashes.  Classes with a common prefix of ``LEAST``
-labels form a region; a region of more than ``REGION`` classes is split by longer
-prefixes, each part as deep as it needs.  Within a region classes are compared by
-sketches of 128 bytes; pairs below ``LIKELY`` are left out (a link at the
-threshold lies three standard errors above), the others are candidates.
+labels form a region.  Within a region classes are compared by sketches of 128
+bytes; pairs below ``LIKELY`` are left out (a link at the threshold lies three
+standard errors above), the others are candidates.
 
 Candidates are confirmed on full sets in rounds: first each class with its best
 partner and the centre of its region, then, always between classes not yet
-connected, the best few, and at last all.  The last round sends no pairs: the sets
-of the classes that still have a likely partner in another group go to the
-region, which compares them there.  So a group of thousands of near copies makes
-as many rows as it has members, and no pair that could still join two groups is
-left unconfirmed.
+connected, the best few, and at last all.  A region of more than ``REGION`` classes
+is dealt by chance into parts in the first rounds, other ones in each tree and
+round.  In the last round the classes outside the region's largest group ask and
+all are asked, and each block of those that ask meets each block of those asked in
+a task group of its own: at any size all pairs that could still join two groups are
+compared, and no task holds more than two blocks.  That round sends no pairs: the
+sets of the classes that still have a likely partner in another group go to the
+blocks, which compare them there and give the links that join groups.  So a group
+of thousands of near copies makes as many rows as it has members; classes that
+share labels and are no near copies cost up to the square of their number.
 
 NULL and empty texts, and those of white space, have no words: they are linked with
 nothing and are their own group.  Rows that repeat an id stand for themselves;
@@ -38,12 +42,17 @@ WORDS = 5
 #: Links share so many hundredths of their union.
 SIMILAR = 75
 TREES, DEPTH, LEAST = 16, 8, 3
+#: Most classes of a region that are compared in one piece, and about the most of two blocks.
 REGION = 4096
+#: Shingles of a block, about (a single class may have more).
+SHINGLES = 1 << 21
 LIKELY = 0.63
 #: Best partners confirmed for each class in each round; then all.
 ROUNDS = (1, 2)
 SIGNED = "uid long, doc_id long, n long, k binary, th binary, sig binary"
 PAIRS = "a long, b long"
+PART = ["key", "x", "y"]
+BLOCK = "key long, x long, y long, tree int, rep long, component long, sig binary, other boolean, asks boolean, asked boolean"
 
 
 def shingles(words: np.ndarray) -> np.ndarray:
@@ -115,26 +124,19 @@ def classes(rows: DataFrame) -> DataFrame:
     """Equal sets as one row: k, rep, doc_id (smallest), n, th (of one of the texts), sig."""
     return rows.where("n > 0").groupBy("k").agg(
         F.min("uid").alias("rep"), F.min("doc_id").alias("doc_id"), F.min("th").alias("th"),
-        F.any_value("sig").alias("sig"),
+        F.any_value("n").alias("n"), F.any_value("sig").alias("sig"),
     )
 
 
 def forest(found: DataFrame) -> DataFrame:
-    """Classes by region: key, tree, rep, sig, whole; only regions of two and more.
-
-    ``whole`` has a bit for each tree in which the class lies in a region that is
-    not split.
-    """
+    """Classes by region: key, tree, c (classes of the region), rep, n, sig; only regions of two and more."""
     keys = [F.xxhash64(F.lit(t), F.substring("sig", t * DEPTH * 4 + 1, LEAST * 4)) for t in range(TREES)]
     places = found.select("rep", F.posexplode(F.array(*keys)).alias("tree", "key"))
     shared = places.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    bit = F.when(F.col("c") <= REGION, F.expr("shiftleft(1, tree)")).otherwise(0)
-    own = places.join(shared, "key").groupBy("rep").agg(
-        F.sum(bit).cast("int").alias("whole"), F.collect_list(F.struct("tree", "key")).alias("at")
-    )
-    rows = own.join(found.select("rep", "sig"), "rep")
-    return rows.select("rep", "whole", "sig", F.explode("at").alias("at")).select(
-        "at.key", "at.tree", "rep", "sig", "whole"
+    own = places.join(shared, "key").groupBy("rep").agg(F.collect_list(F.struct("tree", "key", "c")).alias("at"))
+    rows = own.join(found.select("rep", "n", "sig"), "rep")
+    return rows.select("rep", "n", "sig", F.explode("at").alias("at")).select(
+        "at.key", "at.tree", "at.c", "rep", "n", "sig"
     )
 
 
@@ -162,7 +164,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(spell, "rep long, own binary").groupBy("rep").agg(F.any_value("own").alias("own"))
 
 
-def candidates(sketches: np.ndarray, groups: np.ndarray, top: int | None) -> np.ndarray:
+def candidates(sketches: np.ndarray, groups: np.ndarray, top: int) -> np.ndarray:
     """Pairs of places of a region that may be links and would join two groups.
 
     Members of the largest group ask for none: the other side does.
@@ -181,16 +183,12 @@ def candidates(sketches: np.ndarray, groups: np.ndarray, top: int | None) -> np.
         same[groups[own, None] == groups[None, :]] = 0
         same[same < least] = 0
         likely += same.sum(0)
-        if top is None:
-            i, j = np.nonzero(same)
-            out.append(np.stack([own[i], j], 1))
-            continue
         for _ in range(top):
             best = same.argmax(1)
             i = np.flatnonzero(same[np.arange(len(same)), best])
             out.append(np.stack([own[i], best[i]], 1))
             same[i, best[i]] = 0
-    if top is not None and likely.any():
+    if likely.any():
         # The class most like the others: the text that the copies were made from.
         centre = int(likely.argmax())
         same = (sketches[asking] == sketches[centre]).sum(1)
@@ -199,116 +197,140 @@ def candidates(sketches: np.ndarray, groups: np.ndarray, top: int | None) -> np.
     return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
 
-def met_before(pairs: np.ndarray, labels: np.ndarray, whole: np.ndarray, tree: int) -> np.ndarray:
-    """Pairs that an earlier tree compares too; labels by row, tree and depth."""
-    met = np.zeros(len(pairs), bool)
-    for t in range(tree):
-        both = (whole[pairs[:, 0]] & whole[pairs[:, 1]]) >> t & 1
-        met |= both.astype(bool) & (labels[pairs[:, 0], t, :LEAST] == labels[pairs[:, 1], t, :LEAST]).all(1)
-    return met
-
-
-def split_region(labels: np.ndarray, depth: int = LEAST) -> Iterator[np.ndarray]:
-    """Places of a region's parts, each with as long a prefix as its size needs; labels (rows of numbers) are sorted.
-
-    Labels equal to the last are cut into overlapping runs of neighbours.
-    """
-    if len(labels) <= REGION:
-        yield np.arange(len(labels))
-        return
-    if depth == labels.shape[1]:
-        for a in range(0, len(labels), REGION // 2):
-            yield np.arange(a, min(a + REGION, len(labels)))
-        return
-    cuts = np.flatnonzero(np.diff(labels[:, depth])) + 1
-    begin = 0
-    for end in [*cuts.tolist(), len(labels)]:
-        for part in split_region(labels[begin:end], depth + 1):
-            yield part + begin
-        begin = end
-
-
 class Region:
-    """The classes of one region, sorted by their labels."""
+    """Classes of one region, or of two blocks of one."""
 
     def __init__(self, rows: pa.Table):
         self.rows = rows
         self.tree = rows.column("tree")[0].as_py()
-        self.reps, self.groups, self.whole = (rows.column(c).to_numpy() for c in ("rep", "component", "whole"))
+        self.reps, self.groups = (rows.column(c).to_numpy() for c in ("rep", "component"))
         raw = b"".join(rows.column("sig").to_pylist())
         self.sigs = np.frombuffer(raw, ">u4").reshape(len(self.reps), TREES, DEPTH)
-
-    def pairs(self, top: int | None) -> np.ndarray:
-        """Places of candidates; of all of them, those that no earlier tree compares."""
-        sketches = (self.sigs & 255).astype(np.uint8).reshape(len(self.reps), -1)
-        parts = split_region(self.sigs[:, self.tree])
-        found = np.concatenate([p[candidates(sketches[p], self.groups[p], top)] for p in parts])
-        found = np.unique(np.sort(found, 1), axis=0)
-        return found if top is not None else found[~met_before(found, self.sigs, self.whole, self.tree)]
+        self.sketches = (self.sigs & 255).astype(np.uint8).reshape(len(self.reps), -1)
+
+    def open_pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of classes that ask and are asked, may be links, would join two groups and meet in no earlier tree."""
+        other, asks, asked = (self.rows.column(c).to_numpy() for c in ("other", "asks", "asked"))
+        asking, asked = np.flatnonzero(asks), np.flatnonzero(asked)
+        there, width = self.sketches[asked], self.sketches.shape[1]
+        least = int(LIKELY * width)
+        block = max(1, (1 << 23) // (max(1, len(asked)) * width))
+        for a in range(0, len(asking), block):
+            own = asking[a : a + block]
+            same = (self.sketches[own, None, :] == there[None, :, :]).sum(2, dtype=np.int32) >= least
+            same &= self.groups[own, None] != self.groups[asked]
+            # Two that both ask meet twice: the smaller asks.
+            same &= ~(other[asked] & (self.reps[asked] < self.reps[own, None]))
+            i, j = np.nonzero(same)
+            i, j = own[i], asked[j]
+            met = np.zeros(len(i), bool)
+            for t in range(self.tree):
+                met |= (self.sigs[i, t, :LEAST] == self.sigs[j, t, :LEAST]).all(1)
+            yield i[~met], j[~met]
 
 
-def by_region(rows: DataFrame, work: Callable[[Region], list | None], schema: str) -> DataFrame:
-    """Run ``work`` on each region of two classes and more; it gives the columns of its rows."""
+def by_part(rows: DataFrame, work: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """Run ``work`` on the rows of each key, x, y, if two and more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        last: list[int] = []
 
         def done() -> Iterator[pa.RecordBatch]:
-            if sum(x.num_rows for x in held) > 1 and (made := work(Region(pa.Table.from_batches(held)))):
-                yield batch_of(schema, made)
+            if sum(x.num_rows for x in held) > 1 and (made := work(pa.Table.from_batches(held))):
+                yield made
 
         for batch in batches:
-            keys = batch.column("key").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            keys = np.stack([batch.column(c).to_numpy() for c in PART], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if held and held[0].column("key")[0].as_py() != keys[a]:
+                if a < b and last != keys[a].tolist():
                     yield from done()
-                    held = []
+                    held, last = [], keys[a].tolist()
                 held.append(batch.slice(a, b - a))
         yield from done()
 
-    label = F.expr(f"substring(sig, tree * {DEPTH * 4} + 1, {DEPTH * 4})")
-    dealt = rows.withColumn("label", label).repartition("key").sortWithinPartitions("key", "label", "rep")
-    return dealt.drop("label").mapInArrow(run, schema)
+    return rows.repartition(*PART).sortWithinPartitions(*PART, "rep").mapInArrow(run, schema)
 
 
 def likely_pairs(regions: DataFrame, top: int) -> DataFrame:
     """Distinct pairs a < b of the best candidates."""
 
-    def work(region: Region) -> list | None:
-        pairs = np.sort(region.reps[region.pairs(top)], 1)
-        return [pairs[:, 0], pairs[:, 1]] if len(pairs) else None
+    def work(rows: pa.Table) -> pa.RecordBatch | None:
+        region = Region(rows)
+        pairs = np.unique(np.sort(region.reps[candidates(region.sketches, region.groups, top)], 1), axis=0)
+        return batch_of(PAIRS, [pairs[:, 0], pairs[:, 1]]) if len(pairs) else None
+
+    parts = F.when(F.col("c") > REGION, F.ceil(F.col("c") * 2 / REGION)).otherwise(1)
+    part = F.pmod(F.xxhash64("rep", "tree", F.lit(top)), parts)
+    dealt = regions.select("key", part.alias("x"), F.lit(0).cast("long").alias("y"), "tree", "rep", "component", "sig")
+    return by_part(dealt, work, PAIRS).distinct()
+
+
+def blocks(regions: DataFrame) -> DataFrame:
+    """Rows BLOCK: each block of classes outside the region's largest group (``other``) with each block of its classes.
+
+    A region that is small enough is one part, its rows ask and are asked; regions of one group are left out.
+    """
+    sizes = regions.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("size"))
+    whole = sizes.groupBy("key").agg(
+        F.max(F.struct("m", "component", "size")).alias("top"), F.sum("m").alias("all"), F.sum("size").alias("size")
+    )
+    rows = regions.join(whole.where("all > top.m"), "key")
+
+    def deal(classes, shingles):
+        return F.greatest(F.ceil(classes * 2 / REGION), F.ceil(shingles / SHINGLES), F.lit(1))
+
+    def at(x, y, asks, asked):
+        return F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), asks.alias("asks"), asked.alias("asked"))
 
-    return by_region(regions, work, PAIRS).distinct()
+    rows = rows.withColumn("other", F.col("component") != F.col("top.component"))
+    rows = rows.withColumn("across", deal(F.col("all") - F.col("top.m"), F.col("size") - F.col("top.size")))
+    rows = rows.withColumn("down", deal(F.col("all"), F.col("size")))
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0).cast("long")
+    x, y = F.pmod(F.xxhash64("rep"), "across"), F.pmod(F.xxhash64("rep", F.lit(1)), "down")
+    asks = F.transform(F.sequence(zero, F.col("down") - 1), lambda k: at(x, k, yes, no))
+    asked = F.transform(F.sequence(zero, F.col("across") - 1), lambda k: at(k, y, no, yes))
+    one = (F.col("all") <= REGION) & (F.col("size") <= 2 * SHINGLES)
+    places = F.when(one, F.array(at(zero, zero, F.col("other"), yes))).when(F.col("other"), F.concat(asks, asked))
+    rows = rows.withColumn("at", F.explode(places.otherwise(asked)))
+    return rows.select("key", "at.x", "at.y", "tree", "rep", "component", "sig", "other", "at.asks", "at.asked")
 
 
 def rest_confirmed(regions: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links among all candidates, found where the sets of their classes meet."""
+    """Links that join groups, of all candidates, found where the sets of their classes meet."""
 
-    def involved(region: Region) -> list | None:
-        at = np.unique(region.pairs(None))
-        return [np.full(len(at), region.rows.column("key")[0].as_py()), region.reps[at]] if len(at) else None
+    def involved(rows: pa.Table) -> pa.RecordBatch | None:
+        live = np.zeros(rows.num_rows, bool)
+        for i, j in Region(rows).open_pairs():
+            live[i] = live[j] = True
+        return rows.filter(pa.array(live)).combine_chunks().to_batches()[0] if live.any() else None
 
-    def links(region: Region) -> list | None:
-        pairs = region.pairs(None)
-        own = [np.frombuffer(x, "<u8") for x in region.rows.column("own").to_pylist()]
+    def links(rows: pa.Table) -> pa.RecordBatch | None:
+        region = Region(rows)
+        own = [np.frombuffer(x, "<u8") for x in rows.column("own").to_pylist()]
         _, flat = np.unique(np.concatenate(own), return_inverse=True)
         sizes = np.array([len(x) for x in own])
-        ends = np.cumsum(sizes)
-        seen = np.zeros(int(flat.max()) + 1, bool)
+        flat = np.split(flat, np.cumsum(sizes)[:-1])
+        seen = np.zeros(max(int(x.max()) for x in flat) + 1, bool)
+        group = np.unique(region.groups, return_inverse=True)[1]
         found = []
-        for i in np.unique(pairs[:, 0]):
-            seen[flat[ends[i] - sizes[i] : ends[i]]] = True
-            both = np.add.reduceat(seen[flat], ends - sizes, dtype=np.int64)
-            seen[flat[ends[i] - sizes[i] : ends[i]]] = False
-            j = pairs[pairs[:, 0] == i, 1]
-            j = j[100 * both[j] >= SIMILAR * (sizes[i] + sizes[j] - both[j])]
-            found.append(np.stack([np.full(len(j), i), j], 1))
+        for one, two in region.open_pairs():
+            for i in np.unique(one):
+                j = two[one == i]
+                j = j[group[j] != group[i]]
+                seen[flat[i]] = True
+                both = np.array([np.count_nonzero(seen[flat[k]]) for k in j], np.int64)
+                seen[flat[i]] = False
+                j = j[100 * both >= SIMILAR * (sizes[i] + sizes[j] - both)]
+                # One link to each group that it joins; what is joined is not compared again.
+                joined_groups, at = np.unique(group[j], return_index=True)
+                found.append(np.stack([np.full(len(at), i), j[at]], 1))
+                group[np.isin(group, joined_groups)] = group[i]
         kept = np.sort(region.reps[np.concatenate(found)], 1) if found else np.zeros((0, 2), np.int64)
-        return [kept[:, 0], kept[:, 1]] if len(kept) else None
+        return batch_of(PAIRS, [kept[:, 0], kept[:, 1]]) if len(kept) else None
 
-    some = by_region(regions, involved, "key long, rep long")
-    return by_region(regions.join(some, ["key", "rep"]).join(sets, "rep"), links, PAIRS)
+    return by_part(by_part(blocks(regions), involved, BLOCK).join(sets, "rep"), links, PAIRS)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -345,7 +367,7 @@ def groups(docs: DataFrame) -> DataFrame:
         else:
             grouped = regions.join(joins, regions["rep"] == joins["node"], "left")
             grouped = grouped.withColumn("component", F.coalesce("component", "rep"))
-        grouped = grouped.select("key", "tree", "rep", "component", "sig", "whole")
+        grouped = grouped.select("key", "tree", "c", "rep", "n", "component", "sig")
         found_now = rest_confirmed(grouped, sets) if top is None else confirmed(likely_pairs(grouped, top), sets)
         new = stored(found_now, "links")
         if new.isEmpty():

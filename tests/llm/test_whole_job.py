@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
+import pytest
+from pyspark import cloudpickle
 
 from quartermet.llm import lsh_forest
 
@@ -20,6 +24,34 @@ def changed(text: str, every: int) -> str:
     return " ".join(words)
 
 
+@pytest.fixture
+def by_value():
+    """Workers see patched bounds."""
+    cloudpickle.register_pickle_by_value(lsh_forest)
+    yield
+    cloudpickle.unregister_pickle_by_value(lsh_forest)
+
+
+@pytest.mark.parametrize(("region", "shingles"), [(2, 1 << 21), (4096, 900)])
+def test_large_regions_are_compared_whole(spark, monkeypatch, by_value, region, shingles):
+    monkeypatch.setattr(lsh_forest, "REGION", region)
+    monkeypatch.setattr(lsh_forest, "SHINGLES", shingles, raising=False)
+    parts, rows = [prose(12) for _ in range(26)], []
+    for k in range(80):  # every text has most parts of one template; pairs differ in three
+        own = np.sort(RNG.permutation(26)[:21])
+        less = np.delete(own, [3 + k % 3, 9 + k % 4, 15 + k % 5])
+        rows += [(k, " ".join(parts[i] for i in own)), (1000 + k, " ".join(parts[i] for i in less))]
+    sets = [set(zip(*[t.split()[i:] for i in range(5)])) for _, t in rows]
+    names, root = [i for i, _ in rows], list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            root = [root[a] if x == root[b] else x for x in root]
+    want = {names[k]: min(names[j] for j in range(len(rows)) if root[j] == root[k]) for k in range(len(rows))}
+    assert len(set(want.values())) > 40
+    got = lsh_forest.groups(spark.createDataFrame([(i, t, 1, "r", 2) for i, t in rows], SCHEMA)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_groups_of_one_name_stay_apart(spark):
     one, two, three, four = prose(60), prose(60), prose(60), prose(60)
     rows = [(None, one), (None, two), (None, changed(two, 70)), (7, three), (7, four), (7, changed(four, 70)), (8, four)]

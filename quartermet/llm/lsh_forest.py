@@ -5,8 +5,8 @@ words are one shingle).  Equal sets form a class; everything after works on
 classes, so exact copies cost nothing.  Each of ``TREES`` trees orders the classes
 by a label of ``DEPTH`` MinHashes.  Classes with a common prefix of ``LEAST``
 labels form a region.  Within a region classes are compared by sketches of 128
-bytes; pairs below ``LIKELY`` are left out (a link at the threshold lies three
-standard errors above), the others are candidates.
+bytes; pairs below ``LIKELY`` are left out (a link at the threshold lies four
+standard errors above: 1 in 100,000 of them is lost), the others are candidates.
 
 Candidates are confirmed on full sets in rounds: first each class with its best
 partner and the centre of its region, then, always between classes not yet
@@ -46,7 +46,7 @@ TREES, DEPTH, LEAST = 16, 8, 3
 REGION = 4096
 #: Shingles of a block, about (a single class may have more).
 SHINGLES = 1 << 21
-LIKELY = 0.63
+LIKELY = 0.58
 #: Best partners confirmed for each class in each round; then all.
 ROUNDS = (1, 2)
 SIGNED = "uid long, doc_id long, n long, k binary, th binary, sig binary"

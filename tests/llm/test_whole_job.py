@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pytest
@@ -60,3 +61,9 @@ def test_groups_of_one_name_stay_apart(spark):
     assert len(kept) == len(texts) == 4 and {one, three} <= texts
     assert len(texts & {two, changed(two, 70)}) == len(texts & {four, changed(four, 70)}) == 1
     assert [r.doc_id for r in kept].count(None) == [r.doc_id for r in kept].count(7) == 2
+
+
+def test_sketches_lose_no_links():
+    least, share = int(lsh_forest.LIKELY * 128), 0.75 + 0.25 / 256
+    lost = sum(math.comb(128, k) * share**k * (1 - share) ** (128 - k) for k in range(least))
+    assert lost < 0.00002

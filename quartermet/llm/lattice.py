@@ -6,7 +6,9 @@ probing, to the nearest point of E8's other half (E8 is D8 and D8 shifted by one
 half).  A vector is filed under both cells, so it meets the vectors of its own and
 of neighbouring cells; the cosine of all that meet is computed in double
 precision.  Equal vectors are one class and compared once.  A pair that meets in
-several cells counts in the first.
+several cells counts in the first.  The classes of a cell of more than ``CELL`` are
+dealt by chance into blocks, and each pair of blocks is a task group of its own: no
+task holds more than two blocks, at the cost of a row for each class and block.
 
 With ``SCALE`` 1 and 20 tables a pair at cosine 0.95 meets with probability 0.999
 (any dimension: the projection only sees the distance); unrelated vectors share a
@@ -30,6 +32,9 @@ from pyspark.sql import functions as F
 from .common import batch_of, components, mix, stored
 
 TABLES, SCALE = 20, 1.0
+#: Most classes of a cell that are compared in one piece, and about the most of two blocks.
+CELL = 4096
+PART = ["cell", "x", "y"]
 SIMILAR = 0.95
 PARSED = "uid long, vec_id long, k binary, vec binary"
 FILED = "rep long, cells binary"
@@ -117,10 +122,16 @@ def filed(found: DataFrame, tables: int, scale: float) -> DataFrame:
 
 
 def _one_cell(rows: pa.Table, similar: float) -> pa.RecordBatch | None:
-    """Links within one cell: each class with its root there and how many vectors it links that no cell before counts."""
+    """Links of a cell or of two of its blocks: each class with its root there and how many vectors it links.
+
+    Links that a cell before counts are left out of the number.
+    """
     key = np.uint64(rows.column("cell")[0].as_py() & (1 << 64) - 1)
     order = np.argsort(rows.column("rep").to_numpy())
     reps, copies = rows.column("rep").to_numpy()[order], rows.column("copies").to_numpy()[order]
+    side = rows.column("block").to_numpy()[order]
+    # The classes of two blocks meet their own kind where a block meets itself.
+    across = rows.column("x")[0].as_py() != rows.column("y")[0].as_py()
     raw, own = (rows.column(c).to_pylist() for c in ("vec", "cells"))
     vec = np.frombuffer(b"".join(raw[i] for i in order)).reshape(len(reps), -1)
     filed_in = np.frombuffer(b"".join(own[i] for i in order), np.uint64).reshape(len(reps), -1)
@@ -132,7 +143,8 @@ def _one_cell(rows: pa.Table, similar: float) -> pa.RecordBatch | None:
     for a in range(0, len(reps), block):
         i, j = np.nonzero(unit[a : a + block] @ unit.T >= similar)
         i += a
-        i, j = i[i < j], j[i < j]
+        new = (i < j) & (side[i] != side[j]) if across else i < j
+        i, j = i[new], j[new]
         met = np.zeros(len(i), bool)
         for t in range(here):
             one, two = filed_in[i, 2 * t : 2 * t + 2], filed_in[j, 2 * t : 2 * t + 2]
@@ -143,7 +155,11 @@ def _one_cell(rows: pa.Table, similar: float) -> pa.RecordBatch | None:
         met |= shared.min(1) != key
         np.add.at(counted, i[~met], copies[j[~met]])
         np.add.at(counted, j[~met], copies[i[~met]])
-        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+        # Pairs that are joined already bring nothing.
+        while (root[root] != root).any():
+            root = root[root]
+        edges = np.unique(np.stack([root[i], root[j]], 1)[root[i] != root[j]], axis=0)
+        for x, y in edges.tolist():
             while root[x] != x:
                 root[x] = root[root[x]]
                 x = root[x]
@@ -158,10 +174,11 @@ def _one_cell(rows: pa.Table, similar: float) -> pa.RecordBatch | None:
 
 
 def links_by_cell(rows: DataFrame, similar: float) -> DataFrame:
-    """Columns a, b (an edge to the root of its cell), n; of rows cell, rep, copies, vec, cells."""
+    """Columns a, b (an edge to the root of its part), n; of rows cell, c (its classes), rep, copies, vec, cells."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        last: list[int] = []
 
         def done() -> Iterator[pa.RecordBatch]:
             if sum(x.num_rows for x in held) > 1:
@@ -173,17 +190,23 @@ def links_by_cell(rows: DataFrame, similar: float) -> DataFrame:
                         yield made
 
         for batch in batches:
-            keys = batch.column("cell").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            keys = np.stack([batch.column(c).to_numpy() for c in PART], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if held and held[0].column("cell")[0].as_py() != keys[a]:
+                if a < b and last != keys[a].tolist():
                     yield from done()
-                    held = []
+                    held, last = [], keys[a].tolist()
                 held.append(batch.slice(a, b - a))
         yield from done()
 
-    rows = rows.select("cell", "rep", "copies", "vec", "cells").repartition("cell").sortWithinPartitions("cell")
-    return rows.mapInArrow(compare, LINKS)
+    blocks = F.when(F.col("c") > CELL, F.ceil(F.col("c") * 2 / CELL)).otherwise(1)
+    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep", "cell"), "blocks"))
+    met = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    rows = rows.withColumn("met", met).select(
+        "cell", F.least("block", "met").alias("x"), F.greatest("block", "met").alias("y"), "block",
+        "rep", "copies", "vec", "cells",
+    )
+    return rows.repartition(*PART).sortWithinPartitions(*PART).mapInArrow(compare, LINKS)
 
 
 def near_vectors(
@@ -200,7 +223,7 @@ def near_vectors(
     )
     own = stored(filed(found, tables, scale), "cells")
     cell = _unpacked(own)
-    shared = cell.groupBy("cell").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("cell")
+    shared = cell.groupBy("cell").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     met = cell.join(shared, "cell")
     rest = found.select("rep", "copies", "vec").join(own, "rep")
     links = stored(links_by_cell(met.join(rest, "rep"), similar), "vector-links")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark import cloudpickle
 
-from quartermet.llm import lsh_forest
+from quartermet.llm import lattice, lsh_forest
 
 RNG = np.random.default_rng(31)
 SCHEMA = "doc_id long, text string, chunk int, row string, n int"
@@ -63,6 +63,33 @@ def test_groups_of_one_name_stay_apart(spark):
     assert [r.doc_id for r in kept].count(None) == [r.doc_id for r in kept].count(7) == 2
 
 
+def test_large_cells_are_dealt(spark, monkeypatch):
+    cloudpickle.register_pickle_by_value(lattice)
+    monkeypatch.setattr(lattice, "CELL", 8, raising=False)
+    one_cell = lattice._one_cell
+
+    def bounded(rows, similar):
+        assert rows.num_rows <= 24  # two blocks of about four each
+        return one_cell(rows, similar)
+
+    monkeypatch.setattr(lattice, "_one_cell", bounded)
+    base = RNG.normal(size=(3, 16))
+    rows = [(k, (base[k % 3] + RNG.normal(size=16) * 0.2).tolist()) for k in range(150)]
+    rows += [(150 + k, rows[0][1]) for k in range(3)] + [(160, [1.0, 2.0]), (161, [1.0, 2.0])]
+    unit = [np.array(v) / np.linalg.norm(v) for _, v in rows]
+    linked = np.array([[len(a) == len(b) and a @ b >= 0.95 for b in unit] for a in unit])
+    reach = linked
+    for _ in range(8):
+        reach = reach @ reach
+    try:
+        got = lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    finally:
+        cloudpickle.unregister_pickle_by_value(lattice)
+    want = {rows[k][0]: (int(linked[k].sum()) - 1, rows[int(reach[k].argmax())][0]) for k in range(len(rows))}
+    assert max(n for n, _ in want.values()) > 30
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+
+
 def test_sketches_lose_no_links():
     least, share = int(lsh_forest.LIKELY * 128), 0.75 + 0.25 / 256
     lost = sum(math.comb(128, k) * share**k * (1 - share) ** (128 - k) for k in range(least))

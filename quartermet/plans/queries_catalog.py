@@ -290,6 +290,13 @@ def version_state_values(spark, sf_dir):
     return catalog.fold_versions(events, order=("at", "step", "rank")).select("version_id", "status")
 
 
+def _created(spark, sf_dir):
+    """Current state of the versions that were created, at the time of their creation event."""
+    events = views.version_events(spark, sf_dir).withColumn("made", F.when(F.col("step") == 0, F.col("at")))
+    state = catalog.fold_versions(events).where("made IS NOT NULL")
+    return state.drop("created_at").withColumnRenamed("made", "created_at")
+
+
 @query(
     "version_latest",
     """SELECT dataset_name, version_id, version, created_at FROM (
@@ -299,8 +306,7 @@ def version_state_values(spark, sf_dir):
          FROM orders) WHERE place = 1""",
 )
 def version_latest(spark, sf_dir):
-    created = views.version_events(spark, sf_dir).where(F.col("step") == 0)
-    versions = created.select("version_id", "dataset_name", "version", F.col("at").alias("created_at"))
+    versions = _created(spark, sf_dir).select("version_id", "dataset_name", "version", "created_at")
     return catalog.latest_versions(versions).select(
         "dataset_name", "version_id", "version", "created_at"
     )
@@ -313,8 +319,7 @@ def version_latest(spark, sf_dir):
        ORDER BY created_at DESC, version_id DESC LIMIT 10""",
 )
 def version_recent(spark, sf_dir):
-    created = views.version_events(spark, sf_dir).where(F.col("step") == 0)
-    versions = created.select("version_id", "status", F.col("at").alias("created_at"))
+    versions = _created(spark, sf_dir)
     as_of = F.lit("1998-06-01").cast("timestamp_ntz")
     return catalog.recent_versions(versions, as_of, 30, k=10).select("version_id", "created_at")
 

@@ -3,10 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
+#: A row's place within its task fills the low bits of Spark's increasing ids.
+ROW_BITS = 33
+
+
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """``df`` with ``name``: 1, 2, … by ``order`` (NULL first) within each group of ``by``.
+
+    A window over a group would sort it in one task.  Here rows are dealt by
+    ranges of group and order, so a large group takes several tasks, sorted and
+    written with their places; then each range starts behind the ranges before
+    it.  Only counts of rows for each range and group are ever ordered in one
+    place.  Rows that tie in ``order`` are numbered in any order; many of them
+    fill one range, so add a column that tells them apart.  NULLs of ``by`` form a group.
+    """
+    spark, keys = df.sparkSession, [*by, *order]
+    place = F.monotonically_increasing_id().alias("_place")
+    ranged = df.repartitionByRange(*keys) if keys else df
+    path = shared_folder(spark, "numbered")
+    ranged.sortWithinPartitions(*keys).select("*", place).write.parquet(path)
+    rows = spark.read.parquet(path).select(
+        *df.columns,
+        F.shiftright("_place", ROW_BITS).alias("_range"),
+        F.col("_place").bitwiseAND((1 << ROW_BITS) - 1).alias("_row"),
+    )
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    starts = starts.select(
+        *(F.col(c).alias(f"_by_{c}") for c in by),
+        F.col("_range").alias("_of"),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+    )
+    same: list[Column] = [F.col("_range") == F.col("_of"), *(F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by)]
+    joined = rows.join(starts, reduce(lambda a, b: a & b, same))
+    return joined.select(*df.columns, (F.col("_shift") + F.col("_row")).alias(name))
+
 
 def number_by_time(df: DataFrame, by: Sequence[str], time: str, ties: Sequence[str]) -> tuple[DataFrame, Column]:
     """Rows with a column that numbers them 1, 2, … in their group by time.

@@ -12,11 +12,13 @@ from pyspark.sql import types as T
 
 from ..plans.registry import Query
 from ..session import shared_folder
-from . import decontamination, html_text, huffman, lattice, lsh_forest, packing, pii, suffixes, toxicity, windows
+from . import (
+    decontamination, html_text, huffman, lattice, lsh_forest, merkle, packing, pii, sql, suffixes, toxicity, windows,
+)
 from .common import stored, table
 
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_merkle_witnesses": sql.MERKLE}
 
 
 def query(f: Query) -> Query:
@@ -135,3 +137,15 @@ def op4_skip_chain_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.col("counts")[i].alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
     return found.select(F.col("row.doc_id").alias("doc_id"), *counts, "base_sha256", "spans")
+
+
+@query
+def op11_merkle_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = {c: F.col(c) + 1 if c == "n_chars" else F.col(c) for c in merkle.COLUMNS}
+    found = merkle.manifest(table(spark, sf_dir, "documents"), carry={"tampered": F.when(tampered, merkle.leaf(changed))})
+    start = F.coalesce("tampered", "leaf")
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("siblings")).cast("binary"), 256).alias("proof_sha256"),
+        merkle.fold(start, F.col("sides"), F.col("siblings")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))

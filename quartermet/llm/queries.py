@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..plans.registry import Query
 from ..session import shared_folder
 from . import (
-    decontamination, html_text, huffman, lattice, lsh_forest, merkle, packing, pii, sql, suffixes, toxicity, windows,
+    decontamination, html_text, huffman, lattice, lsh_forest, merkle, packing, pii, secret_scan, sql, suffixes, toxicity, windows,
 )
 from .common import stored, table
 
@@ -149,3 +149,16 @@ def op11_merkle_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("siblings")).cast("binary"), 256).alias("proof_sha256"),
         merkle.fold(start, F.col("sides"), F.col("siblings")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def ranks_path() -> str:
+    """The byte-level vocabulary as ranks of its tokens."""
+    import public_tokenizers
+
+    return os.path.abspath(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op12_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find(table(spark, sf_dir, "documents"), ranks_path())
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")

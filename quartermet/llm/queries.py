@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..plans.registry import Query
 from ..session import shared_folder
 from . import (
-    decontamination, html_text, huffman, lattice, lsh_forest, merkle, packing, pii, secret_scan, sql, suffixes, toxicity, windows,
+    alignment, decontamination, html_text, huffman, lattice, lsh_forest, merkle, packing, pii, secret_scan, sql, suffixes, toxicity, windows,
 )
 from .common import stored, table
 
@@ -162,3 +162,16 @@ def ranks_path() -> str:
 def op12_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find(table(spark, sf_dir, "documents"), ranks_path())
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
+
+
+def pieces_path() -> str:
+    """The sentencepiece model."""
+    import public_tokenizers
+
+    return os.path.abspath(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_fragment_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), pieces_path())
+    return found

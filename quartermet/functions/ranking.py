@@ -14,8 +14,10 @@ from ..session import shared_folder
 ROW_BITS = 33
 
 
-def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """``df`` with ``name``: 1, 2, … by ``order`` (NULL first) within each group of ``by``.
+def numbered(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str, total: str | None = None
+) -> DataFrame:
+    """``df`` with ``name``: 1, 2, … by ``order`` (NULL first) within each group of ``by``, and the group's ``total``.
 
     A window over a group would sort it in one task.  Here rows are dealt by
     ranges of group and order, so a large group takes several tasks, sorted and
@@ -40,10 +42,12 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str)
         *(F.col(c).alias(f"_by_{c}") for c in by),
         F.col("_range").alias("_of"),
         (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+        F.sum("_n").over(Window.partitionBy(*by)).alias("_total"),
     )
     same: list[Column] = [F.col("_range") == F.col("_of"), *(F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by)]
     joined = rows.join(starts, reduce(lambda a, b: a & b, same))
-    return joined.select(*df.columns, (F.col("_shift") + F.col("_row")).alias(name))
+    made = [(F.col("_shift") + F.col("_row")).alias(name), *([F.col("_total").alias(total)] if total else [])]
+    return joined.select(*df.columns, *made)
 
 
 def number_by_time(df: DataFrame, by: Sequence[str], time: str, ties: Sequence[str]) -> tuple[DataFrame, Column]:

@@ -153,16 +153,17 @@ def manifest(
         F.monotonically_increasing_id().alias("uid"),
         *(made.alias(f"carry_{name}") for name, made in carry.items()),
     )
-    rows = stored(numbered(leaves, ["tree"], ["key", "digest", "uid"], "place"), "leaves")
-    sizes = rows.groupBy("tree").agg(F.count(F.lit(1)).alias("n"))
-    nodes = rows.join(sizes, "tree").select("tree", "n", (F.col("place") - 1).alias("at"), "digest")
-    trees = grow(nodes, bits)
-    crown = numbered(trees.where("at = 0").select("tree", F.col("root").alias("digest")), [], ["tree"], "place")
-    crown = crown.select(F.lit("").alias("tree"), F.lit(sizes.count()).cast("long").alias("n"), (F.col("place") - 1).alias("at"), "digest", F.col("tree").alias("of"))
-    tops = grow(crown.drop("of"), bits).join(crown.select("at", "of"), "at").select(
-        F.col("of").alias("tree"), F.col("sides").alias("top_sides"), F.col("siblings").alias("top_siblings"), F.col("root").alias("top")
+    rows = stored(numbered(leaves, ["tree"], ["key", "digest", "uid"], "place", "n"), "leaves")
+    rows = rows.withColumn("at", F.col("place") - 1)
+    trees = grow(rows.select("tree", "n", "at", "digest"), bits)
+    crown = trees.where("at = 0").select("tree", F.col("root").alias("digest"))
+    crown = stored(numbered(crown, [], ["tree"], "place", "n").withColumn("at", F.col("place") - 1), "crown")
+    tops = grow(crown.select(F.lit("").alias("tree"), "n", "at", "digest"), bits).select(
+        "at", F.col("sides").alias("top_sides"), F.col("siblings").alias("top_siblings"), F.col("root").alias("top")
     )
-    found = rows.withColumn("at", F.col("place") - 1).join(trees.drop("digest", "n"), ["tree", "at"]).join(tops, "tree")
+    # Written, so that Spark knows how large it is before it joins all rows to it.
+    tops = stored(tops.join(crown.select("at", "tree"), "at").drop("at"), "tops")
+    found = rows.join(trees.drop("digest", "n"), ["tree", "at"]).join(tops, "tree")
     return found.select(
         F.col("key").alias(key),
         F.when(F.col("tree") != "0", F.substring("tree", 2, 1 << 30)).alias(tree),

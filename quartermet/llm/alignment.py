@@ -46,11 +46,11 @@ STRETCH = 48 << 10
 RANGE = 16 << 10
 FAN = 16
 #: Bytes of text whose distinct pairs are sent together.
-CHUNK = 6 << 20
+CHUNK = 4 << 20
 #: Characters of texts that are put together at once.
-STEP = 1 << 20
+STEP = 1 << 19
 #: Pieces remembered by one worker; beyond, those used least are forgotten.
-REMEMBER = 300_000
+REMEMBER = 160_000
 #: Links of one group that are written out one by one.
 SMALL_GROUP = 4096
 

@@ -50,20 +50,3 @@ def numbered(
     return joined.select(*df.columns, *made)
 
 
-def number_by_time(df: DataFrame, by: Sequence[str], time: str, ties: Sequence[str]) -> tuple[DataFrame, Column]:
-    """Rows with a column that numbers them 1, 2, … in their group by time.
-
-    A window over a whole group would sort it in one task.  Here rows are
-    numbered within their day, and a day starts behind the rows of the earlier
-    days: only the counts per day are ever ordered over a whole group.
-    """
-    dated = df.withColumn("_day", F.to_date(time))
-    in_day = Window.partitionBy(*by, "_day").orderBy(time, *ties)
-    earlier = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = (
-        dated.groupBy(*by, "_day")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*by, "_day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    )
-    rows = dated.withColumn("_in_day", F.row_number().over(in_day)).join(days, [*by, "_day"])
-    return rows, F.col("_before") + F.col("_in_day")

@@ -6,13 +6,16 @@ is folded from them by aggregates that combine before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import canonical_json, content_hash
-from ..functions.ranking import number_by_time
+from ..functions.packing import packed
+from ..functions.ranking import numbered
 from ..model import VERSION_STATES
 
 SCHEMA = ("schema_name", "version")
@@ -44,10 +47,10 @@ def register_schemas(existing: DataFrame | None, requests: DataFrame) -> DataFra
 
     A definition already registered under its name keeps its version; others
     are numbered on from the highest one, in the order they were asked for.
+    Nothing is refused; see ``register_checked``.
     """
-    fresh, number = number_by_time(
-        _new_definitions(existing, requests), ["schema_name"], "created_at", ["request_id"]
-    )
+    fresh = numbered(_new_definitions(existing, requests), ["schema_name"], ["created_at", "request_id"], "_number")
+    number = F.col("_number")
     if existing is not None:
         top = existing.groupBy("schema_name").agg(F.max("version").alias("_top"))
         fresh = fresh.join(top, "schema_name", "left")
@@ -65,6 +68,96 @@ def register_schemas(existing: DataFrame | None, requests: DataFrame) -> DataFra
     )
 
 
+def _summary(fields: str = "fields") -> list[Column]:
+    """What a comparison of definitions needs: names, required names, required names without default."""
+    names = _names(fields)
+    required = F.filter(names, lambda n: F.col(fields)[n]["required"])
+    bare = F.filter(required, lambda n: F.col(fields)[n]["default"].isNull())
+    return [names.alias("names"), required.alias("required"), bare.alias("bare")]
+
+
+def broken_rules(old: dict, new: dict, mode: str) -> list[str]:
+    """Rules that ``new`` breaks against ``old`` in a compatibility mode, as rule:field in order."""
+    rules = []
+    if mode in ("FORWARD", "FULL"):
+        rules += [f"added_required:{n}" for n in new["bare"] if n not in old["names"]]
+    if mode in ("BACKWARD", "FULL"):
+        rules += [f"removed_required:{n}" for n in old["required"] if n not in new["names"]]
+    return sorted(rules)
+
+
+def _fold_requests(schema: pa.Schema):
+    """Decide requests one after the other; they come by name, registered definitions first, then by time."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, latest, top = object(), None, 0
+        known: dict[str, int] = {}
+        for batch in batches:
+            out: list[tuple] = []
+            for row in batch.to_pylist():
+                if row["schema_name"] != name:
+                    name, latest, top, known = row["schema_name"], None, 0, {}
+                if row["registered"] is not None:
+                    latest, top = row, row["registered"]
+                    known[row["schema_hash"]] = top
+                    continue
+                version, against, broken = known.get(row["schema_hash"]), top or None, []
+                outcome = "known"
+                if version is None:
+                    broken = broken_rules(latest, row, row["compatibility_mode"]) if latest else []
+                    outcome = "refused" if broken else "registered"
+                    if not broken:
+                        latest, top = row, top + 1
+                        version = known[row["schema_hash"]] = top
+                out.append((row["request_id"], name, outcome, version, against, broken))
+            columns = list(zip(*out, strict=True)) if out else [[]] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return work
+
+
+def register_checked(existing: DataFrame | None, requests: DataFrame) -> DataFrame:
+    """The outcome of every request: request_id, schema_name, outcome, version, against, broken.
+
+    Requests of a name are decided in the order of time and request.  A definition
+    registered before, in this batch too, keeps its version (``known``).  Another
+    one is compared with the last accepted one (``against``) in its own mode, and
+    either gets the next version (``registered``) or, with the rules it broke, none
+    (``refused``); it can be accepted later, against another definition.
+
+    One decision hangs on the one before, so a name is decided by one task.  It
+    gets a few words for each request, sorted by Spark (which spills), and reads
+    them as a stream; it remembers the accepted definitions' hashes only.
+    """
+    asked = requests.select(
+        "schema_name", F.lit(None).cast("int").alias("registered"), F.col("created_at").cast("timestamp").alias("created_at"),
+        "request_id", content_hash("fields").alias("schema_hash"), "compatibility_mode", *_summary(),
+    )
+    if existing is not None:
+        asked = asked.unionByName(
+            existing.select("schema_name", F.col("version").alias("registered"), "schema_hash", *_summary()), True
+        )
+    kind = requests.schema["request_id"].dataType
+    made = (
+        T.StructType().add("request_id", kind).add("schema_name", "string").add("outcome", "string")
+        .add("version", "integer").add("against", "integer").add("broken", T.ArrayType(T.StringType()))
+    )
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    order = [F.col("registered").asc_nulls_last(), "created_at", "request_id"]
+    ordered = asked.repartition("schema_name").sortWithinPartitions("schema_name", *order)
+    return ordered.mapInArrow(_fold_requests(to_arrow_schema(made)), made)
+
+
+def accepted(requests: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Registry rows to append for the requests that ``register_checked`` registered."""
+    new = outcomes.where(F.col("outcome") == "registered").select("request_id", "version")
+    return requests.join(new, "request_id").select(
+        "schema_name", "version", "fields", content_hash("fields").alias("schema_hash"), "description",
+        "compatibility_mode", F.lit(True).alias("is_active"), "created_at", "created_by",
+    )
+
+
 def assigned_versions(registry: DataFrame, requests: DataFrame) -> DataFrame:
     """The version every request got, repeated definitions included."""
     asked = requests.select("request_id", "schema_name", content_hash("fields").alias("schema_hash"))
@@ -231,23 +324,42 @@ def invalid_states(events: DataFrame) -> DataFrame:
 
 
 def fold_versions(
-    events: DataFrame, key: Sequence[str] = ("version_id",), order: Sequence[str] = ("at", "step")
+    events: DataFrame, key: Sequence[str] = ("version_id",), order: tuple[str, str] = ("at", "step")
 ) -> DataFrame:
     """Current state: of every attribute the last value that was given.
 
-    An event changes only the attributes it carries.  ``max_by`` skips rows
-    without ordering value, so this is one aggregate with map-side combine.
+    An event changes only the attributes it carries; time and step are packed into
+    one number, and order the events of a key totally.  States and attributes of
+    fixed width are folded by that number in one hash aggregate, with map-side
+    combine.  Of others (names, texts) it folds the number itself, and their values
+    are fetched from the events that carry them by key and number.
     """
     at = order[0]
     attributes = [c for c in events.columns if c not in (*key, *order)]
+    text = [c for c in attributes if events.schema[c].dataType == T.StringType() and c != "status"]
+    states = F.array(*map(F.lit, VERSION_STATES))
+    rows = events.withColumn("_n", packed(*order))
 
-    def last(c: str) -> Column:
-        when = F.when(F.col(c).isNotNull(), F.struct(*order))
-        return F.max_by(F.col(c), when).alias(c)
+    def when(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.col("_n"))
 
-    return events.groupBy(*key).agg(
-        *[last(c) for c in attributes], F.min(at).alias("created_at"), F.max(at).alias("updated_at")
-    )
+    def last(c: str) -> Column:
+        if c in text:
+            return F.max(when(c)).alias(c)
+        if c == "status":
+            return F.max_by(F.array_position(states, F.col(c)).cast("int"), when(c)).alias(c)
+        return F.max_by(F.col(c), when(c)).alias(c)
+
+    folded = rows.groupBy(*key).agg(*map(last, attributes), F.min(at).alias("created_at"), F.max(at).alias("updated_at"))
+    for c in text:
+        values = rows.where(F.col(c).isNotNull()).select(*key, F.col("_n").alias("_of"), F.col(c).alias("_value"))
+        values = values.withColumnsRenamed({k: f"_{k}" for k in key})
+        same = [folded[k].eqNullSafe(values[f"_{k}"]) for k in key]
+        joined = folded.join(values, [*same, folded[c] == values["_of"]], "left")
+        folded = joined.select(*(F.col("_value").alias(c) if k == c else F.col(k) for k in folded.columns))
+    if "status" in attributes:
+        folded = folded.withColumn("status", F.get(states, F.col("status") - 1))
+    return folded
 
 
 def version(versions: DataFrame, name: str, version_: str) -> DataFrame:
@@ -255,10 +367,15 @@ def version(versions: DataFrame, name: str, version_: str) -> DataFrame:
 
 
 def latest_versions(versions: DataFrame) -> DataFrame:
-    """The version created last, of every dataset."""
-    rest = [c for c in versions.columns if c != "dataset_name"]
-    best = F.max_by(F.struct(*rest), F.struct("created_at", "version_id")).alias("_row")
-    return versions.groupBy("dataset_name").agg(best).select("dataset_name", "_row.*")
+    """The version created last, of every dataset; of several, the greatest version_id.
+
+    Two hash aggregates over dataset and number find which; its row is fetched by both.
+    """
+    newest = versions.groupBy("dataset_name").agg(F.max(F.unix_micros(F.col("created_at").cast("timestamp"))).alias("_at"))
+    rows = versions.withColumn("_at", F.unix_micros(F.col("created_at").cast("timestamp")))
+    rows = rows.join(newest, ["dataset_name", "_at"], "left_semi")
+    rivals = rows.groupBy("dataset_name").agg(F.max("version_id").alias("version_id"))
+    return rows.join(rivals, ["dataset_name", "version_id"], "left_semi").select(*versions.columns)
 
 
 def list_versions(

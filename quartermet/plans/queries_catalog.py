@@ -238,6 +238,78 @@ def schema_screen_requests(spark, sf_dir):
     return rejected.select("schema_name", "rule", "field")
 
 
+view(
+    "asked",
+    ("schema_requests", "schema_fields"),
+    """SELECT request_id, schema_name, schema_hash, compatibility_mode AS mode, created_at,
+              list(f.field) AS names, coalesce(list(f.field) FILTER (WHERE f.required), []) AS needs,
+              coalesce(list(f.field) FILTER (WHERE f.required AND f.dflt IS NULL), []) AS bare
+       FROM schema_requests JOIN schema_fields f ON f.l_orderkey = request_id GROUP BY ALL""",
+)
+
+_BROKEN = """list_sort(list_concat(
+    CASE WHEN q.mode IN ('FORWARD', 'FULL') AND s.top > 0 THEN list_transform(
+      list_filter(q.bare, lambda n: NOT list_contains(s.names, n)), lambda n: 'added_required:' || n) ELSE [] END,
+    CASE WHEN q.mode IN ('BACKWARD', 'FULL') AND s.top > 0 THEN list_transform(
+      list_filter(s.needs, lambda n: NOT list_contains(q.names, n)), lambda n: 'removed_required:' || n) ELSE [] END))"""
+
+
+def _decided_sql(where: str, start: str) -> str:
+    """Requests of each name decided one after the other, from a state: name, version, names, needs, hashes."""
+    return f"""WITH RECURSIVE {with_views("registry", "asked")[5:]},
+      started AS ({start}),
+      queue AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY schema_name ORDER BY created_at, request_id) AS place
+                FROM asked WHERE {where}),
+      folded(schema_name, place, top, names, needs, hashes, request_id, outcome, version, against, broken) AS (
+        SELECT n.schema_name, 0::BIGINT, coalesce(s.top, 0)::INTEGER, s.names, s.needs, coalesce(s.hashes, []),
+               NULL::BIGINT, NULL::VARCHAR, NULL::INTEGER, NULL::INTEGER, []::VARCHAR[]
+        FROM (SELECT DISTINCT schema_name FROM queue) n LEFT JOIN started s ON s.schema_name = n.schema_name
+        UNION ALL
+        SELECT schema_name, place, CASE outcome WHEN 'registered' THEN top + 1 ELSE top END,
+               CASE outcome WHEN 'registered' THEN new_names ELSE names END,
+               CASE outcome WHEN 'registered' THEN new_needs ELSE needs END,
+               CASE outcome WHEN 'registered' THEN list_append(hashes, schema_hash) ELSE hashes END, request_id, outcome,
+               CASE outcome WHEN 'registered' THEN top + 1 WHEN 'known' THEN list_position(hashes, schema_hash) END::INTEGER,
+               nullif(top, 0), CASE outcome WHEN 'refused' THEN broken ELSE [] END
+        FROM (SELECT s.*, q.names AS new_names, q.needs AS new_needs, q.schema_hash, broken, q.request_id, q.place,
+                CASE WHEN list_contains(s.hashes, q.schema_hash) THEN 'known'
+                     WHEN len(broken) > 0 THEN 'refused' ELSE 'registered' END AS outcome
+              FROM (SELECT s.schema_name, s.place AS before, s.top, s.names, s.needs, s.hashes FROM folded s) s
+              JOIN (SELECT q.*, q.place - 1 AS before FROM queue q) q USING (schema_name, before),
+              LATERAL (SELECT {_BROKEN} AS broken)))
+      SELECT request_id, schema_name, outcome, version, against, array_to_string(broken, ',') AS broken
+      FROM folded WHERE place > 0"""
+
+
+def _written(outcomes):
+    return outcomes.withColumn("broken", F.concat_ws(",", "broken"))
+
+
+@query("schema_register_checked", _decided_sql("true", "SELECT NULL::VARCHAR AS schema_name, 0 AS top, []::VARCHAR[] AS names, []::VARCHAR[] AS needs, []::VARCHAR[] AS hashes WHERE false"))
+def schema_register_checked(spark, sf_dir):
+    """Every request, judged against the last accepted definition of its name."""
+    return _written(catalog.register_checked(None, views.schema_requests(spark, sf_dir)))
+
+
+@query(
+    "schema_register_checked_more",
+    _decided_sql(
+        "created_at >= TIMESTAMP '1999-01-01'",
+        """SELECT r.schema_name, max(r.version) AS top, arg_max(a.names, r.version) AS names,
+             arg_max(a.needs, r.version) AS needs, list(r.schema_hash ORDER BY r.version) AS hashes
+           FROM registry r JOIN asked a ON a.request_id = r.request_id
+           WHERE r.created_at < TIMESTAMP '1999-01-01' GROUP BY r.schema_name""",
+    ),
+)
+def schema_register_checked_more(spark, sf_dir):
+    """All later requests, judged on top of the registry of the earlier ones."""
+    requests = views.schema_requests(spark, sf_dir)
+    later = F.col("created_at") >= F.lit("1999-01-01").cast("timestamp_ntz")
+    path = Layout(shared_folder(spark, "registry")).log("schemas")
+    tables.append_log(catalog.register_schemas(None, requests.where(~later)), path)
+    return _written(catalog.register_checked(spark.read.parquet(path), requests.where(later)))
+
+
 @query(
     "schema_change_log",
     with_views("registry", "deactivations")
@@ -268,13 +340,9 @@ def version_state(spark, sf_dir):
     return catalog.fold_versions(views.version_events(spark, sf_dir))
 
 
-# Two lines of an order may share day and step: order such ties by the values.
-_STATE = "version_id, dataset_name, version, created_at, updated_at"
-
-
-@query("version_state", with_views("version_state") + f"SELECT {_STATE} FROM version_state")
+@query("version_state", with_views("version_state") + "SELECT * FROM version_state")
 def version_states(spark, sf_dir):
-    return version_state(spark, sf_dir).select(*_STATE.split(", "))
+    return version_state(spark, sf_dir)
 
 
 @query(
@@ -285,9 +353,18 @@ def version_states(spark, sf_dir):
          SELECT version_id, status FROM ranked WHERE place = 1""",
 )
 def version_state_values(spark, sf_dir):
-    """Latest status with a total order over the events."""
-    events = views.version_events(spark, sf_dir).withColumn("rank", F.col("status"))
-    return catalog.fold_versions(events, order=("at", "step", "rank")).select("version_id", "status")
+    """Latest status; day and step order the events of a version totally."""
+    return version_state(spark, sf_dir).select("version_id", "status")
+
+
+view(
+    "created_state",
+    ("version_state",),
+    """SELECT s.* EXCLUDE (created_at), made AS created_at FROM version_state s
+       JOIN (SELECT version_id, max(moment) AS made FROM version_events WHERE step = 0 GROUP BY version_id) c
+         ON c.version_id = s.version_id""",
+)
+_CREATED = "version_id, dataset_name, version, status, record_count, total_size_bytes, created_at, updated_at"
 
 
 def _created(spark, sf_dir):
@@ -299,56 +376,47 @@ def _created(spark, sf_dir):
 
 @query(
     "version_latest",
-    """SELECT dataset_name, version_id, version, created_at FROM (
-         SELECT 'dataset_' || o_custkey AS dataset_name, o_orderkey AS version_id,
-           'v' || o_orderkey AS version, o_orderdate AS created_at,
-           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS place
-         FROM orders) WHERE place = 1""",
+    with_views("created_state")
+    + f"""SELECT {_CREATED} FROM (SELECT *, row_number() OVER (PARTITION BY dataset_name
+             ORDER BY created_at DESC, version_id DESC) AS place FROM created_state) WHERE place = 1""",
 )
 def version_latest(spark, sf_dir):
-    versions = _created(spark, sf_dir).select("version_id", "dataset_name", "version", "created_at")
-    return catalog.latest_versions(versions).select(
-        "dataset_name", "version_id", "version", "created_at"
-    )
+    return catalog.latest_versions(_created(spark, sf_dir)).select(*_CREATED.split(", "))
 
 
 @query(
     "version_recent",
-    """SELECT o_orderkey AS version_id, o_orderdate AS created_at FROM orders
-       WHERE o_orderdate > TIMESTAMP '1998-06-01' - INTERVAL 30 DAY
+    with_views("created_state")
+    + f"""SELECT {_CREATED} FROM created_state WHERE created_at > TIMESTAMP '1998-06-01' - INTERVAL 30 DAY
        ORDER BY created_at DESC, version_id DESC LIMIT 10""",
 )
 def version_recent(spark, sf_dir):
-    versions = _created(spark, sf_dir)
     as_of = F.lit("1998-06-01").cast("timestamp_ntz")
-    return catalog.recent_versions(versions, as_of, 30, k=10).select("version_id", "created_at")
+    return catalog.recent_versions(_created(spark, sf_dir), as_of, 30, k=10).select(*_CREATED.split(", "))
 
 
 @query(
     "version_unavailable",
-    """SELECT o_orderkey AS version_id, o_orderstatus AS status, o_orderdate AS created_at FROM orders
-       WHERE o_orderdate > TIMESTAMP '1998-06-01' - INTERVAL 7 DAY AND o_orderstatus <> 'available'
-       ORDER BY created_at DESC, version_id DESC LIMIT 20""",
+    with_views("created_state")
+    + """SELECT version_id, status, created_at FROM created_state
+       WHERE created_at > TIMESTAMP '1998-06-01' - INTERVAL 700 DAY AND status <> 'available'
+       ORDER BY created_at DESC, version_id DESC""",
 )
 def version_unavailable(spark, sf_dir):
-    versions = views.table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("version_id"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_orderdate").alias("created_at"),
-    )
+    """Versions of some two years whose folded state is not available; many are."""
     as_of = F.lit("1998-06-01").cast("timestamp_ntz")
-    return catalog.recent_versions(versions, as_of, 7, unavailable_only=True, k=20)
+    found = catalog.recent_versions(_created(spark, sf_dir), as_of, 700, unavailable_only=True)
+    return found.select("version_id", "status", "created_at")
 
 
 @query(
     "version_list",
-    """SELECT o_orderkey AS version_id, 'dataset_' || o_custkey AS dataset_name,
-              o_orderdate AS created_at FROM orders WHERE o_custkey = 7""",
+    with_views("created_state")
+    + f"SELECT {_CREATED} FROM created_state WHERE status = 'processing' ORDER BY created_at DESC, version_id DESC",
 )
 def version_list(spark, sf_dir):
-    created = views.version_events(spark, sf_dir).where(F.col("step") == 0)
-    versions = created.select("version_id", "dataset_name", "status", F.col("at").alias("created_at"))
-    return catalog.list_versions(versions, "dataset_7", "pending").drop("status")
+    """Versions in one state, of all datasets, newest first."""
+    return catalog.list_versions(_created(spark, sf_dir), status="processing").select(*_CREATED.split(", "))
 
 
 view(

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from quartermet.functions.ranking import number_by_time
+from quartermet.functions.ranking import numbered
 from quartermet.operators import catalog
 from tests.util import one
 
@@ -86,6 +86,63 @@ def test_compatibility(spark, old, new, mode, rules):
     assert sorted(x.rule for x in rejected.collect()) == rules
 
 
+def decided(spark, rows, existing=None):
+    asked = requests(spark, rows)
+    outcomes = catalog.register_checked(existing, asked).collect()
+    return {r.request_id: (r.outcome, r.version, r.against, r.broken) for r in outcomes}
+
+
+def test_breaking_definitions_are_refused(spark):
+    rows = [
+        ("s", {"a": REQUIRED}, "BACKWARD"),
+        ("s", {"b": OPTIONAL}, "BACKWARD"),  # loses a
+        ("s", {"a": OPTIONAL, "b": OPTIONAL}, "BACKWARD"),
+        ("s", {"b": OPTIONAL}, "BACKWARD"),  # the same again: a is optional by now
+        ("s", {"a": REQUIRED}, "FULL"),  # known since the first
+        ("s", {"b": OPTIONAL, "c": REQUIRED}, "FORWARD"),  # c is new and has no default
+        ("s", {"b": OPTIONAL, "c": REQUIRED}, "NONE"),
+        ("s", {"d": REQUIRED}, "FULL"),  # two conflicts at once
+        ("t", {"d": REQUIRED}, "FULL"),
+        (None, {"d": REQUIRED}, "FULL"),
+    ]
+    got = decided(spark, rows)
+    assert got == {
+        0: ("registered", 1, None, []), 1: ("refused", None, 1, ["removed_required:a"]), 2: ("registered", 2, 1, []),
+        3: ("registered", 3, 2, []), 4: ("known", 1, 3, []), 5: ("refused", None, 3, ["added_required:c"]),
+        6: ("registered", 4, 3, []), 7: ("refused", None, 4, ["added_required:d", "removed_required:c"]),
+        8: ("registered", 1, None, []), 9: ("registered", 1, None, []),
+    }
+    asked = requests(spark, rows)
+    registry = catalog.accepted(asked, catalog.register_checked(None, asked))
+    assert sorted((r.schema_name or "", r.version) for r in registry.collect()) == [("", 1), ("s", 1), ("s", 2), ("s", 3), ("s", 4), ("t", 1)]
+    more = [("s", {"x": OPTIONAL}, "BACKWARD"), ("s", {"x": OPTIONAL}, "FORWARD"), ("t", {"d": REQUIRED}, "FULL"), ("u", {}, "FULL")]
+    assert decided(spark, more, registry) == {
+        0: ("refused", None, 4, ["removed_required:c"]), 1: ("registered", 5, 4, []), 2: ("known", 1, 1, []),
+        3: ("registered", 1, None, []),
+    }
+    assert decided(spark, [], registry) == {}
+
+
+def test_no_aggregate_of_the_folds_sorts(spark):
+    ddl = "version_id long, dataset_name string, version string, at timestamp, step long, status string, record_count long"
+    e = spark.createDataFrame([(1, "d", "v", START, 0, "pending", None), (1, None, None, START, 1, "failed", 3)], ddl)
+    state = catalog.fold_versions(e)
+    assert one(state)["status"] == "failed"
+    for df in (state, catalog.latest_versions(state)):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_requests_of_one_day_are_numbered_by_several_tasks(spark):
+    df = spark.range(0, 20_000, 1, 4).selectExpr("'one' AS k", "timestamp'2024-01-01' AS t", "id AS i")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = numbered(df, ["k"], ["t", "i"], "n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert made.where("n <> i + 1").count() == 0
+    assert len(made.inputFiles()) == 8  # written by as many tasks
+
+
 def test_latest_active_and_history(spark):
     r = requests(spark, [("s", {c: OPTIONAL}, "NONE") for c in "abc"])
     registry = catalog.register_schemas(None, r)
@@ -104,8 +161,9 @@ def test_latest_active_and_history(spark):
 def test_numbering_matches_a_window(spark):
     rows = [(k, START + timedelta(hours=7 * i % 97), i) for i in range(60) for k in ("x", "y")]
     df = spark.createDataFrame(rows, "k string, t timestamp, i int")
-    numbered, number = number_by_time(df, ["k"], "t", ["i"])
-    got = sorted((r.k, r.n, r.i) for r in numbered.select("k", number.alias("n"), "i").collect())
+    made = numbered(df, ["k"], ["t", "i"], "n", "all")
+    got = sorted((r.k, r.n, r.i) for r in made.collect())
+    assert {r.all for r in made.collect()} == {60}
     want = []
     for k in ("x", "y"):
         for n, (_, _, i) in enumerate(sorted((r[1], r[2], r[2]) for r in rows if r[0] == k), 1):

@@ -16,6 +16,7 @@ def test_versions_are_folded_from_all_events(spark, monkeypatch):
     log = spark.createDataFrame(
         rows, "version_id long, dataset_name string, version string, at timestamp_ntz, step long, status string"
     )
+    log = log.selectExpr("*", "CAST(NULL AS bigint) AS record_count", "step AS total_size_bytes")
     monkeypatch.setattr(views, "version_events", lambda spark, sf_dir: log)
     latest = {r.dataset_name: r.version for r in queries_catalog.version_latest(spark, "").collect()}
     assert latest == {"a": "v3", "b": "v2"}

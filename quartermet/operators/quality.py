@@ -111,6 +111,15 @@ def require_parsed(raw: DataFrame, max_share: float) -> dict[str, int]:
     return {"rows_read": rows, "rows_rejected": bad}
 
 
+def bad_files(raw: DataFrame, max_share: float) -> DataFrame:
+    """Files (column _source_file) with too large a share of rows without station or time, and their counts."""
+    keyless = F.col(STATION).isNull() | F.col("timestamp").isNull()
+    counts = raw.groupBy("_source_file").agg(
+        F.count(F.lit(1)).alias("rows_read"), F.count_if(keyless).alias("rows_rejected")
+    )
+    return counts.where(F.col("rows_rejected") > max_share * F.col("rows_read"))
+
+
 # ------------------------------------------------------------ continuity
 
 def year_range(spark: SparkSession, first: int, last: int) -> DataFrame:

@@ -268,6 +268,55 @@ def log_no_success(spark, sf_dir):
     return log.no_success_alert(views.requests(spark, sf_dir), 1800, 300, 600)
 
 
+_sliding("slide_failures", 3600, 300, "endpoint LIKE '%/wind' AND status >= 500")
+
+
+@query(
+    "log_failure_rate",
+    with_views("slide_failures")
+    + """, breached AS (SELECT "at" FROM slide_failures GROUP BY "at" HAVING count(*) / 3600.0::DOUBLE > 0.0002) """
+    + _held_sql("breached", 300, 900),
+)
+def log_failure_rate(spark, sf_dir):
+    """Endpoint with too many 5xx a second, held."""
+    return log.failure_rate_alert(views.requests(spark, sf_dir), "%/wind", 0.0002, "1 hour", 300, 900)
+
+
+_sliding("slide_queries", 3600, 300, "endpoint LIKE '%/stations'")
+
+
+@query(
+    "log_few_queries",
+    with_views("slide_queries")
+    + ", " + _GRID.format(step=300)
+    + """, seen AS (SELECT "at", count(*) AS n FROM slide_queries GROUP BY "at"),
+           breached AS (SELECT "at" FROM grid LEFT JOIN seen USING ("at") WHERE coalesce(n, 0) < 3) """
+    + _held_sql("breached", 300, 7200),
+)
+def log_few_queries(spark, sf_dir):
+    """Endpoint asked too seldom, held for two hours."""
+    return log.few_queries_alert(views.requests(spark, sf_dir), below=3, step_s=300)
+
+
+STALE = (
+    with_views("requests")
+    + """, good AS (SELECT endpoint, ts, lead(ts) OVER (PARTITION BY endpoint ORDER BY ts) AS later
+           FROM requests WHERE status BETWEEN 200 AND 299)
+         SELECT endpoint, ts AS last_success, ts + INTERVAL 90 MINUTE AS "at" FROM good
+         WHERE ts + INTERVAL 90 MINUTE <= (SELECT max(ts) FROM requests WHERE status BETWEEN 200 AND 299) - INTERVAL 1 HOUR
+           AND (later IS NULL OR later > ts + INTERVAL 90 MINUTE)"""
+)
+
+
+@query("log_stale", STALE)
+def log_stale(spark, sf_dir):
+    """Endpoints without success for an hour, held for half an hour; as far as a stream an hour behind would know."""
+    rows = views.requests(spark, sf_dir)
+    end = rows.where(F.col("status").between(200, 299)).agg(F.max("ts")).first()[0]
+    as_of = F.lit(end).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(1))
+    return log.stale_alert(rows, as_of, 3600, 1800)
+
+
 # ------------------------------------------------------------------ streams
 
 def _stream(spark, sf_dir):
@@ -307,6 +356,73 @@ def stream_errors(spark, sf_dir):
     return rounded(_as_ntz(out))
 
 
+@query("stream_stale", STALE)
+def stream_stale(spark, sf_dir):
+    """The same alerts fired by event-time timers of a stream."""
+    folder = shared_folder(spark, "stream")
+    good = _stream(spark, sf_dir).where(F.col("status").between(200, 299))
+    fired = runs.run_alerts(spark, good, lambda df: log.stale_alerts(df, 3600, 1800), folder)
+    return fired.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("last_success", "at")})
+
+
+@query(
+    "stream_late_rows",
+    with_views("requests")
+    + """SELECT count(*) AS rows_read, count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-15') AS rows_lost,
+           true AS late_rows_seen, true AS refused FROM requests""",
+)
+def stream_late_rows(spark, sf_dir):
+    """A first half of the log that arrives after the second: how much a stream loses, and that it says so."""
+    folder = shared_folder(spark, "late")
+    rows = views.table(spark, sf_dir, "events")
+    late = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    counts, refused = {"rows_read": 0, "rows_late": 0}, False
+    for lot in (~late, late):
+        rows.where(lot).write.mode("append").parquet(f"{folder}/in")
+        stream = runs.stream_table(spark, f"{folder}/in", EVENTS).select(*views.request_columns())
+        metric = log.request_rate(runs.with_event_time(stream, "1 hour"))
+        try:
+            runs.run_windows(metric, f"{folder}/strict", f"{folder}/strict_state")
+        except runs.LateRows:
+            refused = True
+        seen = runs.run_windows(metric, f"{folder}/out", f"{folder}/state", allow_late=True)
+        counts = {k: counts[k] + seen[k] for k in counts}
+    kept = runs.read_windows(spark, f"{folder}/out", ("window_start", "window_end", "method", "endpoint"))
+    return kept.agg(F.sum("requests").alias("kept")).select(
+        F.lit(counts["rows_read"]).cast("long").alias("rows_read"),
+        (F.lit(counts["rows_read"]) - F.col("kept")).cast("long").alias("rows_lost"),
+        F.lit(counts["rows_late"] > 0).alias("late_rows_seen"), F.lit(refused).alias("refused"),
+    )
+
+
+@query(
+    "incremental_bad_lot",
+    with_views("hourly")
+    + """SELECT 'staged' AS outcome, count(*) AS rows_read, 0::BIGINT AS rows_rejected FROM hourly
+           WHERE NOT (year(ts) BETWEEN 1994 AND 1995)
+         UNION ALL
+         SELECT 'set apart', count(*), count(*) FROM hourly WHERE year(ts) BETWEEN 1994 AND 1995""",
+)
+def incremental_bad_lot(spark, sf_dir):
+    """A lot of broken lines between two good ones: it is set apart, the good ones are staged."""
+    product = "precipitation"
+    zone = Layout(shared_folder(spark, "bad_lot"))
+    rows = views.parsed(spark, sf_dir, product)
+    year, apart = F.year("timestamp"), zone.log("set_apart")
+    for lot in (year < 1994, year.between(1994, 1995), year > 1995):
+        lines = rows.where(lot).withColumn("MESS_DATUM", F.when(year.between(1994, 1995), "broken").otherwise(F.col("MESS_DATUM")))
+        lines.drop("timestamp").write.mode("append").options(sep=";", header="true").csv(zone.raw(product))
+        runs.load_new_files(
+            spark, zone.raw(product), product, zone.staged(product), zone.log("load"), "*.csv", set_apart=apart
+        )
+    staged = spark.read.parquet(zone.staged(product)).agg(F.count(F.lit(1)).alias("rows_read"))
+    staged = staged.select(F.lit("staged").alias("outcome"), "rows_read", F.lit(0).cast("long").alias("rows_rejected"))
+    bad = runs.files_set_apart(spark, apart).agg(
+        F.sum("rows_read").alias("rows_read"), F.sum("rows_rejected").alias("rows_rejected")
+    )
+    return staged.unionByName(bad.withColumn("outcome", F.lit("set apart")))
+
+
 @query(
     "incremental_load",
     with_views("hourly")

@@ -71,21 +71,28 @@ def write_staged(df: DataFrame, path: str, version: str | None = None, **options
 def merge_staged(df: DataFrame, path: str) -> None:
     """Staged rows added to the quarters present in them; rows of the same station, time and version are replaced.
 
+    Of equal ones among the new rows one stays.
+
     Doing it twice is doing it once, so a batch that is repeated after a failure
     does no harm.  The quarters are rewritten by way of the shared folder.
     """
     spark = df.sparkSession
     key = ["dataset_version", STATION, "timestamp"]
+    work = shared_folder(spark, "merge")
+    df.dropDuplicates(key).write.parquet(f"{work}/new")
+    new = spark.read.parquet(f"{work}/new")
     try:
         have = spark.read.parquet(path)
-    except AnalysisException:  # the first rows
-        write_partitioned(df, path)
+    except AnalysisException as error:
+        # Only a table that is not there, or holds no file, has first rows; other errors are errors.
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        write_partitioned(new, path)
         return
-    kept = have.join(df.select(*PARTITIONS).distinct(), list(PARTITIONS), "left_semi")
-    kept = kept.join(df.select(*key), key, "left_anti")
-    work = shared_folder(spark, "merge")
-    kept.unionByName(df, allowMissingColumns=True).write.parquet(work)
-    write_partitioned(spark.read.parquet(work), path)
+    kept = have.join(new.select(*PARTITIONS).distinct(), list(PARTITIONS), "left_semi")
+    kept = kept.join(new.select(*key), key, "left_anti")
+    kept.write.parquet(f"{work}/kept")
+    write_partitioned(spark.read.parquet(f"{work}/kept").unionByName(new, allowMissingColumns=True), path)
 
 
 def write_by_station(df: DataFrame, path: str, version: str | None = None, **options) -> dict[str, object]:

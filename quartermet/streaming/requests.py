@@ -2,14 +2,20 @@
 
 Input rows: ts, method, endpoint, status, duration_s, caller.  The windowed
 metrics run unchanged on a batch table and on a stream (whose ts must be a
-TIMESTAMP with a watermark).  Alerts need no ordering: a point of the time grid
-fires if the condition held at every grid point of the holding time, which is a
-count over points spread forward, not a running window over the whole log.
+TIMESTAMP with a watermark).  Alerts count the log once, in panes of one step;
+trailing windows are sums of panes, of which there are few.  They need no
+ordering: a point of the time grid fires if the condition held at every grid point
+of the holding time, which is a count over points spread forward, not a running
+window over the whole log.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Upper bounds of the latency buckets, in seconds.
@@ -120,6 +126,72 @@ def last_success(df: DataFrame, as_of: Column, stale_after_s: int = 86_400) -> D
     )
 
 
+def stale_alert(df: DataFrame, as_of: Column, stale_after_s: int = 86_400, hold_s: int = 3_600) -> DataFrame:
+    """Endpoints whose last 2xx response stayed older than a limit for the holding time: endpoint, last_success, at.
+
+    The alert fires at ``at``, which is not after ``as_of``.  An endpoint keeps the
+    first and last success of each stretch as long as limit and holding time; no
+    longer gap fits into one, so the gaps are between neighbouring stretches.
+    """
+    reach = stale_after_s + hold_s
+    good = df.where(F.col("status").between(200, 299))
+    ends = good.groupBy("endpoint", F.window("ts", f"{reach} seconds").alias("_w")).agg(
+        F.min("ts").alias("first"), F.max("ts").alias("last")
+    )
+    later = F.lead("first").over(Window.partitionBy("endpoint").orderBy("_w"))
+    at = F.col("last") + _interval(reach)
+    rows = ends.select("endpoint", F.col("last").alias("last_success"), at.alias("at"), later.alias("_next"))
+    return rows.where((F.col("at") <= as_of) & (F.col("_next").isNull() | (F.col("_next") > F.col("at")))).drop("_next")
+
+
+def _runs(runs: list[tuple[int, int]], reach: int) -> list[tuple[int, int]]:
+    """Stretches of time, those merged that are not more than ``reach`` apart."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(runs):
+        if out and start - out[-1][1] <= reach:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((start, end))
+    return out
+
+
+def stale_alerts(stream: DataFrame, stale_after_s: int = 86_400, hold_s: int = 3_600) -> DataFrame:
+    """``stale_alert`` on a stream with a watermark on ts; alerts fire as the watermark passes them.
+
+    An endpoint's state is the stretches of its successes that are not further
+    apart than limit and holding time, so late rows within the watermark can still
+    close a gap.  A stretch fires when the watermark is that far behind its end, told by an
+    event-time timer; then it is forgotten.
+    """
+    reach = (stale_after_s + hold_s) * 1_000_000
+
+    def work(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        passed = max(state.getCurrentWatermarkMs(), 0) * 1000
+        runs = list(zip(*state.get, strict=True)) if state.exists else []
+        if not state.hasTimedOut:
+            for batch in batches:
+                times = np.sort(batch["ts"].to_numpy("datetime64[us]").astype(np.int64))
+                cuts = np.flatnonzero(np.diff(times) > reach)
+                starts, ends = times[np.concatenate([[0], cuts + 1])], times[np.concatenate([cuts, [len(times) - 1]])]
+                runs = _runs(runs + list(zip(starts.tolist(), ends.tolist(), strict=True)), reach)
+        due = [end for _, end in runs if end + reach <= passed]
+        rest = [run for run in runs if run[1] + reach > passed]
+        if due:
+            last = pd.to_datetime(pd.Series(due), unit="us")
+            yield pd.DataFrame({"endpoint": key[0], "last_success": last, "at": last + pd.Timedelta(microseconds=reach)})
+        if rest:
+            state.update(tuple(map(list, zip(*rest, strict=True))))
+            state.setTimeoutTimestamp(-(-(min(end for _, end in rest) + reach) // 1000))
+        elif state.exists:
+            state.remove()
+
+    good = stream.where(F.col("status").between(200, 299)).select("endpoint", "ts")
+    return good.groupBy("endpoint").applyInPandasWithState(
+        work, "endpoint string, last_success timestamp, at timestamp", "starts array<long>, ends array<long>",
+        "update", "EventTimeTimeout",
+    )
+
+
 def weekly_usage(df: DataFrame) -> DataFrame:
     """Requests and mean latency per day and endpoint."""
     return df.groupBy(F.to_date("ts").alias("day"), "endpoint").agg(
@@ -158,7 +230,7 @@ def held(breached: DataFrame, step_s: int, hold_s: int, by: tuple[str, ...] = ()
 def time_grid(df: DataFrame, step_s: int) -> DataFrame:
     """Grid points from the first to the last request, one row each (column at).
 
-    Unfolded by day first, then within the day, so no long array is built.
+    Unfolded by day first, then within the day by several tasks, so no long array is built.
     """
     if 86_400 % step_s:
         raise ValueError("the step must divide a day")
@@ -168,28 +240,63 @@ def time_grid(df: DataFrame, step_s: int) -> DataFrame:
     )
     points = F.explode(F.sequence(F.lit(0), F.lit(86_400 - step_s), F.lit(step_s))).alias("s")
     at = F.col("day").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("s"))
-    grid = days.select("lo", "hi", "day", points).select("lo", "hi", at.alias("at"))
+    grid = days.repartition("day").select("lo", "hi", "day", points).select("lo", "hi", at.alias("at"))
     return grid.where((F.col("at") >= F.col("lo")) & (F.col("at") <= F.col("hi"))).select("at")
 
 
+# Seconds in the units of interval texts.
+_UNITS = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400}
+
+
+def _seconds(width: str) -> int:
+    number, unit = width.split()
+    return int(number) * _UNITS[unit.rstrip("s")]
+
+
+def panes(df: DataFrame, step_s: int, by: tuple[str, ...] = (), **counts: Column) -> DataFrame:
+    """Counts of the requests of each step (column pane, its start) and group; each request counts once."""
+    out = df.groupBy(*by, F.window("ts", f"{step_s} seconds").alias("_w"))
+    made = out.agg(*[c.alias(n) for n, c in counts.items()])
+    return made.select(*by, F.col("_w.start").alias("pane"), *counts)
+
+
+def trailing(counted: DataFrame, width_s: int, step_s: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """Sums of panes over the trailing window of each grid point (column at) that holds any."""
+    if width_s % step_s:
+        raise ValueError("the width must be a multiple of the step")
+    reach = F.sequence(F.col("pane") + _interval(step_s), F.col("pane") + _interval(width_s), _interval(step_s))
+    counts = [c for c in counted.columns if c not in (*by, "pane")]
+    spread = counted.select(*by, F.explode(reach).alias("at"), *counts)
+    return spread.groupBy(*by, "at").agg(*[F.sum(c).alias(c) for c in counts])
+
+
+def _share_above(df: DataFrame, bad: Column, above: Column | float, width: str, step_s: int) -> DataFrame:
+    """Grid points at which the share of some requests among those with a status exceeds a limit."""
+    counted = panes(df, step_s, bad=F.count_if(bad), n=F.count("status"))
+    sums = trailing(counted, _seconds(width), step_s)
+    return sums.where((F.col("n") > 0) & (F.col("bad") / F.col("n") > above)).select("at")
+
+
 def error_ratio_alert(
     df: DataFrame, above_pct: float = 5.0, width: str = "5 minutes", step_s: int = 60, hold_s: int = 300
 ) -> DataFrame:
     """Grid points at which the 5xx share stayed above the limit for the holding time."""
-    bad = F.avg((F.col("status") >= 500).cast("int")) * 100
-    share = _flat(_grouped(df, width, f"{step_s} seconds", ()).agg(bad.alias("error_pct")))
-    breached = share.where(F.col("error_pct") > above_pct).select(F.col("window_end").alias("at"))
-    return held(breached, step_s, hold_s)
+    return held(_share_above(df, F.col("status") >= 500, above_pct / 100, width, step_s), step_s, hold_s)
 
 
 def latency_alert(
     df: DataFrame, above_s: float = 2.0, width: str = "5 minutes", step_s: int = 60, hold_s: int = 600,
-    by: tuple[str, ...] = ("endpoint",),
+    by: tuple[str, ...] = ("endpoint",), point: float = 0.95,
 ) -> DataFrame:
-    """Groups and grid points whose p95 stayed above the limit."""
-    out = latency(df, width, f"{step_s} seconds", by)
-    breached = out.where(F.col("p95_s") > above_s).select(*by, F.col("window_end").alias("at"))
-    return held(breached, step_s, hold_s, by)
+    """Groups and grid points whose latency percentile stayed above the limit.
+
+    The percentile is the value at rank ceil(point * n); it exceeds the limit if
+    fewer than that many values do not.  So two counts a pane decide it exactly.
+    """
+    counted = panes(df, step_s, by, low=F.count_if(F.col("duration_s") <= above_s), n=F.count("duration_s"))
+    rank = F.ceil(F.lit(str(point)).cast("decimal(9,6)") * F.col("n"))
+    breached = trailing(counted, _seconds(width), step_s, by).where(F.col("low") < rank)
+    return held(breached.select(*by, "at"), step_s, hold_s, by)
 
 
 def failing_share_alert(
@@ -197,11 +304,18 @@ def failing_share_alert(
     step_s: int = 60, hold_s: int = 600,
 ) -> DataFrame:
     """Grid points at which too many requests of some endpoints were not 2xx."""
-    failing = F.avg((~F.col("status").between(200, 299)).cast("int"))
     some = df.where(F.col("endpoint").like(endpoint_like))
-    out = _flat(_grouped(some, width, f"{step_s} seconds", ()).agg(failing.alias("share")))
-    breached = out.where(F.col("share") > above).select(F.col("window_end").alias("at"))
-    return held(breached, step_s, hold_s)
+    return held(_share_above(some, ~F.col("status").between(200, 299), above, width, step_s), step_s, hold_s)
+
+
+def failure_rate_alert(
+    df: DataFrame, endpoint_like: str = "%/stations", above_per_s: float = 0.1, width: str = "10 minutes",
+    step_s: int = 60, hold_s: int = 900,
+) -> DataFrame:
+    """Grid points at which some endpoints answered 5xx more often a second than the limit."""
+    some = df.where(F.col("endpoint").like(endpoint_like) & (F.col("status") >= 500))
+    sums = trailing(panes(some, step_s, n=F.count(F.lit(1))), _seconds(width), step_s)
+    return held(sums.where(F.col("n") / _seconds(width) > above_per_s).select("at"), step_s, hold_s)
 
 
 def quiet_points(
@@ -213,9 +327,7 @@ def quiet_points(
     the whole log.  ``counted`` restricts the requests that are counted.
     """
     some = df if counted is None else df.where(counted)
-    seen = _flat(_grouped(some, f"{width_s} seconds", f"{step_s} seconds", ()).agg(
-        F.count(F.lit(1)).alias("requests")
-    )).select(F.col("window_end").alias("at"), "requests")
+    seen = trailing(panes(some, step_s, requests=F.count(F.lit(1))), width_s, step_s)
     filled = time_grid(df, step_s).join(seen, "at", "left")
     return filled.where(F.coalesce("requests", F.lit(0)) < below).select("at")
 
@@ -228,6 +340,14 @@ def low_traffic_alert(
     return held(quiet_points(df, below_per_s * width_s, width_s, step_s, counted), step_s, hold_s)
 
 
+def few_queries_alert(
+    df: DataFrame, endpoint_like: str = "%/stations", below: float = 10, width_s: int = 3_600, step_s: int = 60,
+    hold_s: int = 7_200,
+) -> DataFrame:
+    """Grid points at which some endpoints were asked less often than the limit in the trailing window."""
+    return held(quiet_points(df, below, width_s, step_s, F.col("endpoint").like(endpoint_like)), step_s, hold_s)
+
+
 def no_success_alert(
     df: DataFrame, width_s: int = 21_600, step_s: int = 300, hold_s: int = 1_800
 ) -> DataFrame:

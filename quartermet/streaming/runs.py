@@ -9,13 +9,14 @@ takes the newest row of each window.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import add_version, clean, split_rejects
-from ..operators.quality import require_parsed
+from ..operators.quality import bad_files, require_parsed
 from ..sinks.tables import merge_staged
 from ..sources.observations import stream_observations
 
@@ -32,20 +33,47 @@ def with_event_time(df: DataFrame, lateness: str) -> DataFrame:
     return df.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
 
 
-def run_windows(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Run a windowed aggregate over all available input."""
+class LateRows(RuntimeError):
+    """A stream dropped rows behind its watermark."""
+
+
+@contextmanager
+def _all_progress(spark: SparkSession) -> Iterator[None]:
+    """Keep the progress of every batch of a run, not of the last hundred."""
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1000000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def run_windows(stream: DataFrame, path: str, checkpoint: str, allow_late: bool = False) -> dict[str, int]:
+    """Run a windowed aggregate over all available input; returns rows_read and rows_late.
+
+    Rows behind the watermark are dropped by Spark, which counts them (as groups,
+    where a task has aggregated them before).  Unless they are allowed, a run that
+    dropped any raises ``LateRows`` once its results are written.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    query = (
-        stream.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(write)
-        .start()
-    )
-    query.awaitTermination()
+    with _all_progress(stream.sparkSession):
+        query = (
+            stream.writeStream.outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(write)
+            .start()
+        )
+        query.awaitTermination()
+        progress = query.recentProgress
+    late = sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
+    if late and not allow_late:
+        raise LateRows(f"{late} rows came after their windows were closed")
+    return {"rows_read": sum(p["numInputRows"] for p in progress), "rows_late": late}
 
 
 def read_windows(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
@@ -64,20 +92,30 @@ def load_new_files(
     checkpoint: str,
     pattern: str = "*.txt",
     max_rejects: float = 0.30,
+    set_apart: str | None = None,
 ) -> int:
     """Clean and stage the raw files not seen by an earlier run; returns the rows staged.
 
-    Rows without station or time are left out; a batch with too large a share of
-    them fails before it writes.  Rows are merged into the table that
-    ``jobs.stage`` writes, so both can load the same folder, and a batch that is
-    repeated replaces itself.
+    Rows without station or time are left out.  A file with too large a share of
+    them is not staged: with ``set_apart`` it is listed there (file, rows_read,
+    rows_rejected, batch) and the load goes on; without, the batch fails before it
+    writes, and so does every later run, until the file is mended.  Rows are merged
+    into the table that ``jobs.stage`` writes, so both can load the same folder, and
+    a batch that is repeated replaces itself.
     """
     staged_rows = 0
 
     def write(batch: DataFrame, number: int) -> None:
         nonlocal staged_rows
+        if set_apart is not None:
+            bad = bad_files(batch, max_rejects).withColumnRenamed("_source_file", "file")
+            # A folder for each batch: one that is repeated replaces its list.
+            bad.write.mode("overwrite").parquet(f"{set_apart}/batch={number}")
+            listed = spark.read.parquet(f"{set_apart}/batch={number}").select(F.col("file").alias("_source_file"))
+            batch = batch.join(listed, "_source_file", "left_anti")
         seen = require_parsed(batch, max_rejects)
-        merge_staged(add_version(clean(split_rejects(batch)[0], product)), staged)
+        if seen["rows_read"]:
+            merge_staged(add_version(clean(split_rejects(batch)[0], product)), staged)
         staged_rows += seen["rows_read"] - seen["rows_rejected"]
 
     query = (
@@ -91,6 +129,11 @@ def load_new_files(
     return staged_rows
 
 
+def files_set_apart(spark: SparkSession, set_apart: str) -> DataFrame:
+    """The files that loads have set apart: file, rows_read, rows_rejected, batch."""
+    return spark.read.option("basePath", set_apart).parquet(f"{set_apart}/batch=*")
+
+
 def stream_metric(
     spark: SparkSession,
     stream: DataFrame,
@@ -98,7 +141,16 @@ def stream_metric(
     key: Sequence[str],
     folder: str,
     lateness: str = "1 hour",
+    allow_late: bool = False,
 ) -> DataFrame:
-    """A request metric computed by a stream, as a table."""
-    run_windows(metric(with_event_time(stream, lateness)), f"{folder}/out", f"{folder}/checkpoint")
+    """A request metric computed by a stream, as a table; late rows raise unless they are allowed."""
+    run_windows(metric(with_event_time(stream, lateness)), f"{folder}/out", f"{folder}/checkpoint", allow_late)
     return read_windows(spark, f"{folder}/out", key)
+
+
+def run_alerts(
+    spark: SparkSession, stream: DataFrame, alert: Callable[[DataFrame], DataFrame], folder: str, lateness: str = "1 hour"
+) -> DataFrame:
+    """Alerts that a stateful stream has fired, as a table; each is written once."""
+    run_windows(alert(with_event_time(stream, lateness)), f"{folder}/out", f"{folder}/checkpoint", allow_late=True)
+    return spark.read.option("basePath", f"{folder}/out").parquet(f"{folder}/out/batch=*").drop("batch")

@@ -2,7 +2,9 @@
 
 Pages sort on a total order and take offset and limit, which Spark plans as a
 distributed top-k; totals are a separate aggregate, so a page never waits for a
-full count.
+full count.  A page can also start behind the last row of the one before it
+(``after``): then nothing is skipped over, and on a table partitioned by quarter
+the quarters before it are not read at all.
 """
 
 from __future__ import annotations
@@ -69,15 +71,35 @@ def filter_features(
     return df.where(reduce(Column.__and__, tests)) if tests else df
 
 
-def feature_page(df: DataFrame, limit: int = 50, offset: int = 0, **filters: int) -> DataFrame:
-    """Newest quarter first, stations ascending within it."""
+#: Key of the last row of a page: year, quarter, station_id, dataset_version.
+Cursor = tuple[int, int, int, str]
+
+
+def _behind(cursor: Cursor, newest_first: bool) -> Column:
+    """Rows that come behind a row in the order of a page, with the partitions told first."""
+    year, quarter, station, version = cursor
+    y, q, s, v = F.col("year"), F.col("quarter"), F.col("station_id"), F.col("dataset_version")
+    within = (s > station) | ((s == station) & (v > version))
+    if newest_first:
+        return (y <= year) & ((y < year) | (q < quarter) | ((q == quarter) & within))
+    return (y >= year) & ((y > year) | (q > quarter) | ((q == quarter) & within))
+
+
+def feature_page(
+    df: DataFrame, limit: int = 50, offset: int = 0, after: Cursor | None = None, **filters: int
+) -> DataFrame:
+    """Newest quarter first, stations ascending within it; ``after`` is the key of the row before the page."""
     order = [F.desc("year"), F.desc("quarter"), "station_id", "dataset_version"]
-    return page(filter_features(df, **filters), order, limit, offset)
+    rows = filter_features(df, **filters)
+    return page(rows.where(_behind(after, True)) if after else rows, order, limit, offset)
 
 
-def station_series(df: DataFrame, station_id: int, limit: int = 50, offset: int = 0) -> DataFrame:
-    """All quarters of one station in time order."""
+def station_series(
+    df: DataFrame, station_id: int, limit: int = 50, offset: int = 0, after: Cursor | None = None
+) -> DataFrame:
+    """All quarters of one station in time order; ``after`` as for ``feature_page``."""
     rows = filter_features(df, station_id=station_id)
+    rows = rows.where(_behind(after, False)) if after else rows
     return page(rows, ["year", "quarter", "dataset_version"], limit, offset)
 
 

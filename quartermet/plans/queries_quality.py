@@ -423,6 +423,42 @@ def station_series(spark, sf_dir):
     return rounded(serving.station_series(rows, 7, limit=1000))
 
 
+@query(
+    "feature_page_after",
+    with_views("f_wind")
+    + f"""SELECT {_PAGE} FROM f_wind WHERE (-year, -quarter, station_id, dataset_version) > (-1996, -3, 40, '1996Q3_v1')
+          ORDER BY year DESC, quarter DESC, station_id, dataset_version LIMIT 500""",
+)
+def feature_page_after(spark, sf_dir):
+    """The page behind a key: quarters before it are not read."""
+    rows = curated_table(spark, sf_dir, "wind").select(*_PAGE.split(", "))
+    return serving.feature_page(rows, 500, after=(1996, 3, 40, "1996Q3_v1"))
+
+
+@query(
+    "station_series_after",
+    with_views("f_precipitation")
+    + f"""SELECT {_PAGE} FROM f_precipitation WHERE station_id = 7 AND (year, quarter) > (1994, 2)
+          ORDER BY year, quarter, dataset_version LIMIT 8""",
+)
+def station_series_after(spark, sf_dir):
+    rows = curated_table(spark, sf_dir, "precipitation").select(*_PAGE.split(", "))
+    return serving.station_series(rows, 7, limit=8, after=(1994, 2, 7, "1994Q2_v1"))
+
+
+@query(
+    "curated_tables",
+    with_views("tagged")
+    + """SELECT product, count(*) AS total_rows, count(DISTINCT station_id) AS stations FROM tagged GROUP BY product""",
+)
+def curated_tables(spark, sf_dir):
+    """All five curated tables computed and stored, and counted as they are read back."""
+    rows = quality.tagged(curated(spark, sf_dir), "station_id")
+    return rows.groupBy("product").agg(
+        F.count(F.lit(1)).alias("total_rows"), F.countDistinct("station_id").alias("stations")
+    )
+
+
 @query(
     "station_page",
     with_views("stations")

@@ -14,8 +14,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import version_name
+from ..layout import Layout
 from ..model import (
     CURATED_NAMES,
     OBSERVED,
@@ -29,6 +31,8 @@ from ..model import (
 )
 from ..operators import cleaning
 from ..operators.features import features
+from ..session import shared_folder
+from ..sinks.tables import upsert_features
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,14 +124,30 @@ def product_features(
     return curated_version(features(rows, product, profile, **options))
 
 
+#: Curated tables written by this process: application, input, table -> path and schema.
+_STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+
+
 def curated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Feature tables of all five products by curated name."""
+    """Stored feature tables of all five products by curated name."""
     return {n: curated_table(spark, sf_dir, n) for n in CURATED_NAMES.values()}
 
 
 def curated_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    product = next(p for p, n in CURATED_NAMES.items() if n == name)
-    return product_features(spark, sf_dir, product)
+    """A stored feature table, partitioned by version, year and quarter and sorted by station.
+
+    The first read of a session computes and writes it, as the curating job does;
+    later ones read what is stored.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        product = next(p for p, n in CURATED_NAMES.items() if n == name)
+        made = product_features(spark, sf_dir, product)
+        path = Layout(shared_folder(spark, "curated")).curated(name)
+        upsert_features(made, path)
+        _STORED[key] = path, made.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def raw_lines(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:

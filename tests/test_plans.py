@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from quartermet.layout import Layout
 from quartermet.operators import features as f
+from quartermet.operators import serving
 from quartermet.plans import views
 from quartermet.sinks import tables
 from quartermet.sources.staged import load_staged
@@ -44,6 +45,24 @@ def test_features_read_few_columns_and_push_filters(spark, tmp_path):
     assert all(c in partitions for c in ("dataset_version", "year", "quarter"))
 
 
+def test_pages_read_the_partitions_they_need(spark):
+    queries = entry.queries()
+    for name in ("feature_page", "feature_page_after", "station_series_after"):
+        plan = plan_of(queries[name](spark, SF_SMALL))
+        partitions = plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "year" in partitions and plan.count("FileScan") == 1, name
+    assert "EqualTo(station_id,7)" in plan_of(queries["station_series"](spark, SF_SMALL))
+
+
+def test_pages_follow_each_other(spark, curated):
+    rows, seen, after = curated["wind"].select("year", "quarter", "station_id", "dataset_version"), [], None
+    while got := serving.feature_page(rows, 70, after=after).collect():
+        seen += got
+        after = tuple(got[-1])
+    want = rows.orderBy(F.desc("year"), F.desc("quarter"), "station_id", "dataset_version").collect()
+    assert seen == want and len(seen) > 140
+
+
 def test_unused_branch_is_not_planned(spark):
     counted = views.product_features(spark, SF_SMALL, "air_temperature").groupBy("year").count()
     assert "Join" not in plan_of(counted)

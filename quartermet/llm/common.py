@@ -241,17 +241,33 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
 # ------------------------------------------------------------- whole rows
 
 
-def map_rows(docs: DataFrame, work, made: T.StructType, text: str = "text") -> DataFrame:
-    """Run ``work`` over Arrow batches of two columns: ``row`` (all of ``docs``), ``text`` (UTF-8).
+def map_rows(docs: DataFrame, work, made: T.StructType, text: str = "text", keep: bool = True) -> DataFrame:
+    """Run ``work`` over Arrow batches of two columns: ``row`` (all of ``docs``), ``text`` (UTF-8, NULL as none).
 
     ``work`` yields batches of ``row`` and the columns ``made``.  The table's
-    own columns stay apart in ``row``, so no name can clash.
+    own columns stay apart in ``row``, so no name can clash.  The text travels once:
+    within ``row``, from which it is read, and back only if ``keep`` asks for it.
     """
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary").alias("text"),
-    )
-    return rows.mapInArrow(work, T.StructType([rows.schema["row"], *made.fields]))
+    at = docs.columns.index(text)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    back = whole if keep else F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def apart() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                row = batch.column("row")
+                fields = row.flatten()
+                raw = fields[at].cast(pa.string()).cast(pa.binary()).fill_null(b"")
+                if not keep:
+                    names = [f.name for f in row.type]
+                    others = [k for k in range(len(names)) if k != at]
+                    row = pa.StructArray.from_arrays([fields[k] for k in others], names=[names[k] for k in others])
+                yield pa.RecordBatch.from_arrays([row, raw], names=["row", "text"])
+
+        return work(apart())
+
+    schema = docs.select(back.alias("row")).schema["row"]
+    return docs.select(whole.alias("row")).mapInArrow(run, T.StructType([schema, *made.fields]))
 
 
 def with_text(rows: DataFrame, columns: list[str], text: str, new) -> DataFrame:

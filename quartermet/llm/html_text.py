@@ -289,7 +289,7 @@ def main_blocks(page: str, costs: Costs = Costs()) -> tuple[list[str], int]:
 
 
 def extract(pages: DataFrame, column: str = "html", costs: Costs = Costs()) -> DataFrame:
-    """Rows of ``pages`` as ``row`` with main_text, n_blocks and n_kept."""
+    """Rows of ``pages`` as ``row`` (without the html) with main_text, n_blocks and n_kept."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -301,7 +301,7 @@ def extract(pages: DataFrame, column: str = "html", costs: Costs = Costs()) -> D
                 names=["row", *MADE.names],
             )
 
-    return map_rows(pages, work, MADE, text=column)
+    return map_rows(pages, work, MADE, column, keep=False)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

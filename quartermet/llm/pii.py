@@ -257,7 +257,7 @@ def fit(docs: DataFrame) -> Field:
     return Field(odds, 0.5 * np.log(share / (share.sum(1, keepdims=True) * share.sum(0, keepdims=True))))
 
 
-def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
+def find(docs: DataFrame, field: Field | None = None, keep: bool = True) -> DataFrame:
     """Rows of ``docs`` as ``row`` with counts (rule spans by kind), base_sha256, base and spans.
 
     Spans are written ``kind:start:end``, by kind and start, joined by commas.
@@ -281,7 +281,7 @@ def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
             made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *made], names=["row", *MADE.names])
 
-    return map_rows(docs, work, MADE)
+    return map_rows(docs, work, MADE, keep=keep)
 
 
 @F.pandas_udf(T.StringType())

@@ -134,7 +134,7 @@ def op5_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_skip_chain_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=False)
     counts = [F.col("counts")[i].alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
     return found.select(F.col("row.doc_id").alias("doc_id"), *counts, "base_sha256", "spans")
 

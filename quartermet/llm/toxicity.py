@@ -241,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Rows of ``docs`` as ``row`` with score (0 to 1) and top_gain, the largest gain of a window."""
+    """Rows of ``docs`` as ``row`` (without the text) with score (0 to 1) and top_gain, the largest gain of a window."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -252,9 +252,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 names=["row", *MADE.names],
             )
 
-    return map_rows(docs, work, MADE)
+    return map_rows(docs, work, MADE, keep=False)
+
+
+def scores(text: Column, model: Model) -> Column:
+    """The score of a text; only texts go to Python, and only numbers come back."""
+
+    @F.arrow_udf(T.DoubleType())
+    def score_of(texts: pa.Array) -> pa.Array:
+        found: list[float] = []
+        for part in small([pa.RecordBatch.from_arrays([texts], names=["text"])]):
+            found += [model.score(model.gains(x)) for x in part.column(0).to_pylist()]
+        return pa.array(found, pa.float64())
+
+    return score_of(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
     """``docs`` without those that score ``limit`` or more."""
-    return score(docs, fit(docs, labels)).where(F.col("score") < limit).select("row.*")
+    return docs.where(scores(F.col("`text`"), fit(docs, labels)) < limit)

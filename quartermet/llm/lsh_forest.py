@@ -4,15 +4,20 @@ A document's set holds its distinct shingles of five words (A-Z as a-z; fewer
 words are one shingle).  Equal sets form a class; everything after works on
 classes, so exact copies cost nothing.  Each of ``TREES`` trees orders the classes
 by a label of ``DEPTH`` MinHashes.  Classes with a common prefix of ``LEAST``
-labels form a region.  Within a region classes are compared by sketches of 128
-bytes; pairs below ``LIKELY`` are left out (a link at the threshold lies four
-standard errors above: 1 in 100,000 of them is lost), the others are candidates.
+labels form a region; one of more than ``REGION`` classes is cut deeper, each class
+at the shortest prefix that at most ``REGION`` share.  A class's candidates are its
+neighbours in the sorted order of its region, ``NEAR`` on either side: first those
+with the longest common prefix, of equal ones those whose sketches of 128 bytes
+agree most.  Pairs whose sketches agree in less than ``LIKELY`` are left out (a link
+at the threshold lies four standard errors above: 1 in 100,000 of them is lost).
 
 Candidates are confirmed on full sets in rounds: first each class with its best
-partner and the centre of its region, then, always between classes not yet
-connected, the best few, and at last all.  A region of more than ``REGION`` classes
-is dealt by chance into parts in the first rounds, other ones in each tree and
-round.  In the last round the classes outside the region's largest group ask and
+neighbour and the region's centre, the class with most likely neighbours; then, always between
+classes not yet connected, more neighbours from a wider stretch of the order; and
+at last, for what the order leaves out, all of a region at its shallowest depth.
+(Classes of one whole label, if more than ``REGION``, are dealt by chance in the first
+rounds, otherwise in each tree and round.)
+In the last round the classes outside the region's largest group ask and
 all are asked, and each block of those that ask meets each block of those asked in
 a task group of its own: at any size all pairs that could still join two groups are
 compared, and no task holds more than two blocks.  That round sends no pairs: the
@@ -47,6 +52,8 @@ REGION = 4096
 #: Shingles of a block, about (a single class may have more).
 SHINGLES = 1 << 21
 LIKELY = 0.58
+#: Neighbours on either side that a class looks at, times the number it may choose.
+NEAR = 8
 #: Best partners confirmed for each class in each round; then all.
 ROUNDS = (1, 2)
 SIGNED = "uid long, doc_id long, n long, k binary, th binary, sig binary"
@@ -164,37 +171,44 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(spell, "rep long, own binary").groupBy("rep").agg(F.any_value("own").alias("own"))
 
 
-def candidates(sketches: np.ndarray, groups: np.ndarray, top: int) -> np.ndarray:
-    """Pairs of places of a region that may be links and would join two groups.
+def prefixes(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """How many labels at the start are common, row by row."""
+    return np.logical_and.accumulate(one == two, axis=1).sum(1)
 
-    Members of the largest group ask for none: the other side does.
+
+def candidates(labels: np.ndarray, sketches: np.ndarray, groups: np.ndarray, top: int) -> np.ndarray:
+    """Pairs of places that are neighbours in the order of the labels, may be links and would join two groups.
+
+    Each class takes the ``top`` best of its neighbours, and the centre.  Members
+    of the largest group ask for none: the other side does.
     """
     least = int(LIKELY * sketches.shape[1])
     names, of, sizes = np.unique(groups, return_inverse=True, return_counts=True)
     if len(names) < 2:
         return np.zeros((0, 2), np.int64)
+    order = np.lexsort(labels.T[::-1])
+    labels, sketches, of = labels[order], sketches[order], of[order]
+    n, near = len(order), min(NEAR * top, len(order) - 1)
+    worth = np.zeros((n, 2 * near), np.int32)  # of the neighbour behind by 1, 2, ...; then of those before
+    for k in range(1, near + 1):
+        agree = (sketches[:-k] == sketches[k:]).sum(1, dtype=np.int32)
+        worth_k = np.where((agree >= least) & (of[:-k] != of[k:]), prefixes(labels[:-k], labels[k:]) * 1024 + agree, 0)
+        worth[:-k, k - 1] = worth_k
+        worth[k:, near + k - 1] = worth_k
+    steps_of = np.concatenate([np.arange(1, near + 1), -np.arange(1, near + 1)])
+    asks = of != sizes.argmax() if sizes.max() > 1 else np.ones(n, bool)
     out: list[np.ndarray] = []
-    likely = np.zeros(len(groups), np.int64)
-    asking = np.flatnonzero(of != sizes.argmax()) if sizes.max() > 1 else np.arange(len(groups))
-    block = max(1, (1 << 23) // (len(groups) * sketches.shape[1]))
-    for a in range(0, len(asking), block):
-        own = asking[a : a + block]
-        same = (sketches[own, None, :] == sketches[None, :, :]).sum(2, dtype=np.int32)
-        same[groups[own, None] == groups[None, :]] = 0
-        same[same < least] = 0
-        likely += same.sum(0)
-        for _ in range(top):
-            best = same.argmax(1)
-            i = np.flatnonzero(same[np.arange(len(same)), best])
-            out.append(np.stack([own[i], best[i]], 1))
-            same[i, best[i]] = 0
-    if likely.any():
-        # The class most like the others: the text that the copies were made from.
-        centre = int(likely.argmax())
-        same = (sketches[asking] == sketches[centre]).sum(1)
-        i = asking[(same >= least) & (groups[asking] != groups[centre])]
-        out.append(np.stack([i, np.full(len(i), centre)], 1))
-    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+    centre = int((worth > 0).sum(1).argmax())
+    for _ in range(top):
+        best = worth.argmax(1)
+        i = np.flatnonzero(asks & (worth[np.arange(n), best] > 0))
+        out.append(np.stack([i, i + steps_of[best[i]]], 1))
+        worth[i, best[i]] = 0
+    # The class most like the others: the text that the copies were made from.
+    agree = (sketches == sketches[centre]).sum(1)
+    i = np.flatnonzero(asks & (agree >= least) & (of != of[centre]))
+    out.append(np.stack([i, np.full(len(i), centre)], 1))
+    return order[np.concatenate(out)]
 
 
 class Region:
@@ -253,18 +267,39 @@ def by_part(rows: DataFrame, work: Callable[[pa.Table], pa.RecordBatch | None],
     return rows.repartition(*PART).sortWithinPartitions(*PART, "rep").mapInArrow(run, schema)
 
 
+def cut_deeper(regions: DataFrame, top: int) -> DataFrame:
+    """Rows with the part ``x`` of their region: the shortest prefix that at most ``REGION`` classes share.
+
+    Classes with a whole label in common are dealt by chance if they are more.
+    """
+    small_ones, large = regions.where(F.col("c") <= REGION), regions.where(F.col("c") > REGION)
+    label = F.expr(f"substring(sig, tree * {DEPTH * 4} + 1, {DEPTH * 4})")
+    deeper = [
+        F.struct(F.lit(d).alias("d"), F.xxhash64(F.lit(d), F.substring("label", 1, d * 4)).alias("h"))
+        for d in range(LEAST + 1, DEPTH + 1)
+    ]
+    places = large.withColumn("label", label).select("key", "rep", F.explode(F.array(*deeper)).alias("p"))
+    places = places.select("key", "rep", "p.d", "p.h")
+    shares = places.groupBy("key", "d", "h").agg(F.count(F.lit(1)).alias("m"))
+    fits = places.join(shares, ["key", "d", "h"]).where((F.col("m") <= REGION) | (F.col("d") == DEPTH))
+    chosen = fits.groupBy("key", "rep").agg(F.min(F.struct("d", "h", "m")).alias("at"))
+    chance = F.pmod(F.xxhash64("rep", "tree", F.lit(top)), F.ceil(F.col("at.m") * 2 / REGION))
+    x = F.when(F.col("at.m") > REGION, F.xxhash64("at.h", chance)).otherwise(F.col("at.h"))
+    parts = large.join(chosen, ["key", "rep"]).withColumn("x", x).drop("at")
+    return parts.unionByName(small_ones.withColumn("x", F.lit(0).cast("long")))
+
+
 def likely_pairs(regions: DataFrame, top: int) -> DataFrame:
-    """Distinct pairs a < b of the best candidates."""
+    """Distinct pairs a < b of the best neighbours."""
 
     def work(rows: pa.Table) -> pa.RecordBatch | None:
         region = Region(rows)
-        pairs = np.unique(np.sort(region.reps[candidates(region.sketches, region.groups, top)], 1), axis=0)
+        found = candidates(region.sigs[:, region.tree], region.sketches, region.groups, top)
+        pairs = np.unique(np.sort(region.reps[found], 1), axis=0)
         return batch_of(PAIRS, [pairs[:, 0], pairs[:, 1]]) if len(pairs) else None
 
-    parts = F.when(F.col("c") > REGION, F.ceil(F.col("c") * 2 / REGION)).otherwise(1)
-    part = F.pmod(F.xxhash64("rep", "tree", F.lit(top)), parts)
-    dealt = regions.select("key", part.alias("x"), F.lit(0).cast("long").alias("y"), "tree", "rep", "component", "sig")
-    return by_part(dealt, work, PAIRS).distinct()
+    parts = cut_deeper(regions, top).withColumn("y", F.lit(0).cast("long"))
+    return by_part(parts.select(*PART, "tree", "rep", "component", "sig"), work, PAIRS).distinct()
 
 
 def blocks(regions: DataFrame) -> DataFrame:

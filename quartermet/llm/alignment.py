@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, id_and_text, small, stored
+from .common import batch_of, id_and_text, kept, small, stored
 from .tokens import gathered
 
 LONG = 64 << 10
@@ -159,15 +159,12 @@ class Pair:
         return Aligned(a, b, *starts), common
 
 
-_pairs: dict[tuple[str, str], Pair] = {}
-
-
 def pair(path_a: str, path_b: str) -> Pair:
     """Both tokenizers, once for each worker process."""
-    key = (path_a, path_b)
-    if key not in _pairs:
-        _pairs[key] = Pair(path_a, path_b)
-    return _pairs[key]
+    pairs, key = kept("alignment"), (path_a, path_b)
+    if key not in pairs:
+        pairs[key] = Pair(path_a, path_b)
+    return pairs[key]
 
 
 # -------------------------------------------------------------- documents
@@ -286,9 +283,6 @@ class Pieces:
         return counts, groups, made >> 40, made & ((1 << 40) - 1), n
 
 
-_pieces: dict[int, Pieces] = {}
-
-
 def _digest(groups: str, tokens: int) -> str:
     return sha256(groups.encode()).hexdigest() if tokens else ""
 
@@ -323,7 +317,7 @@ def _short(path_a: str, path_b: str, chunk_bytes: int):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(path_a, path_b)
-        pieces = _pieces.setdefault(id(both), Pieces(both))
+        pieces = kept("alignment").setdefault(id(both), Pieces(both))
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 32
         ids: list = []

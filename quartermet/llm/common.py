@@ -100,6 +100,23 @@ def schema_of(ddl: str) -> pa.Schema:
     return _SCHEMAS[ddl]
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def kept(operator: str) -> dict:
+    """What an operator keeps in a worker process from task to task; what others kept there is let go first.
+
+    Workers serve one stage after the other: without this they would hold the
+    memory of all operators they have ever run.
+    """
+    if operator not in _KEPT:
+        _KEPT.clear()
+        _powers.clear()
+        pa.default_memory_pool().release_unused()
+        _KEPT[operator] = {}
+    return _KEPT[operator]
+
+
 # ---------------------------------------------------------------- hashes
 
 _MASK = (1 << 64) - 1

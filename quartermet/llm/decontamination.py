@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import joined, map_rows, small, steps, stored, with_text, word_hashes
+from .common import joined, kept, map_rows, small, steps, stored, with_text, word_hashes
 
 WINDOW = 10
 #: Bytes of item texts that one automaton holds; more items take further passes over the documents.
@@ -206,9 +206,6 @@ class Stream:
             yield b - a, int(covered[a:b].sum()), longest[doc], items[doc], spans.reshape(-1).tolist()
 
 
-_streams: dict[int, tuple[list, Stream]] = {}
-
-
 def mark(docs: DataFrame, items: DataFrame, window: int = WINDOW, item_id: str = "item_id") -> DataFrame:
     """Rows of ``docs`` as ``row`` with n_words, n_hit, longest, items (names, sorted) and spans.
 
@@ -232,10 +229,11 @@ def _marker(block: list, window: int):
     key = hash((window, *block))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _streams:
-            _streams.clear()
-            _streams[key] = (block, Stream(block, window))
-        stream = _streams[key][1]
+        streams = kept("decontamination")
+        if key not in streams:
+            streams.clear()
+            streams[key] = (block, Stream(block, window))
+        stream = streams[key][1]
         for batch in small(batches):
             texts = batch.column("text").to_pylist()
             out = [x for a, b in steps(texts) for x in stream.mark(texts[a:b])]

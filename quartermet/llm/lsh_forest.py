@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, components, joined, mix, small, steps, stored, windows_hash, word_hashes
+from .common import batch_of, components, joined, kept, mix, small, steps, stored, windows_hash, word_hashes
 
 WORDS = 5
 #: Links share so many hundredths of their union.
@@ -101,6 +101,7 @@ def signed(docs: DataFrame) -> DataFrame:
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("lsh_forest")
         uid = TaskContext.get().partitionId() << 36
         for batch in small(batches):
             made: list[list] = [[], [], []]
@@ -362,8 +363,8 @@ def rest_confirmed(regions: DataFrame, sets: DataFrame) -> DataFrame:
                 joined_groups, at = np.unique(group[j], return_index=True)
                 found.append(np.stack([np.full(len(at), i), j[at]], 1))
                 group[np.isin(group, joined_groups)] = group[i]
-        kept = np.sort(region.reps[np.concatenate(found)], 1) if found else np.zeros((0, 2), np.int64)
-        return batch_of(PAIRS, [kept[:, 0], kept[:, 1]]) if len(kept) else None
+        links = np.sort(region.reps[np.concatenate(found)], 1) if found else np.zeros((0, 2), np.int64)
+        return batch_of(PAIRS, [links[:, 0], links[:, 1]]) if len(links) else None
 
     return by_part(by_part(blocks(regions), involved, BLOCK).join(sets, "rep"), links, PAIRS)
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batch_of, map_rows, small, with_text
+from .common import batch_of, kept, map_rows, small, with_text
 
 KINDS = ("email", "ip", "card", "phone")
 #: Label of tokens that are no personal data.
@@ -224,6 +224,7 @@ def fit(docs: DataFrame) -> Field:
     schema = "a int, b int, n long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("pii")
         shapes, steps = np.zeros((SHAPES, NONE + 1), np.int64), np.zeros((NONE + 1, NONE + 1), np.int64)
         for batch in small(batches, "t"):
             for raw in batch.column(0).to_pylist():

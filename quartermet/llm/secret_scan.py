@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, id_and_text, small
+from .common import batch_of, id_and_text, kept, small
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(
@@ -70,16 +70,14 @@ class Vocabulary:
         return sum(len(self.encoding.encode_ordinary(run[i : i + PART])) for i in range(0, len(run), PART))
 
 
-_vocabularies: dict[str, Vocabulary] = {}
-
-
 def vocabulary(path: str) -> Vocabulary:
     """One vocabulary for each worker process and file."""
-    if path not in _vocabularies:
+    vocabularies = kept("secret_scan")
+    if path not in vocabularies:
         import public_tokenizers
 
-        _vocabularies[path] = Vocabulary(path, public_tokenizers.PATTERN)
-    return _vocabularies[path]
+        vocabularies[path] = Vocabulary(path, public_tokenizers.PATTERN)
+    return vocabularies[path]
 
 
 def rules(text: str, raw: bytes) -> list[Span]:

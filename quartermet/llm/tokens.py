@@ -8,6 +8,8 @@ from itertools import chain, islice
 
 import numpy as np
 
+from .common import kept
+
 #: A space before more white space: such texts go to the library whole.
 _RUNS = re.compile(r" \s")
 #: Pieces remembered by one worker; beyond, those used least are forgotten.
@@ -158,11 +160,9 @@ class Encoder:
         return [np.concatenate([x, ids[a:b]]) for x, a, b in zip(first, cuts[:-1], cuts[1:], strict=True)]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One encoder for each worker process and file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    encoders = kept("tokens")
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_rows, small
+from .common import kept, map_rows, small
 
 SAMPLE = 2400
 SAMPLE_BYTES = 1 << 18
@@ -134,15 +134,13 @@ def compressor(content: bytes):
     return zstandard.ZstdCompressor(dict_data=made, compression_params=parameters)
 
 
-_compressors: dict[bytes, object] = {}
-
-
 def sizes(content: bytes, pieces: list[bytes]) -> np.ndarray:
-    if content not in _compressors:
-        if len(_compressors) > 8:
-            _compressors.clear()
-        _compressors[content] = compressor(content)
-    compress = _compressors[content].compress
+    compressors = kept("toxicity")
+    if content not in compressors:
+        if len(compressors) > 8:
+            compressors.clear()
+        compressors[content] = compressor(content)
+    compress = compressors[content].compress
     return np.fromiter((len(compress(x)) for x in pieces), np.int64, len(pieces))
 
 

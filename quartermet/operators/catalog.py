@@ -324,20 +324,24 @@ def invalid_states(events: DataFrame) -> DataFrame:
 
 
 def fold_versions(
-    events: DataFrame, key: Sequence[str] = ("version_id",), order: tuple[str, str] = ("at", "step")
+    events: DataFrame,
+    key: Sequence[str] = ("version_id",),
+    order: tuple[str, str] = ("at", "step"),
+    states: Sequence[str] = VERSION_STATES,
 ) -> DataFrame:
-    """Current state: of every attribute the last value that was given.
+    """Current state: of every attribute the last value that was given; ``status`` is one of ``states``.
 
     An event changes only the attributes it carries; time and step are packed into
-    one number, and order the events of a key totally.  States and attributes of
-    fixed width are folded by that number in one hash aggregate, with map-side
+    one number, which should tell the events of a key apart (of texts that tie the
+    greatest counts).  States, if they are named, and attributes of fixed width are folded by that number in one hash aggregate, with map-side
     combine.  Of others (names, texts) it folds the number itself, and their values
     are fetched from the events that carry them by key and number.
     """
     at = order[0]
     attributes = [c for c in events.columns if c not in (*key, *order)]
-    text = [c for c in attributes if events.schema[c].dataType == T.StringType() and c != "status"]
-    states = F.array(*map(F.lit, VERSION_STATES))
+    coded = ["status"] if states and "status" in attributes else []
+    text = [c for c in attributes if events.schema[c].dataType == T.StringType() and c not in coded]
+    codes = F.array(*map(F.lit, states))
     rows = events.withColumn("_n", packed(*order))
 
     def when(c: str) -> Column:
@@ -346,19 +350,21 @@ def fold_versions(
     def last(c: str) -> Column:
         if c in text:
             return F.max(when(c)).alias(c)
-        if c == "status":
-            return F.max_by(F.array_position(states, F.col(c)).cast("int"), when(c)).alias(c)
+        if c in coded:
+            return F.max_by(F.array_position(codes, F.col(c)).cast("int"), when(c)).alias(c)
         return F.max_by(F.col(c), when(c)).alias(c)
 
     folded = rows.groupBy(*key).agg(*map(last, attributes), F.min(at).alias("created_at"), F.max(at).alias("updated_at"))
     for c in text:
-        values = rows.where(F.col(c).isNotNull()).select(*key, F.col("_n").alias("_of"), F.col(c).alias("_value"))
+        values = rows.where(F.col(c).isNotNull()).groupBy(*key, F.col("_n").alias("_of")).agg(
+            F.array_max(F.collect_set(c)).alias("_value")
+        )
         values = values.withColumnsRenamed({k: f"_{k}" for k in key})
         same = [folded[k].eqNullSafe(values[f"_{k}"]) for k in key]
         joined = folded.join(values, [*same, folded[c] == values["_of"]], "left")
         folded = joined.select(*(F.col("_value").alias(c) if k == c else F.col(k) for k in folded.columns))
-    if "status" in attributes:
-        folded = folded.withColumn("status", F.get(states, F.col("status") - 1))
+    if coded:
+        folded = folded.withColumn("status", F.get(codes, F.col("status") - 1))
     return folded
 
 

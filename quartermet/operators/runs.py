@@ -53,7 +53,7 @@ def ingestion_statistics(files: DataFrame, *by: str) -> DataFrame:
 def fold_runs(events: DataFrame) -> DataFrame:
     """Current state of ingestion runs from their events (run_id, at, step, and
     the values an event sets, such as variable, status, station_count, error)."""
-    return fold_versions(events, ["run_id"])
+    return fold_versions(events, ["run_id"], states=())
 
 
 def run_quality(features: DataFrame, *by: str) -> DataFrame:

@@ -132,6 +132,13 @@ def test_no_aggregate_of_the_folds_sorts(spark):
         assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_texts_that_tie_make_one_row(spark):
+    rows = [(1, START, 1, "a"), (1, START, 1, "b"), (1, START, 1, "b"), (2, START, 0, "running")]
+    e = spark.createDataFrame(rows, "run_id long, at timestamp, step int, status string")
+    state = catalog.fold_versions(e, ["run_id"], states=())
+    assert sorted((r.run_id, r.status) for r in state.collect()) == [(1, "b"), (2, "running")]
+
+
 def test_many_requests_of_one_day_are_numbered_by_several_tasks(spark):
     df = spark.range(0, 20_000, 1, 4).selectExpr("'one' AS k", "timestamp'2024-01-01' AS t", "id AS i")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

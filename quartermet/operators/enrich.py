@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import quarter_end, quarter_start, settled
 from ..model import CURATED_TABLES, STATION_COLUMNS
@@ -94,3 +95,32 @@ def fill_missing(df: DataFrame, defaults: dict[str, float | int | str]) -> DataF
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of both, columns by name; a column one side lacks is NULL there."""
     return old.unionByName(new, allowMissingColumns=True)
+
+
+# Types in the order in which each holds every value of those before it.
+_WIDENING = (
+    ("byte", "short", "integer", "long"),
+    ("byte", "short", "integer", "double"),
+    ("float", "double"),
+    ("date", "timestamp_ntz"),
+)
+
+
+def wider_schema(*versions: T.StructType) -> T.StructType:
+    """One schema that holds the rows of all versions of a table.
+
+    Columns come in the order of their first version and may be NULL; a column
+    of two types gets the one that holds the values of both, and is an error if
+    neither does.
+    """
+    fields: dict[str, T.DataType] = {}
+    for f in (f for version in versions for f in version.fields):
+        have = fields.setdefault(f.name, f.dataType)
+        if have == f.dataType:
+            continue
+        pair = (have.typeName(), f.dataType.typeName())
+        line = next((w for w in _WIDENING if set(pair) <= set(w)), None)
+        if line is None:
+            raise ValueError(f"column {f.name!r} is {pair[0]} in one version and {pair[1]} in another")
+        fields[f.name] = max((have, f.dataType), key=lambda t: line.index(t.typeName()))
+    return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])

@@ -382,6 +382,18 @@ def missing_columns(df: DataFrame, required: tuple[str, ...]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
+def column_presence(df: DataFrame, required: tuple[str, ...]) -> DataFrame:
+    """Required columns (column_name), whether a table has them, and in how many rows they hold a value; one scan."""
+    have = [c for c in required if c in df.columns]
+    counts = df.agg(*[F.count(c).alias(c) for c in have], F.count(F.lit(1)).alias("_rows"))
+
+    def row(c: str) -> Column:
+        held = F.col(c) if c in have else F.lit(0).cast("bigint")
+        return F.struct(F.lit(c).alias("column_name"), F.lit(c in have).alias("present"), held.alias("rows_with_value"))
+
+    return counts.select(F.inline(F.array(*[row(c) for c in required])))
+
+
 # ---------------------------------------------------------- duplicates
 
 def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:

@@ -12,7 +12,6 @@ import uuid
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ from ..operators.enrich import enrich, to_contract
 from ..operators.features import features
 from ..operators.quality import require_parsed
 from ..operators.runs import run_record
-from ..sinks.tables import append_log, upsert_features, write_staged
+from ..sinks.tables import append_log, read_log, upsert_features, write_staged
 from ..sources.archives import read_archives
 from ..sources.observations import read_observations
 from ..sources.staged import load_features, load_staged
@@ -180,10 +179,7 @@ def _catalogue(spark: SparkSession, layout: Layout, table: str, sources: DataFra
         F.concat_ws(":", F.lit(f"staged_{table}"), "staged_version").alias("parent_id"),
         F.lit("aggregation").alias("transformation_type"),
     )
-    try:
-        known = spark.read.parquet(layout.log("lineage"))
-    except AnalysisException:  # the first run
-        known = None
+    known = read_log(spark, layout.log("lineage"))
     append_log(add_lineage(known, edges), layout.log("lineage"))
     events = done.select(
         F.concat_ws(":", F.lit(dataset), "dataset_version").alias("version_id"),

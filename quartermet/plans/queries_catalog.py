@@ -615,9 +615,23 @@ def text_file_roundtrip(spark, sf_dir):
 
 @query("archive_roundtrip", with_views("hourly") + _AIR_SQL)
 def archive_roundtrip(spark, sf_dir):
-    """The same through one archive per station and year."""
-    files = views.archive_files(spark, sf_dir, "air_temperature")
-    return observations.parse_lines(archives.expand_archives(files), "air_temperature")
+    """The same through one stored archive per station and year."""
+    unpacked, _ = views.unpacked_archives(spark, sf_dir, "air_temperature")
+    return observations.parse_lines(archives.unpacked_lines(unpacked), "air_temperature")
+
+
+@query(
+    "archive_checked_lines",
+    with_views("hourly")
+    + """, even AS (SELECT station_id, year FROM hourly GROUP BY station_id, year HAVING count(*) % 2 = 0)
+         SELECT station_id AS "STATIONS_ID", ts AS "timestamp", raw_tt AS "TT_TU"
+         FROM hourly JOIN even USING (station_id, year)""",
+)
+def archive_checked_lines(spark, sf_dir):
+    """Rows of the archives that agree with their side file; digests come from the pass that unpacked them."""
+    unpacked, sides = views.unpacked_archives(spark, sf_dir, "air_temperature")
+    lines = archives.unpacked_lines(unpacked, sides)
+    return observations.parse_lines(lines, "air_temperature").select(STATION, "timestamp", "TT_TU")
 
 
 @query(
@@ -628,14 +642,9 @@ def archive_roundtrip(spark, sf_dir):
 )
 def checksum_mismatches(spark, sf_dir):
     """Side files are right where a file has an even number of rows."""
-    files = views.archive_files(spark, sf_dir, "air_temperature")
-    sums = archives.file_checksums(files.drop("rows")).join(files.select("path", "rows"), "path")
-    told = F.when(F.col("rows") % 2 == 0, F.col("sha256")).otherwise(F.col("md5"))
-    sides = sums.select(
-        F.concat("path", F.lit(".sha256")).alias("path"),
-        F.concat(F.rpad(told, 64, "0"), F.lit("  "), F.col("path")).cast("binary").alias("content"),
-    )
-    return archives.checksum_mismatches(files, sides).select("path")
+    unpacked, sides = views.unpacked_archives(spark, sf_dir, "air_temperature")
+    found = archives.differing(archives.unpacked_digests(unpacked), sides)
+    return found.select(F.regexp_extract("path", r"station_[0-9]+/[0-9]+\.zip$", 0).alias("path"))
 
 
 @query(
@@ -784,9 +793,14 @@ def upsert(spark, sf_dir):
           FROM f_wind""",
 )
 def schema_evolution(spark, sf_dir):
-    """A column that only later rows have; NULLs filled before it becomes mandatory."""
+    """Partitions written before and after a column was added and another widened, read under one schema."""
+    path = Layout(shared_folder(spark, "versions")).curated("wind")
     rows = curated_table(spark, sf_dir, "wind").select(*_G.split(", "), "gust_hours", "calm_hours")
-    both = enrich.evolve(rows.where("year < 2000").drop("calm_hours"), rows.where("year >= 2000"))
+    old = rows.where("year < 2000").drop("calm_hours").withColumn("gust_hours", F.col("gust_hours").cast("int"))
+    new = rows.where("year >= 2000")
+    tables.upsert_features(old, path)
+    tables.upsert_features(new, path)
+    both = staged.load_versions(spark, path, enrich.wider_schema(old.schema, new.schema))
     return enrich.fill_missing(both, {"calm_hours": -1})
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import (  # noqa: F401  (register on import)
     queries_catalog,
     queries_features,
+    queries_loads,
     queries_quality,
     queries_requests,
 )

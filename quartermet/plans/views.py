@@ -32,7 +32,9 @@ from ..model import (
 from ..operators import cleaning
 from ..operators.features import features
 from ..session import shared_folder
+from ..sinks.files import write_files
 from ..sinks.tables import upsert_features
+from ..sources import archives
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -362,3 +364,30 @@ def archive_files(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
         zipped(text).alias("content"),
         "rows",
     )
+
+
+#: Archives unpacked by this process: application, input, product -> folder.
+_UNPACKED: dict[tuple[str, str, str], str] = {}
+
+
+def unpacked_archives(spark: SparkSession, sf_dir: str, product: str) -> tuple[DataFrame, DataFrame]:
+    """The archives of a product, stored as zip files and unpacked in one pass, and their side files.
+
+    Side files are right where an archive has an even number of rows.  The first
+    read of a session writes the files; later ones read what is stored.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, product)
+    if key not in _UNPACKED:
+        folder = shared_folder(spark, "archives")
+        right = F.when(F.col("rows") % 2 == 0, F.sha2("content", 256)).otherwise(F.md5("content"))
+        side = F.concat(F.rpad(right, 64, "0"), F.lit("  "), F.col("path")).cast("binary")
+        pair = F.array(
+            F.struct("path", "content"),
+            F.struct(F.concat("path", F.lit(".sha256")).alias("path"), side.alias("content")),
+        )
+        write_files(archive_files(spark, sf_dir, product).select(F.inline(pair)), f"{folder}/files")
+        archives.unpack_archives(archives.read_files(spark, f"{folder}/files"), f"{folder}/unpacked")
+        _UNPACKED[key] = folder
+    folder = _UNPACKED[key]
+    unpacked = spark.read.schema(archives.UNPACKED).parquet(f"{folder}/unpacked")
+    return unpacked, archives.read_files(spark, f"{folder}/files", "*.sha256")

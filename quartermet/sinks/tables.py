@@ -81,12 +81,8 @@ def merge_staged(df: DataFrame, path: str) -> None:
     work = shared_folder(spark, "merge")
     df.dropDuplicates(key).write.parquet(f"{work}/new")
     new = spark.read.parquet(f"{work}/new")
-    try:
-        have = spark.read.parquet(path)
-    except AnalysisException as error:
-        # Only a table that is not there, or holds no file, has first rows; other errors are errors.
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    have = read_log(spark, path)
+    if have is None:
         write_partitioned(new, path)
         return
     kept = have.join(new.select(*PARTITIONS).distinct(), list(PARTITIONS), "left_semi")
@@ -187,3 +183,14 @@ def append_jdbc(df: DataFrame, url: str, table: str, **properties: str) -> None:
 def append_log(df: DataFrame, path: str) -> None:
     """Append rows to an event log."""
     df.write.mode("append").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table, None where nothing was written yet; other errors are errors."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        # Only a table that is not there, or holds no file, is a first run's.
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None

@@ -7,8 +7,10 @@ archive (a few MB) and one batch of lines at a time.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -68,6 +70,58 @@ def read_archives(spark: SparkSession, path: str, product: str) -> DataFrame:
     return parse_lines(lines, product, "path").withColumnRenamed("path", "_source_file")
 
 
+# ----------------------------------------------- lines and digests in one pass
+
+UNPACKED = "path string, member string, lines array<string>, sha256 string, md5 string, problem string"
+_BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError)
+
+
+def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def row(path: str, member=None, lines=None, sha256=None, md5=None, problem=None) -> pd.DataFrame:
+        return pd.DataFrame(
+            {"path": [path], "member": [member], "lines": [lines], "sha256": [sha256], "md5": [md5], "problem": [problem]}
+        )
+
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"], strict=True):
+            problem = None
+            try:
+                for member, lines in _member_lines(content):
+                    yield row(path, member, lines)
+            except _BROKEN as error:
+                problem = str(error) or type(error).__name__
+            yield row(path, None, None, hashlib.sha256(content).hexdigest(), hashlib.md5(content).hexdigest(), problem)
+
+
+def unpack_archives(files: DataFrame, path: str) -> None:
+    """Write what one pass over archives (path, content) yields, as parquet.
+
+    A batch of lines is a row with its member; an archive ends with a row without
+    one, which holds both digests and what kept it from being read whole.  No
+    archive is read again for its checksum, and none crosses a shuffle.
+    """
+    files.select("path", "content").mapInPandas(_unpack, UNPACKED).write.parquet(path)
+
+
+def unpacked_digests(unpacked: DataFrame) -> DataFrame:
+    """One row per archive: path, sha256, md5, problem (NULL if it was read whole)."""
+    return unpacked.where(F.col("member").isNull()).select("path", "sha256", "md5", "problem")
+
+
+def unpacked_lines(unpacked: DataFrame, sides: DataFrame | None = None) -> DataFrame:
+    """Lines (path, member, value) of the archives that were read whole.
+
+    With side files, archives that differ from theirs give no lines either; those
+    without a side file do.  Only paths of refused archives are joined.
+    """
+    digests = unpacked_digests(unpacked)
+    refused = digests.where(F.col("problem").isNotNull()).select("path")
+    if sides is not None:
+        refused = refused.union(differing(digests, sides).select("path"))
+    lines = unpacked.where(F.col("member").isNotNull()).join(refused, "path", "left_anti")
+    return lines.select("path", "member", F.explode("lines").alias("value"))
+
+
 # -------------------------------------------------------------- checksums
 
 def file_checksums(files: DataFrame) -> DataFrame:
@@ -87,6 +141,11 @@ def side_files(files: DataFrame) -> DataFrame:
 
 def checksum_mismatches(files: DataFrame, sides: DataFrame) -> DataFrame:
     """Files that differ from their side file; files without one are not listed."""
-    known = file_checksums(files).join(side_files(sides), "path")
+    return differing(file_checksums(files), sides)
+
+
+def differing(digests: DataFrame, sides: DataFrame) -> DataFrame:
+    """The same from digests (path, sha256, md5) taken before."""
+    known = digests.join(side_files(sides), "path")
     actual = F.when(F.length("expected") == 32, F.col("md5")).otherwise(F.col("sha256"))
     return known.where(actual != F.col("expected")).select("path", "expected", actual.alias("actual"))

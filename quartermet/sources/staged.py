@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..layout import Layout
 
@@ -38,3 +39,20 @@ def load_features(
 ) -> DataFrame:
     df = spark.read.parquet(layout.curated(table))
     return _pruned(df, dataset_version=version, year=year, quarter=quarter)
+
+
+def load_versions(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    year: int | None = None,
+    quarter: int | None = None,
+    version: str | None = None,
+) -> DataFrame:
+    """A table whose partitions were written with different schemas, under one that holds them all.
+
+    ``enrich.wider_schema`` makes it.  A column that a file lacks is NULL there,
+    narrower types are widened by the scan, and no footer is read to plan it.
+    """
+    df = spark.read.schema(schema).parquet(path)
+    return _pruned(df, dataset_version=version, year=year, quarter=quarter)

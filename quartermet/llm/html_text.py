@@ -7,6 +7,11 @@ negative ones to the sink.  Blocks that follow each other, and more so those of
 one parent or of near ancestors, are joined by smoothness capacities.  What the
 source still reaches after the maximum flow is content.
 
+Names of classes and ids are evidence of a part, not of a state ("has-sidebar",
+"related-on", "alert-free" name none).  Where they, or a form, would take away the
+only ``<article>`` or ``<main>`` of a page and most of its words, they say nothing:
+some sites wrap the whole page in a form or an element of such a name.
+
 The text is what HTML shows: character references decoded, white space (line
 breaks too) within a block one space, blocks joined by line ends.  Scripts, styles,
 comments and the head are no text.  NULL and empty pages, and pages without
@@ -20,7 +25,7 @@ import math
 import re
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,7 +70,11 @@ TOKEN = re.compile(
     r"<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+# Words that make a name one of a state, and parts that hold readers' words.
+STATE_WORDS = set("has have with without no not on free enabled disabled".split())
+READER_WORDS = re.compile(r"(?:^|[^a-z])(?:comments?|commentlist|respond|reply|replies|disqus|discussion)(?![a-z])")
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 @dataclass(frozen=True)
@@ -95,35 +104,66 @@ class Block:
     linked: float
     main: bool
     away: bool
+    soft: tuple[int, ...] = ()  # numbers of the elements around it that only a name or a form speaks against
+
+
+@dataclass
+class Page:
+    """Blocks of a page, and the elements with ``<article>`` or ``<main>`` in them that only a name or a form speaks against."""
+
+    blocks: list[Block]
+    around: set[int]  # such elements; forms also with an element that is named as main text
+    forms: set[int]
+    open_main: bool  # an element named as main text stands outside all of them
+
+
+def _says(value: str, main: bool) -> tuple[bool, bool, bool]:
+    """Whether a class or id names a part with main text, one with none, and one of readers."""
+    names = [n for n in value.split() if not STATE_WORDS.intersection(re.split(r"[^a-z]+", n))]
+    value = " ".join(names)
+    away = bool(AWAY_WORDS.search(value) or (HEAD_WORDS.search(value) and not main))
+    return not away and bool(MAIN_WORDS.search(value)), away, bool(READER_WORDS.search(value))
 
 
-def _judged(tag: str, attributes: str, main: bool) -> tuple[bool, bool]:
-    """Whether an element says that it holds the main text, or none of it."""
-    away, found = tag in AWAY_TAGS, tag in MAIN_TAGS
+def _judged(tag: str, attributes: str, main: bool) -> tuple[bool, bool, bool]:
+    """Whether an element says that it holds the main text, or none of it, or only its name says the latter."""
+    found, soft = tag in MAIN_TAGS, tag == "form"
+    away = tag in AWAY_TAGS and not soft
     if tag == "header" and not main:
         away = True
     for name, value in ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            if AWAY_WORDS.search(value) or (HEAD_WORDS.search(value) and not main):
-                away = away or not (tag in ("body", "html"))
-            elif MAIN_WORDS.search(value):
-                found = True
+            good, bad, readers = _says(value, main)
+            away = away or readers and tag not in ("body", "html")
+            soft = soft or bad and tag not in ("body", "html")
+            found = found or good
         elif name == "role":
             away = away or value in AWAY_ROLES
             found = found or value in ("main", "article")
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             away = True
-        elif name == "style" and "display" in value and re.search(r"display\s*:\s*none", value):
+        elif name == "style" and UNSEEN.search(value):
             away = True
-    return found and not away, away
+    return found and not away and (not soft or tag in MAIN_TAGS), away, soft and not away
 
 
-def blocks(page: str) -> list[Block]:
+def _unseen(attributes: str) -> bool:
+    """Whether an element within a line is not shown."""
+    for name, value in ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name == "hidden" or (name == "style" and UNSEEN.search(value.lower())):
+            return True
+    return False
+
+
+def blocks(page: str) -> Page:
     """The blocks of a page that hold text."""
     out: list[Block] = []
-    # Open elements: tag, number, holds main text, holds none.
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    made = Page(out, set(), set(), False)
+    # Open elements: tag, number, holds main text, holds none, those around it of which a name or a form says so.
+    stack: list[tuple[str, int, bool, bool, tuple[int, ...]]] = [("", 0, False, False, ())]
+    unseen: list[str] = []  # open elements within a line that are not shown, and those in them
     count = link = 0
     pieces: list[str] = []
     in_links = total = 0
@@ -133,15 +173,15 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                tag, number, main, away = stack[-1]
+                tag, number, main, away, soft = stack[-1]
                 grand = stack[-2][1] if len(stack) > 1 else 0
-                out.append(Block(text, tag, number, grand, in_links / max(total, 1), main, away))
+                out.append(Block(text, tag, number, grand, in_links / max(total, 1), main, away, soft))
             pieces.clear()
         in_links = total = 0
 
     at = 0
     for m in TOKEN.finditer(page):
-        if m.start() > at:
+        if m.start() > at and not unseen:
             piece = page[at : m.start()]
             pieces.append(piece)
             size = len(piece.strip())
@@ -156,11 +196,18 @@ def blocks(page: str) -> list[Block]:
         if tag in INLINE:
             if tag == "a":
                 link = 0 if m[2] else 1
+            if m[2]:
+                if tag in unseen:
+                    while unseen.pop() != tag:
+                        pass
+            elif unseen or (m[4] and _unseen(m[4])):
+                unseen.append(tag)
             continue
         if tag == "br":
             pieces.append(" ")
             continue
         flush()
+        unseen.clear()
         if m[2]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
@@ -173,17 +220,45 @@ def blocks(page: str) -> list[Block]:
         while len(stack) > 1 and stack[-1][0] in closes:
             stack.pop()
         count += 1
-        _, _, main, away = stack[-1]
-        found, off = _judged(tag, m[4], main)
+        _, _, main, away, soft = stack[-1]
+        found, off, named = _judged(tag, m[4], main)
+        if not away and not off:
+            if named:
+                soft = (*soft, count)
+                if tag == "form":
+                    made.forms.add(count)
+            if found and not soft:
+                made.open_main = True
+            elif found:
+                made.around.update(e for e in soft if tag in MAIN_TAGS or e in made.forms)
         if not m[4].endswith("/"):
-            stack.append((tag, count, main or found, away or off))
-    if at < len(page):
+            stack.append((tag, count, main or found, away or off, soft))
+    if at < len(page) and not unseen:
         rest = page[at:]
         pieces.append(rest)
         total += len(rest.strip())
         in_links += len(rest.strip()) if link else 0
     flush()
-    return out
+    return made
+
+
+def settled(page: Page) -> list[Block]:
+    """The blocks, each told whether something around it speaks against it.
+
+    An element that only its name speaks against is taken back if it holds more
+    than half of the words outside links and the only ``<article>`` or ``<main>``
+    (a form: or the only element named as main text).
+    """
+    words: dict[int, float] = {}
+    total = 0.0
+    for b in page.blocks:
+        if not b.away:
+            n = (b.text.count(" ") + 1) * (1 - b.linked)
+            total += n
+            for e in b.soft:
+                words[e] = words.get(e, 0.0) + n
+    back = set() if page.open_main else {e for e, n in words.items() if e in page.around and 2 * n > total}
+    return [replace(b, away=True) if set(b.soft) - back else b for b in page.blocks]
 
 
 def log_odds(block: Block, costs: Costs) -> float:
@@ -266,7 +341,7 @@ def minimum_cut(odds: list[int], edges: list[tuple[int, int, int]]) -> list[bool
 
 def main_blocks(page: str, costs: Costs = Costs()) -> tuple[list[str], int]:
     """Texts of the content blocks, and how many blocks there are."""
-    found = blocks(page)
+    found = settled(blocks(page))
     odds = [round(100 * log_odds(b, costs)) for b in found]
     if all(z >= 0 for z in odds):
         return [b.text for b in found], len(found)

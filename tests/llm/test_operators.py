@@ -341,6 +341,65 @@ def test_main_text(spark):
     assert got[6] == ("plain words", 11)
 
 
+ARTICLE = "<h1>Long walk</h1><p>We went up the hill in the morning, before the sun was high.</p><p>Nobody else was there.</p>"
+AROUND = "<nav><a href=a>Home</a> <a href=b>News</a></nav>{}<div class=sidebar><p>Read this other story, it is very good.</p></div><footer>Imprint</footer>"
+WRAPPED = [
+    "<div class='layout has-sidebar'>{}</div>",
+    "<article class='post related-on'>{}</article>",
+    "<main class='main alert-free'>{}</main>",
+    "<article class='promo'>{}</article>",
+    "<div class='page' data-id='sidebar' data-class=ads title='class=menu'><article>{}</article></div>",
+    "<article>{}</article>",
+    "<div class=content>{}</div>",
+]
+
+
+@pytest.mark.parametrize("wrap", WRAPPED)
+def test_names_of_the_whole_page_decide_nothing(wrap):
+    want = "Long walk\nWe went up the hill in the morning, before the sun was high.\nNobody else was there."
+    page = "<html><body>" + AROUND.format(wrap.format(ARTICLE)) + "</body></html>"
+    assert "\n".join(html_text.main_blocks(page)[0]) == want
+    # A form, or an element with a name of something else, around all that a page holds.
+    if "article" in wrap or "<main" in wrap or "content" in wrap:
+        form = "<html><body><form id='aspnetForm'>" + AROUND.format(wrap.format(ARTICLE)) + "</form></body></html>"
+        assert "\n".join(html_text.main_blocks(form)[0]) == want
+
+
+def test_other_articles_stay_away():
+    teaser = "<div class=related><article><p>Another long story about a hill, with many words in it, more than here.</p></article></div>"
+    reader = "<section id=comments><article><p>I have been there too, it was a very fine day, and nobody was there.</p></article></section>"
+    promo = "<article class=promo><p>Buy boots now, they are good boots for every kind of hill.</p></article>"
+    form = "<form class=contact><div class=form-content><p>Write to us, we will answer as soon as we can do so.</p></div></form>"
+    want = "Long walk\nWe went up the hill in the morning, before the sun was high.\nNobody else was there."
+    for wrap in ("<article>{}</article>", "<div class=content>{}</div>", "<main>{}</main>"):
+        page = "<body>" + AROUND.format(wrap.format(ARTICLE) + teaser + reader + promo + form) + "</body>"
+        assert "\n".join(html_text.main_blocks(page)[0]) == want
+
+
+def test_what_is_not_shown_in_a_line_is_no_text():
+    page = (
+        "<article><p>We went <span hidden>unseen <b>words <i>here</b> </span>up the <b style='color:red'>hill</b> in the "
+        "<i style='display: none'>night</i>morning, <em>before</em> the sun was high.</p><p>Nobody <span hidden>was</p>"
+        "<p>else was there.</p></article>"
+    )
+    assert html_text.main_blocks(page)[0] == [
+        "We went up the hill in the morning, before the sun was high.", "Nobody", "else was there.",
+    ]
+
+
+def test_main_text_of_odd_tables(spark):
+    page = "<body><article><p>We went up the hill in the morning.</p></article></body>"
+    kind = "page_id long, url string, html string, row int, text string, main_text string, n_blocks string"
+    rows = [(1, "u", page, 5, "x", "y", "z"), (1, "u", page, 5, "x", "y", "z"), (None, None, page, None, None, None, None)]
+    got = html_text.main_text(spark.createDataFrame(rows, kind)).collect()
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [
+        (i, "We went up the hill in the morning.", 35) for i in (0, 1, 1)
+    ]
+    assert html_text.main_text(spark.createDataFrame([], kind)).count() == 0
+    long = "<article>" + "<p>We went up the hill in the morning.</p>" * 20000 + "</article>"
+    assert len(html_text.main_blocks(long)[0]) == 20000
+
+
 def test_lattice_points_are_nearest():
     x = RNG.normal(size=(50, 8)) * 2
     around = np.array(list(itertools.product((-1, 0, 1), repeat=8)))

@@ -25,7 +25,7 @@ from ..operators.quality import require_parsed
 from ..operators.runs import run_record
 from ..sinks.tables import append_log, read_log, upsert_features, write_staged
 from ..sources.archives import read_archives
-from ..sources.observations import read_observations
+from ..sources.observations import read_named, read_observations
 from ..sources.staged import load_features, load_staged
 
 MAX_PARSE_ERRORS = 0.30
@@ -75,17 +75,26 @@ def stage(
     archives: bool = False,
     pattern: str = "*.txt",
     mode: str = "overwrite",
+    by_name: bool = False,
+    aliases: dict[str, str] | None = None,
 ) -> dict[str, object]:
     """Raw files of a product to its staged table.
 
+    Columns are taken by position, or with ``by_name`` by the names in each file's
+    header (``aliases`` names those that are called otherwise there).
+
     Rows without station or time are left out and counted; too large a share of
     them fails the run before anything is written.
     """
     product_schema(product)
+    if archives and by_name:
+        raise ValueError("columns of archives are taken by position")
 
     def work() -> dict[str, object]:
         if archives:
             raw = read_archives(spark, layout.raw(product), product)
+        elif by_name:
+            raw = read_named(spark, layout.raw(product), product, pattern, aliases)
         else:
             raw = read_observations(spark, layout.raw(product), product, pattern)
         # Exact counts from a pass of their own: the decision comes before the write.

@@ -130,7 +130,7 @@ def _partition_path(path: str, target: Target) -> str:
     return f"{path}/dataset_version={version}/year={int(year)}/quarter={int(quarter)}"
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove(spark: SparkSession, folder: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     where = hadoop.Path(folder)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
@@ -156,7 +156,7 @@ def upsert_features(
     wrote = write_partitioned(df, path, PARTITIONS, mode, also=tuple(per_target))
     for i, target in enumerate(targets):
         if wrote.pop(f"target_{i}") == 0 and mode == "overwrite":
-            _remove(df.sparkSession, _partition_path(path, target))
+            remove(df.sparkSession, _partition_path(path, target))
     return wrote
 
 
@@ -165,12 +165,12 @@ def delete_features(
 ) -> None:
     """Delete a quarter of a version, or one station of it."""
     if station_id is None:
-        _remove(spark, _partition_path(path, target))
+        remove(spark, _partition_path(path, target))
         return
     quarter = spark.read.parquet(path).where(_matches(target))
     rest = quarter.where(F.col("station_id") != station_id)
     if rest.isEmpty():
-        _remove(spark, _partition_path(path, target))
+        remove(spark, _partition_path(path, target))
     else:
         write_partitioned(rest, path, PARTITIONS)
 
@@ -185,10 +185,10 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame | None:
+def read_log(spark: SparkSession, path: str, **options: str) -> DataFrame | None:
     """A stored table, None where nothing was written yet; other errors are errors."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.options(**options).parquet(path)
     except AnalysisException as error:
         # Only a table that is not there, or holds no file, is a first run's.
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):

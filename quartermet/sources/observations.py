@@ -160,6 +160,16 @@ def read_text(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFra
     )
 
 
+def read_named(
+    spark: SparkSession, path: str, product: str, pattern: str = "*.txt", aliases: dict[str, str] | None = None
+) -> DataFrame:
+    """Files whose columns are found by the names of their headers, see ``parse_named_lines``."""
+    rows = parse_named_lines(read_text(spark, path, pattern), product, aliases)
+    return rows.withColumnRenamed("file", "_source_file").withColumns(
+        {"_source_prefix": F.lit(path), "_parsed_at": F.current_timestamp()}
+    )
+
+
 def list_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Files below a folder with the variable, station and year of their path."""
     files = (

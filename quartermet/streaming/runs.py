@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import add_version, clean, split_rejects
 from ..operators.quality import bad_files, require_parsed
-from ..sinks.tables import merge_staged
+from ..sinks.tables import merge_staged, read_log, remove
 from ..sources.observations import stream_observations
 
 
@@ -76,14 +77,57 @@ def run_windows(stream: DataFrame, path: str, checkpoint: str, allow_late: bool
     return {"rows_read": sum(p["numInputRows"] for p in progress), "rows_late": late}
 
 
-def read_windows(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
-    """Newest row of every window written by ``run_windows``."""
-    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+def _stored_windows(spark: SparkSession, path: str) -> list[DataFrame]:
+    """What batches wrote, and what was folded before, each row with the number of its batch."""
+    batches = read_log(spark, f"{path}/batch=*", basePath=path)
+    folded = read_log(spark, f"{path}/folded")
+    return [df for df in (batches, folded) if df is not None]
+
+
+def _newest(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     rest = [c for c in rows.columns if c not in (*key, "batch")]
     best = F.max_by(F.struct(*rest), "batch").alias("_row")
     return rows.groupBy(*key).agg(best).select(*key, "_row.*")
 
 
+def read_windows(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
+    """Newest row of every window written by ``run_windows``."""
+    stored = _stored_windows(spark, path)
+    if not stored:
+        raise ValueError(f"no windows were written to {path}")
+    return _newest(reduce(DataFrame.unionByName, stored), key)
+
+
+def fold_windows(spark: SparkSession, path: str, key: Sequence[str]) -> int:
+    """Put the batches written so far into one table and remove them; returns how many.
+
+    Without it every read goes through all batches there ever were.  To be
+    called between runs.  A window's folded row counts as written by the newest
+    batch folded, so one that is interrupted changes no result, and the next
+    call removes what it left.
+    """
+    if read_log(spark, f"{path}/batch=*", basePath=path) is None:
+        return 0
+    # One number for each batch since the last call, told by its files: a batch may hold no row.
+    files = spark.read.format("binaryFile").load(f"{path}/batch=*")
+    number = F.regexp_extract("path", r"/batch=([0-9]+)/[^/]*$", 1).cast("int")
+    numbers = [r["batch"] for r in files.select(number.alias("batch")).distinct().collect()]
+    before = read_log(spark, f"{path}/folded")
+    held = [r["batch"] for r in before.select("batch").distinct().collect()] if before is not None else []
+    newest = max([*numbers, *held], default=0)
+    if newest not in held:
+        made = read_windows(spark, path, key).withColumn("batch", F.lit(newest))
+        # The new folder appears by one rename; what it replaces goes after.
+        writer = made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch").parquet(f"{path}/folded")
+    for n in numbers:
+        remove(spark, f"{path}/batch={n}")
+    for n in held:
+        if n != newest:
+            remove(spark, f"{path}/folded/batch={n}")
+    return len(numbers)
+
+
 def load_new_files(
     spark: SparkSession,
     folder: str,

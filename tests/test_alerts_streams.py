@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
@@ -102,6 +103,30 @@ def test_late_rows_are_counted_and_refused(spark, tmp_path):
     metric = log.request_rate(lot([(60, "/a", 200, 0.1)]))
     assert runs.run_windows(metric, f"{folder}/out", f"{folder}/state", allow_late=True) == {"rows_read": 1, "rows_late": 1}
 
+    # Folding changes no result, whether or not it was interrupted before, and later batches win.
+    def result():
+        return sorted(tuple(r) for r in runs.read_windows(spark, f"{folder}/out", key).collect())
+
+    def stored(kind):
+        return sorted(p.name for p in tmp_path.joinpath("out", kind).glob("batch=*"))
+
+    want = result()
+    shutil.copytree(tmp_path / "out", tmp_path / "copy")
+    batches = stored(".")
+    assert runs.fold_windows(spark, f"{folder}/out", key) == len(batches) > 1
+    assert result() == want and stored(".") == [] and stored("folded") == batches[-1:]
+    shutil.copytree(tmp_path / "copy" / batches[0], tmp_path / "out" / batches[0])  # as if it had not been removed
+    assert result() == want
+    assert runs.fold_windows(spark, f"{folder}/out", key) == 1 and result() == want and stored(".") == []
+    assert runs.fold_windows(spark, f"{folder}/out", key) == 0
+    metric = log.request_rate(lot([(21_000, "/a", 200, 0.1), (16_600, "/a", 200, 0.1)]))
+    runs.run_windows(metric, f"{folder}/out", f"{folder}/state", allow_late=True)
+    more = result()
+    assert more != want and sum(r[4] for r in more) == sum(r[4] for r in want) + 2
+    assert runs.fold_windows(spark, f"{folder}/out", key) >= 1 and result() == more and len(stored("folded")) == 1
+    with pytest.raises(ValueError, match="no windows"):
+        runs.read_windows(spark, f"{folder}/none", key)
+
 
 AIR = "STATIONS_ID;MESS_DATUM;QN_9;TT_TU;RF_TU\n"
 

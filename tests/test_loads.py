@@ -11,7 +11,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quartermet.layout import Layout
 from quartermet.operators import enrich, quality
+from quartermet.plans import jobs
 from quartermet.sinks.files import write_files
 from quartermet.sinks.tables import read_log, upsert_features
 from quartermet.sources import archives, observations, staged
@@ -100,6 +102,21 @@ def test_columns_by_name(spark):
     assert {r.file for r in found} == {"other", "short"}
 
 
+def test_staging_by_name(spark, tmp_path):
+    zone = Layout(str(tmp_path))
+    folder = tmp_path / "raw/dwd/moisture/station_00002/2023"
+    folder.mkdir(parents=True)
+    folder.joinpath("produkt.txt").write_text(
+        "STATIONS_ID;MESS_DATUM;QN_8;TD;RF_TU;eor\n" + "".join(f"2;20230101{h:02d};7;-1.5;{60 + h};eor\n" for h in range(24))
+    )
+    jobs.stage(spark, zone, "moisture", version="2023Q1_staged_v1", by_name=True, aliases={"TD": "TF_TU"})
+    rows = staged.load_staged(spark, zone, "moisture", 2023, 1).orderBy("timestamp").collect()
+    assert [(r.QN_4, r.RF_TU, r.TF_TU) for r in rows] == [(7, 60.0 + h, -1.5) for h in range(24)]
+    assert all(r._source_file.endswith("station_00002/2023/produkt.txt") for r in rows)
+    with pytest.raises(ValueError, match="by position"):
+        jobs.stage(spark, zone, "moisture", archives=True, by_name=True)
+
+
 def test_two_headers_in_a_file_are_an_error(spark):
     lines = spark.createDataFrame([*MOISTURE, ("own", "STATIONS_ID;MESS_DATUM;QN_4;TF_TU;RF_TU;eor")], "file string, value string")
     with pytest.raises(PySparkException, match="several headers in own"):

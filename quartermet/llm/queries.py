@@ -69,7 +69,7 @@ def packed_rows(docs: DataFrame) -> DataFrame:
     # The checksum first: the ids themselves are not shuffled.
     digests = made.select("uid", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return digests.join(places, "uid").select(
-        "doc_id", "piece", "start", "length", "ids_crc32",
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32",
         F.col("bin").alias("sequence_id"), F.col("offset").cast("long").alias("offset"),
     )
 

@@ -15,7 +15,8 @@ ROW_BITS = 33
 
 
 def numbered(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str, total: str | None = None
+    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str, total: str | None = None,
+    many_groups: bool = False,
 ) -> DataFrame:
     """``df`` with ``name``: 1, 2, … by ``order`` (NULL first) within each group of ``by``, and the group's ``total``.
 
@@ -25,6 +26,9 @@ def numbered(
     it.  Only counts of rows for each range and group are ever ordered in one
     place.  Rows that tie in ``order`` are numbered in any order; many of them
     fill one range, so add a column that tells them apart.  NULLs of ``by`` form a group.
+
+    ``many_groups``: groups grow with the rows.  Their starts are then joined by
+    shuffle: Spark would broadcast them for the size of the compressed file below.
     """
     spark, keys = df.sparkSession, [*by, *order]
     place = F.monotonically_increasing_id().alias("_place")
@@ -45,6 +49,7 @@ def numbered(
         F.sum("_n").over(Window.partitionBy(*by)).alias("_total"),
     )
     same: list[Column] = [F.col("_range") == F.col("_of"), *(F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by)]
+    starts = starts.hint("merge") if many_groups else starts
     joined = rows.join(starts, reduce(lambda a, b: a & b, same))
     made = [(F.col("_shift") + F.col("_row")).alias(name), *([F.col("_total").alias(total)] if total else [])]
     return joined.select(*df.columns, *made)

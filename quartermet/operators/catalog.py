@@ -37,9 +37,9 @@ def _new_definitions(existing: DataFrame | None, requests: DataFrame) -> DataFra
     fresh = first.select("schema_name", "schema_hash", "_first.*")
     if existing is None:
         return fresh
-    return fresh.join(
-        existing.select("schema_name", "schema_hash"), ["schema_name", "schema_hash"], "left_anti"
-    )
+    # A registry of many repeated definitions is a small file and a large table: never broadcast.
+    known = existing.select("schema_name", "schema_hash").hint("merge")
+    return fresh.join(known, ["schema_name", "schema_hash"], "left_anti")
 
 
 def register_schemas(existing: DataFrame | None, requests: DataFrame) -> DataFrame:
@@ -49,11 +49,12 @@ def register_schemas(existing: DataFrame | None, requests: DataFrame) -> DataFra
     are numbered on from the highest one, in the order they were asked for.
     Nothing is refused; see ``register_checked``.
     """
-    fresh = numbered(_new_definitions(existing, requests), ["schema_name"], ["created_at", "request_id"], "_number")
+    fresh = _new_definitions(existing, requests)
+    fresh = numbered(fresh, ["schema_name"], ["created_at", "request_id"], "_number", many_groups=True)
     number = F.col("_number")
     if existing is not None:
         top = existing.groupBy("schema_name").agg(F.max("version").alias("_top"))
-        fresh = fresh.join(top, "schema_name", "left")
+        fresh = fresh.join(top.hint("merge"), "schema_name", "left")
         number = number + F.coalesce("_top", F.lit(0))
     return fresh.select(
         "schema_name",
@@ -161,7 +162,7 @@ def accepted(requests: DataFrame, outcomes: DataFrame) -> DataFrame:
 def assigned_versions(registry: DataFrame, requests: DataFrame) -> DataFrame:
     """The version every request got, repeated definitions included."""
     asked = requests.select("request_id", "schema_name", content_hash("fields").alias("schema_hash"))
-    known = registry.select("schema_name", "schema_hash", "version")
+    known = registry.select("schema_name", "schema_hash", "version").hint("merge")
     return asked.join(known, ["schema_name", "schema_hash"]).select(
         "request_id", "schema_name", "version"
     )
@@ -187,7 +188,7 @@ def consecutive_versions(registry: DataFrame) -> DataFrame:
         "created_at",
         "created_by",
     )
-    return later.join(before, ["schema_name", "to_version"], "left")
+    return later.join(before.hint("merge"), ["schema_name", "to_version"], "left")
 
 
 def _names(fields: str) -> Column:
@@ -249,7 +250,7 @@ def screen_requests(registry: DataFrame, requests: DataFrame) -> tuple[DataFrame
     latest = registry.groupBy("schema_name").agg(
         F.max("version").alias("from_version"), F.max_by("fields", "version").alias("old_fields")
     )
-    pairs = requests.join(latest, "schema_name", "left").select(
+    pairs = requests.join(latest.hint("merge"), "schema_name", "left").select(
         "request_id", "schema_name", "from_version",
         (F.coalesce("from_version", F.lit(0)) + 1).alias("to_version"),
         "old_fields", F.col("fields").alias("new_fields"), "compatibility_mode",
@@ -279,7 +280,7 @@ def deactivate_schemas(registry: DataFrame, events: DataFrame) -> DataFrame:
     """The registry with the versions named in deactivation events inactive."""
     off = events.select(*SCHEMA).distinct().withColumn("_off", F.lit(True))
     kept = [c for c in registry.columns if c != "is_active"]
-    return registry.join(off, list(SCHEMA), "left").select(
+    return registry.join(off.hint("merge"), list(SCHEMA), "left").select(
         *kept, (F.col("is_active") & F.col("_off").isNull()).alias("is_active")
     )
 

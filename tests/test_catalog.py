@@ -49,6 +49,23 @@ def test_identical_schema_keeps_its_version(spark):
     assert got == [("s", 3), ("u", 1)]
 
 
+def test_registry_is_never_broadcast(spark, tmp_path):
+    """A registry of repeated definitions is a small file and a large table."""
+    r = requests(spark, [("s", {"a": REQUIRED}, "NONE"), ("t", {"b": OPTIONAL}, "NONE")])
+    catalog.register_schemas(None, r).write.parquet(str(tmp_path / "registry"))
+    registry = spark.read.parquet(str(tmp_path / "registry"))
+    more = requests(spark, [("s", {"c": OPTIONAL}, "NONE"), ("t", {"b": OPTIONAL}, "NONE")])
+    added = catalog.register_schemas(registry, more)
+    off = registry.select("schema_name", "version")
+    for made in (
+        added, catalog._new_definitions(registry, more), catalog.consecutive_versions(registry),
+        catalog.assigned_versions(registry, more), catalog.change_log(registry, off),
+        catalog.deactivate_schemas(registry, off), catalog.screen_requests(registry, more)[1],
+    ):
+        assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+    assert [(x.schema_name, x.version) for x in added.collect()] == [("s", 2)]
+
+
 def test_changes(spark):
     r = requests(spark, [
         ("s", {"a": REQUIRED, "b": OPTIONAL, "d": OPTIONAL}, "NONE"),

@@ -75,9 +75,9 @@ def parse_lines(lines: DataFrame, product: str, *kept: str) -> DataFrame:
     # from_csv wants as many columns as a line has; the end-of-record one goes.
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     row = F.from_csv("value", f"{ddl}, eor string", options)
-    return with_time(
-        body.select(*kept, row.alias("_row")).select(*kept, *[f"_row.{n}" for n in schema.names])
-    )
+    # Unfolded as a table of one row: a plain column would be parsed again for each
+    # mention of a cell, and for each filter that Spark pushes below it.
+    return with_time(body.select(*kept, F.inline(F.array(row))).select(*kept, *schema.names))
 
 
 # ------------------------------------------------------- columns by their names

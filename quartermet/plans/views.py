@@ -32,7 +32,7 @@ from ..model import (
 from ..operators import cleaning
 from ..operators.features import features
 from ..session import shared_folder
-from ..sinks.files import write_files
+from ..sinks.files import read_listed, write_files
 from ..sinks.tables import upsert_features
 from ..sources import archives
 
@@ -385,9 +385,11 @@ def unpacked_archives(spark: SparkSession, sf_dir: str, product: str) -> tuple[D
             F.struct("path", "content"),
             F.struct(F.concat("path", F.lit(".sha256")).alias("path"), side.alias("content")),
         )
-        write_files(archive_files(spark, sf_dir, product).select(F.inline(pair)), f"{folder}/files")
-        archives.unpack_archives(archives.read_files(spark, f"{folder}/files"), f"{folder}/unpacked")
+        made = archive_files(spark, sf_dir, product).select(F.inline(pair))
+        write_files(made, f"{folder}/files", f"{folder}/listed")
+        files = read_listed(spark.read.parquet(f"{folder}/listed"), f"{folder}/files", ".zip")
+        archives.unpack_archives(files, f"{folder}/unpacked")
         _UNPACKED[key] = folder
     folder = _UNPACKED[key]
     unpacked = spark.read.schema(archives.UNPACKED).parquet(f"{folder}/unpacked")
-    return unpacked, archives.read_files(spark, f"{folder}/files", "*.sha256")
+    return unpacked, read_listed(spark.read.parquet(f"{folder}/listed"), f"{folder}/files", ".sha256")

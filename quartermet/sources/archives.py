@@ -77,20 +77,26 @@ _BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError)
 
 
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def row(path: str, member=None, lines=None, sha256=None, md5=None, problem=None) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"path": [path], "member": [member], "lines": [lines], "sha256": [sha256], "md5": [md5], "problem": [problem]}
-        )
-
+    names = ["path", "member", "lines", "sha256", "md5", "problem"]
+    rows: list[tuple] = []
+    held = 0
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"], strict=True):
             problem = None
             try:
                 for member, lines in _member_lines(content):
-                    yield row(path, member, lines)
+                    rows.append((path, member, lines, None, None, None))
+                    held += len(lines)
+                    if held >= LINES_PER_BATCH:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, held = [], 0
             except _BROKEN as error:
                 problem = str(error) or type(error).__name__
-            yield row(path, None, None, hashlib.sha256(content).hexdigest(), hashlib.md5(content).hexdigest(), problem)
+            digests = hashlib.sha256(content).hexdigest(), hashlib.md5(content).hexdigest()
+            rows.append((path, None, None, *digests, problem))
+            held += 1
+    if rows:
+        yield pd.DataFrame(rows, columns=names)
 
 
 def unpack_archives(files: DataFrame, path: str) -> None:

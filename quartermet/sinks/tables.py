@@ -35,6 +35,7 @@ def write_partitioned(
     mode: str = "overwrite",
     target_file_mb: int = 128,
     also: tuple[Column, ...] = (),
+    parallel_commit: bool = False,
 ) -> dict[str, object]:
     """Write and return statistics, which are taken during the write.
 
@@ -42,6 +43,10 @@ def write_partitioned(
 
     ``overwrite`` replaces the partitions present in the rows, ``replace`` the
     whole table.  ``also`` adds further aggregates to the statistics.
+
+    ``parallel_commit`` has tasks move their files to their places as they end,
+    instead of the driver all of them one after the other; it is for new tables
+    of many small partitions, as a run that fails leaves files.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
@@ -53,6 +58,10 @@ def write_partitioned(
     rows = rows.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *inner)
     writer = rows.write.partitionBy(*partition_by).option("compression", "snappy")
     writer = writer.option("maxRecordsPerFile", target_file_mb * 1024 * 1024 // ROW_BYTES)
+    if parallel_commit:
+        if mode == "overwrite":
+            raise ValueError("partitions are replaced by the driver: parallel_commit needs another mode")
+        writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
     elif mode == "replace":

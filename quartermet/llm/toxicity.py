@@ -258,6 +258,7 @@ def scores(text: Column, model: Model) -> Column:
 
     @F.arrow_udf(T.DoubleType())
     def score_of(texts: pa.Array) -> pa.Array:
+        kept("toxicity")  # before any text becomes Python's
         found: list[float] = []
         for part in small([pa.RecordBatch.from_arrays([texts], names=["text"])]):
             found += [model.score(model.gains(x)) for x in part.column(0).to_pylist()]

@@ -7,14 +7,15 @@ import itertools
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quartermet.llm import (
-    chunks, decontamination, html_text, huffman, lattice, lsh_forest, packing, pii, queries, suffixes, tokens, toxicity,
-    windows,
+    chunks, common, decontamination, html_text, huffman, lattice, lsh_forest, packing, pii, queries, suffixes, tokens,
+    toxicity, windows,
 )
 
 RNG = np.random.default_rng(9)
@@ -83,6 +84,30 @@ def test_pieces_of_texts_encode_as_the_library_does():
     assert [x.tolist() for x in enc.encode(texts)] == [library_ids(t) for t in texts]
 
 
+def test_library_gets_few_characters_at_once(monkeypatch):
+    monkeypatch.setattr(tokens, "LIBRARY", 40)
+    enc, asked = tokens.Encoder(queries.tokenizer_path()), []
+
+    class Asked:
+        def encode_batch_fast(self, texts, real=enc.tokenizer, **how):
+            asked.append(sum(map(len, texts)))
+            return real.encode_batch_fast(texts, **how)
+
+    enc.tokenizer = Asked()
+    texts = ["", "one  two", *(f"word{i} and, more{i}." for i in range(60)), "end "]
+    assert [x.tolist() for x in enc.encode(texts)] == [library_ids(t) for t in texts]
+    assert len(asked) > 20 and sorted(asked)[-2] <= 40 + 20
+
+
+def test_workers_return_memory_when_operators_change(monkeypatch):
+    trimmed = []
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda _: SimpleNamespace(malloc_trim=trimmed.append))
+    monkeypatch.setattr(common, "_KEPT", {"tokens": {"x": 1}})
+    common.kept("tokens")
+    assert trimmed == []
+    assert common.kept("toxicity") == {} and trimmed == [0] and list(common._KEPT) == ["toxicity"]
+
+
 def test_code_lengths_are_limited_and_optimal():
     for counts, limit in (([1, 1, 2, 3, 5, 8, 13, 21], 4), ([5], 3), ([0, 0, 7, 1], 9), ([0], 5), (list(2 ** np.arange(30)), 6)):
         lengths = huffman.code_lengths(np.array(counts), limit)

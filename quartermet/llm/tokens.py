@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
-from .common import kept
+from .common import kept, steps
 
 #: A space before more white space: such texts go to the library whole.
 _RUNS = re.compile(r" \s")
 #: Pieces remembered by one worker; beyond, those used least are forgotten.
 REMEMBER = 450_000
 #: Characters of texts that are put together from pieces at once.
-STEP = 1_000_000
+STEP = 2_000_000
+#: Characters that the library gets at once.
+LIBRARY = 100_000
 
 
 def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,15 +78,20 @@ class Encoder:
         flat, begin = gathered(self.flat, self.begin[often], self.size[often])
         self.keep(number, flat, begin[:-1], self.size[often])
 
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The library's ids of each text; it holds some 100 bytes for an id, so few texts at a time."""
+        found = []
+        for a, b in steps(texts, LIBRARY):
+            made = self.tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False)
+            found += [np.array(x.ids, np.uint32) for x in made]
+        return found
+
     def library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces, each after a space, and how many each has."""
         if any(x[-1:].isspace() or not x for x in pieces):
-            each = [x.ids for x in self.tokenizer.encode_batch_fast([" " + x for x in pieces], add_special_tokens=False)]
-            size = np.fromiter(map(len, each), np.int32, len(each))
-            return np.fromiter(chain.from_iterable(each), np.uint32, int(size.sum())), size
-        texts = [" " + " ".join(pieces[i : i + 100]) for i in range(0, len(pieces), 100)]
-        each = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        ids = np.fromiter(chain.from_iterable(each), np.uint32, sum(map(len, each)))
+            each = self.ids([" " + x for x in pieces])
+            return np.concatenate(each), np.fromiter(map(len, each), np.int32, len(each))
+        ids = np.concatenate(self.ids([" " + " ".join(pieces[i : i + 100]) for i in range(0, len(pieces), 100)]))
         ends = np.cumsum(np.fromiter((len(x.encode()) + 1 for x in pieces), np.int64, len(pieces)))
         at = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
         return ids, np.diff(at, prepend=0).astype(np.int32)
@@ -140,19 +149,21 @@ class Encoder:
     def step(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.number) > REMEMBER:
             self.forget()
-        counts, pieces, heads = [], [], []
+        heads, rests = [], []
         for text in texts:
-            if _RUNS.search(text):
-                head, rest = text, []
-            else:
-                head, *rest = text.split(" ")
-                if rest and not rest[-1]:  # a space at the end
-                    head, rest = text, []
+            whole = text[-1:] == " " or _RUNS.search(text)
+            head, space, rest = (text, "", "") if whole else text.partition(" ")
             heads.append(head)
-            counts.append(len(rest))
-            pieces += rest
-        first = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)]
-        at = np.fromiter(map(self.number.__getitem__, pieces), np.int32, len(pieces))
+            rests.append(rest if space else None)
+        first = self.ids(heads)
+        # Arrow splits and tells pieces apart; only different ones become Python strings.
+        split = pa.compute.split_pattern(pa.array(rests, pa.large_string()), " ")
+        counts = pa.compute.list_value_length(split).fill_null(0).to_numpy()
+        pieces = split.flatten().dictionary_encode()
+        different = pieces.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.number.__getitem__, different), np.int32, len(different))
+        at = numbers[pieces.indices.to_numpy()]
+        del split, pieces, different
         self.learn()
         self.uses += np.bincount(at, minlength=len(self.uses)).astype(np.int32)
         ids, ends = gathered(self.flat, self.begin[at], self.size[at])

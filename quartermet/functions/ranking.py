@@ -16,7 +16,7 @@ ROW_BITS = 33
 
 def numbered(
     df: DataFrame, by: Sequence[str], order: Sequence[str], name: str, total: str | None = None,
-    many_groups: bool = False,
+    many_groups: bool = False, tasks: int | None = None,
 ) -> DataFrame:
     """``df`` with ``name``: 1, 2, … by ``order`` (NULL first) within each group of ``by``, and the group's ``total``.
 
@@ -29,10 +29,11 @@ def numbered(
 
     ``many_groups``: groups grow with the rows.  Their starts are then joined by
     shuffle: Spark would broadcast them for the size of the compressed file below.
+    ``tasks``: how many ranges the rows are dealt by, instead of Spark's setting.
     """
     spark, keys = df.sparkSession, [*by, *order]
     place = F.monotonically_increasing_id().alias("_place")
-    ranged = df.repartitionByRange(*keys) if keys else df
+    ranged = df.repartitionByRange(*([tasks] if tasks else []), *keys) if keys else df
     path = shared_folder(spark, "numbered")
     ranged.sortWithinPartitions(*keys).select("*", place).write.parquet(path)
     rows = spark.read.parquet(path).select(

@@ -26,31 +26,38 @@ FIELDS_TYPE = "map<string,struct<default:string,required:boolean,type:string>>"
 
 # ---------------------------------------------------------------- schemas
 
-def _new_definitions(existing: DataFrame | None, requests: DataFrame) -> DataFrame:
-    """First request of every definition the registry does not hold."""
+def _new_definitions(existing: DataFrame | None, requests: DataFrame, tasks: int | None = None) -> DataFrame:
+    """First request of every definition the registry does not hold.
+
+    With ``tasks`` each shuffle takes that many.  A definition asked for often is
+    then cut down in parts, dealt by request, before its first request is found.
+    """
     hashed = requests.withColumn("schema_hash", content_hash("fields"))
     kept = [c for c in hashed.columns if c not in ("schema_name", "schema_hash")]
     # Definitions are maps and cannot be compared: order by time and request only.
-    first = hashed.groupBy("schema_name", "schema_hash").agg(
-        F.min_by(F.struct(*kept), F.struct("created_at", "request_id")).alias("_first")
-    )
-    fresh = first.select("schema_name", "schema_hash", "_first.*")
+    key = ["schema_name", "schema_hash"]
+    first = F.min_by(F.struct(*kept), F.struct("created_at", "request_id")).alias("_first")
+    if tasks:
+        hashed = hashed.withColumn("_part", F.pmod(F.xxhash64("request_id"), F.lit(tasks)))
+        parts = hashed.repartition(tasks, *key, "_part").groupBy(*key, "_part").agg(first)
+        hashed = parts.select(*key, "_first.*").repartition(tasks, *key)
+    fresh = hashed.groupBy(*key).agg(first).select(*key, "_first.*")
     if existing is None:
         return fresh
     # A registry of many repeated definitions is a small file and a large table: never broadcast.
-    known = existing.select("schema_name", "schema_hash").hint("merge")
-    return fresh.join(known, ["schema_name", "schema_hash"], "left_anti")
+    return fresh.join(existing.select(*key).hint("merge"), key, "left_anti")
 
 
-def register_schemas(existing: DataFrame | None, requests: DataFrame) -> DataFrame:
+def register_schemas(existing: DataFrame | None, requests: DataFrame, tasks: int | None = None) -> DataFrame:
     """Registry rows to append for a batch of registrations.
 
     A definition already registered under its name keeps its version; others
     are numbered on from the highest one, in the order they were asked for.
-    Nothing is refused; see ``register_checked``.
+    Nothing is refused; see ``register_checked``.  ``tasks`` that grow with the
+    requests keep the memory of each the same.
     """
-    fresh = _new_definitions(existing, requests)
-    fresh = numbered(fresh, ["schema_name"], ["created_at", "request_id"], "_number", many_groups=True)
+    fresh = _new_definitions(existing, requests, tasks)
+    fresh = numbered(fresh, ["schema_name"], ["created_at", "request_id"], "_number", many_groups=True, tasks=tasks)
     number = F.col("_number")
     if existing is not None:
         top = existing.groupBy("schema_name").agg(F.max("version").alias("_top"))

@@ -86,7 +86,7 @@ view(
 def registry(spark, sf_dir):
     """The registry of all requests, as the stored table it is in use."""
     path = Layout(shared_folder(spark, "registry")).log("schemas")
-    made = catalog.register_schemas(None, views.schema_requests(spark, sf_dir))
+    made = catalog.register_schemas(None, views.schema_requests(spark, sf_dir), views.tasks_for(spark, sf_dir, "lineitem"))
     made.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -109,7 +109,7 @@ def deactivations(spark, sf_dir):
            created_by FROM registry""",
 )
 def schema_register(spark, sf_dir):
-    made = catalog.register_schemas(None, views.schema_requests(spark, sf_dir))
+    made = catalog.register_schemas(None, views.schema_requests(spark, sf_dir), views.tasks_for(spark, sf_dir, "lineitem"))
     return made.drop("fields", "is_active")
 
 
@@ -122,10 +122,11 @@ def schema_register_more(spark, sf_dir):
     """Registering later requests on top of the registry of the earlier ones."""
     requests = views.schema_requests(spark, sf_dir)
     later = F.col("created_at") >= F.lit("1999-01-01").cast("timestamp_ntz")
+    tasks = views.tasks_for(spark, sf_dir, "lineitem")
     path = Layout(shared_folder(spark, "registry")).log("schemas")
-    tables.append_log(catalog.register_schemas(None, requests.where(~later)), path)
+    tables.append_log(catalog.register_schemas(None, requests.where(~later), tasks), path)
     known = spark.read.parquet(path)
-    added = catalog.register_schemas(known, requests.where(later))
+    added = catalog.register_schemas(known, requests.where(later), tasks)
     return added.select("schema_name", "version", "schema_hash")
 
 
@@ -229,8 +230,9 @@ def schema_screen_requests(spark, sf_dir):
     """The first later request of each schema against its latest earlier version."""
     requests = views.schema_requests(spark, sf_dir)
     later = F.col("created_at") >= F.lit("1999-01-01").cast("timestamp_ntz")
+    tasks = views.tasks_for(spark, sf_dir, "lineitem")
     path = Layout(shared_folder(spark, "registry")).log("schemas")
-    tables.append_log(catalog.register_schemas(None, requests.where(~later)), path)
+    tables.append_log(catalog.register_schemas(None, requests.where(~later), tasks), path)
     rest = [c for c in requests.columns if c != "schema_name"]
     first = F.min_by(F.struct(*rest), F.struct("created_at", "request_id")).alias("r")
     asked = requests.where(later).groupBy("schema_name").agg(first).select("schema_name", "r.*")
@@ -305,8 +307,9 @@ def schema_register_checked_more(spark, sf_dir):
     """All later requests, judged on top of the registry of the earlier ones."""
     requests = views.schema_requests(spark, sf_dir)
     later = F.col("created_at") >= F.lit("1999-01-01").cast("timestamp_ntz")
+    tasks = views.tasks_for(spark, sf_dir, "lineitem")
     path = Layout(shared_folder(spark, "registry")).log("schemas")
-    tables.append_log(catalog.register_schemas(None, requests.where(~later)), path)
+    tables.append_log(catalog.register_schemas(None, requests.where(~later), tasks), path)
     return _written(catalog.register_checked(spark.read.parquet(path), requests.where(later)))
 
 

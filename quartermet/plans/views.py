@@ -288,7 +288,10 @@ def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schema_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema registrations: one per order, its lines being the fields."""
-    line = table(spark, sf_dir, "lineitem")
+    # Lines are shuffled once, by order: a task holds few orders however many there are.
+    read = ("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    tasks = tasks_for(spark, sf_dir, "lineitem")
+    line = table(spark, sf_dir, "lineitem").select(*read).where("l_orderkey IS NOT NULL").repartition(tasks, "l_orderkey")
     field = F.concat(F.lit("f"), (F.col("l_partkey") % 3).cast("string"))
     required = F.max(F.col("l_linestatus") == "O")
     fields = line.groupBy("l_orderkey", field.alias("field")).agg(
@@ -311,6 +314,7 @@ def schema_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("schema_"), F.floor(F.col("o_custkey") / 10).cast("string"))
     return (
         table(spark, sf_dir, "orders")
+        .repartition(tasks, "o_orderkey")
         .join(maps, F.col("o_orderkey") == F.col("l_orderkey"))
         .select(
             F.col("o_orderkey").alias("request_id"),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quartermet.model import GROUP
-from quartermet.operators import cleaning
+from quartermet.operators import catalog, cleaning
 from quartermet.plans import views
 from quartermet.sinks import tables
 from quartermet.sinks.files import read_listed, write_files
@@ -71,3 +71,23 @@ def test_tasks_commit_their_own_files(spark, tmp_path):
     tables.write_by_station(rows, path, mode="append", parallel_commit=True)
     assert (tmp_path / "t" / "STATIONS_ID=2" / "year=2023").is_dir()
     assert spark.read.parquet(path).count() == 6
+
+
+def test_schema_requests_are_dealt_over_growing_tasks(spark, tiny, monkeypatch):
+    lines = spark.read.parquet(f"{tiny}/lineitem.parquet").withColumns({"l_returnflag": F.lit("N"), "l_linestatus": F.lit("O")})
+    path = f"{tiny}/more"
+    lines.write.parquet(f"{path}/lineitem.parquet")
+    spark.range(600).selectExpr(
+        "id AS o_orderkey", "id % 40 AS o_custkey", "'x' AS o_orderpriority", "'O' AS o_orderstatus",
+        "TIMESTAMP_NTZ'1998-01-01' AS o_orderdate",
+    ).write.parquet(f"{path}/orders.parquet")
+    monkeypatch.setattr(views, "_TASKS", {})
+    monkeypatch.setattr(views, "TASK_BYTES", 1024)
+    tasks = views.tasks_for(spark, path, "lineitem")
+    requests = views.schema_requests(spark, path)
+    assert tasks > 3 and plan(requests).count(f", {tasks}), REPARTITION_BY_NUM") == 2
+
+    def rows(registry):
+        return sorted((r.schema_name, r.version, r.schema_hash) for r in registry.collect())
+
+    assert rows(catalog.register_schemas(None, requests, tasks)) == rows(catalog.register_schemas(None, requests))

@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int | None, length: int = LE
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, uid = encoder(tokenizer), TaskContext.get().partitionId() << 36
         end = np.array([] if end_id is None else [end_id], np.uint32)
-        for batch in small(batches):
+        for batch in small(batches, most=2 << 20):
             keys = batch.column("doc_id").to_pylist()
             texts = [t.decode() for t in batch.column("text").to_pylist()]
             rows: list[tuple] = []

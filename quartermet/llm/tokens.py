@@ -2,24 +2,109 @@
 
 from __future__ import annotations
 
-import re
+import os
 from collections.abc import Iterator
-from itertools import islice
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
-from .common import kept, steps
+from .common import kept, steps, trim
 
-#: A space before more white space: such texts go to the library whole.
-_RUNS = re.compile(r" \s")
 #: Pieces remembered by one worker; beyond, those used least are forgotten.
 REMEMBER = 450_000
 #: Characters of texts that are put together from pieces at once.
 STEP = 2_000_000
 #: Characters that the library gets at once.
 LIBRARY = 100_000
+#: Bytes of pieces that are joined for the library.
+JOINED = 8_000
+
+# ---------------------------------------------------------------- where texts are cut
+
+#: Kinds of bytes: part of a letter or digit, mark, space, other white space; neither white space nor surely
+#: one of the first two; maybe white space.
+_WORD, _MARK, _BLANK, _BREAK, _OTHER, _MAYBE = range(6)
+
+
+def _kinds() -> np.ndarray:
+    kinds = np.full(256, _OTHER, np.uint8)
+    for code in range(0x21, 0x7F):
+        kinds[code] = _WORD if chr(code).isalnum() else _MARK
+    kinds[[0x20, *b"\t\n\f\r"]] = [_BLANK, *[_BREAK] * 4]
+    # Vertical tab, the separators, and the first bytes of characters of which some are white space.
+    kinds[[0x0B, *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = _MAYBE
+    kinds[[*range(0xC3, 0xCA), 0xD0, 0xD1]] = _WORD  # U+00C0 to U+024F, U+0400 to U+047F
+    return kinds
+
+
+def _borders() -> np.ndarray:
+    """By the kinds of two neighbours (times 8): 1 a piece begins at the second, 2 it does if no white space follows."""
+    borders = np.zeros(64, np.uint8)
+    for white in (_BLANK, _BREAK):
+        for before in range(6):
+            borders[before * 8 + white] = 1 if before in (_WORD, _MARK, _OTHER) else 2
+    for after in (_WORD, _MARK, _OTHER):
+        borders[_BREAK * 8 + after] = 1
+    borders[[_WORD * 8 + _MARK, _MARK * 8 + _WORD]] = 1
+    return borders
+
+
+_KINDS, _BORDERS = _kinds(), _borders()
+_SOLID = np.isin(np.arange(8), (_WORD, _MARK, _OTHER))
+_LETTER_LEADS = np.isin(np.arange(256), (*range(0xC3, 0xCA), 0xD0, 0xD1))
+_WHITE_LEADS = np.isin(np.arange(256), (0xC2, 0xE1, 0xE2, 0xE3))
+_CONTRACTED = np.isin(np.arange(256), list(b"strvmld"))
+
+
+def kinds_of(blob: np.ndarray) -> np.ndarray:
+    """The kind of each byte of UTF-8."""
+    kinds = _KINDS[blob]
+    if len(blob) and blob.max() >= 0x80:
+        at = np.flatnonzero(_LETTER_LEADS[blob])
+        sign = (blob[at] == 0xC3) & (blob[at + 1] & 0xDF == 0x97)  # the signs of multiplication and division
+        kinds[at + 1] = np.where(sign, _OTHER, _WORD)
+        kinds[at[sign]] = _OTHER
+        at = np.flatnonzero(_WHITE_LEADS[blob])
+        a, b, c = blob[at], blob[at + 1], blob[np.minimum(at + 2, len(blob) - 1)]
+        white = (a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) | (a == 0xE3) & (b == 0x80) & (c == 0x80)
+        white |= (a == 0xE2) & ((b == 0x80) & ((c <= 0x8A) | (c >= 0xA8) & (c <= 0xAF)) | (b == 0x81) & (c == 0x9F))
+        kinds[at[~white]] = _OTHER
+        kinds[at[white] + 1] = _MAYBE
+        long = at[white & (a != 0xC2)]
+        kinds[long + 2] = _MAYBE
+    return kinds
+
+
+def cut(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of all texts and the place of the one that stands behind each text, which belongs to none.
+
+    Texts are cut where the pattern of byte-level vocabularies surely begins a
+    match: before a run of white space; before its last character, if the text goes on,
+    and behind it, unless it is a space; between marks and letters or digits, but not
+    behind an apostrophe that may contract.
+    """
+    joined = b"\0".join(texts) + b"\0"
+    blob = np.frombuffer(joined, np.uint8)
+    between = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
+    kinds = kinds_of(blob)
+    kinds[between] = _MAYBE  # nothing is known of what stands there: no text goes on
+    begins = np.zeros(len(blob) + 1, bool)
+    found = _BORDERS[kinds[:-1] << 3 | kinds[1:]]
+    begins[1:-1] = found == 1
+    # A border is never found at the last byte: that one stands behind a text.
+    last = np.flatnonzero(found == 2) + 1
+    begins[last] = _SOLID[kinds[last + 1]]
+    apostrophe = np.flatnonzero(blob[:-1] == 0x27) + 1
+    begins[apostrophe[_CONTRACTED[blob[apostrophe]]]] = False
+    begins[0] = True
+    begins[between] = begins[between + 1] = True
+    starts = np.flatnonzero(begins)
+    pieces = pa.Array.from_buffers(
+        pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(joined)]
+    )
+    return pieces, np.searchsorted(starts, between)
 
 
 def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -29,24 +114,18 @@ def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.
     return flat[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1], dtype=np.int32)], ends
 
 
-class _Numbers(dict):
-    """Numbers pieces in the order in which they are first asked for."""
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = number = len(self)
-        return number
-
 
 class Encoder:
     """Ids of texts as the tokenizers library gives them, special tokens left out.
 
-    Byte-level pair encoding never merges across the start of a word with its
-    leading space.  So texts are cut there, each different piece is encoded by
-    the library once, and its ids are reused.  Texts with runs of white space,
-    where this cut may be no boundary, are encoded whole.
+    Byte-level pair encoding never merges across the matches of its pattern.  So
+    texts are cut where one surely begins (``cut``), each different piece is encoded by
+    the library once, and its ids are reused.
     """
 
     def __init__(self, path: str):
+        # A task has one core; the library's threads would each hold memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -55,14 +134,14 @@ class Encoder:
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)
         # A byte-level token is written with one character for each byte.
-        sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int32)
         for token, number in self.tokenizer.get_vocab().items():
             sizes[number] = len(token)
         self.bytes = sizes
-        self.marks = {x: self.tokenizer.encode(x, add_special_tokens=False).ids for x in ".,"}
-        self.keep(_Numbers(), np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32))
+        self.keep({}, np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32))
+        trim()  # what reading the vocabulary took
 
-    def keep(self, number: _Numbers, flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+    def keep(self, number: dict[bytes, int], flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
         self.number, self.flat, self.begin, self.size = number, flat, begin, size
         self.uses = np.zeros(len(number), np.int32)
 
@@ -71,12 +150,9 @@ class Encoder:
         least = 2
         while (often := self.uses >= least).sum() > REMEMBER // 2:
             least *= 2
-        number = _Numbers()
-        for piece, yes in zip(self.number, often.tolist(), strict=True):
-            if yes:
-                number[piece] = len(number)
+        pieces = [piece for piece, yes in zip(self.number, often.tolist(), strict=True) if yes]
         flat, begin = gathered(self.flat, self.begin[often], self.size[often])
-        self.keep(number, flat, begin[:-1], self.size[often])
+        self.keep(dict(zip(pieces, range(len(pieces)), strict=True)), flat, begin[:-1], self.size[often])
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The library's ids of each text; it holds some 100 bytes for an id, so few texts at a time."""
@@ -86,56 +162,45 @@ class Encoder:
             found += [np.array(x.ids, np.uint32) for x in made]
         return found
 
-    def library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces, each after a space, and how many each has."""
-        if any(x[-1:].isspace() or not x for x in pieces):
-            each = self.ids([" " + x for x in pieces])
-            return np.concatenate(each), np.fromiter(map(len, each), np.int32, len(each))
-        ids = np.concatenate(self.ids([" " + " ".join(pieces[i : i + 100]) for i in range(0, len(pieces), 100)]))
-        ends = np.cumsum(np.fromiter((len(x.encode()) + 1 for x in pieces), np.int64, len(pieces)))
-        at = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
-        return ids, np.diff(at, prepend=0).astype(np.int32)
-
-    def learn(self) -> None:
-        """Encode the pieces numbered since the last time.
-
-        A word with a full stop or comma behind it has the word's ids and the mark's.
-        """
-        number, known = self.number, len(self.begin)
-        plain, marked = [], {".": ([], []), ",": ([], [])}  # of marked pieces: own and the word's number
-        for piece in list(islice(number, known, None)):
-            if piece[-1:] in self.marks and piece[-2:-1].isalpha():
-                mine, words = marked[piece[-1]]
-                mine.append(number[piece])
-                words.append(number[piece[:-1]])
-        composed = {x for mine, _ in marked.values() for x in mine}
-        at = [i for i in range(known, len(number)) if i not in composed]
-        plain = [x for i, x in enumerate(islice(number, known, None), known) if i not in composed]
-        more = len(number) - known
-        if not more:
-            return
-        self.begin = np.concatenate([self.begin, np.zeros(more, np.int32)])
-        self.size = np.concatenate([self.size, np.zeros(more, np.int32)])
-        self.uses = np.concatenate([self.uses, np.zeros(more, np.int32)])
-        if plain:
-            ids, size = self.library(plain)
-            self.add(np.array(at), ids, size)
-        for mark, (mine, words) in marked.items():
-            if mine:
-                end = self.marks[mark]
-                size = self.size[words] + np.int32(len(end))
-                begin = np.cumsum(size) - size
-                ids = np.empty(int(size.sum()), np.uint32)
-                got, cuts = gathered(self.flat, self.begin[words], self.size[words])
-                ids[np.arange(len(got)) + np.repeat(begin - cuts[:-1], self.size[words])] = got
-                for k, x in enumerate(end):
-                    ids[begin + self.size[words] + k] = x
-                self.add(np.array(mine), ids, size)
-
-    def add(self, at: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
-        self.begin[at] = len(self.flat) + np.cumsum(size) - size
-        self.size[at] = size
-        self.flat = np.concatenate([self.flat, ids])
+    def library(self, pieces: list[bytes], behind: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces and how many each has; ``behind`` (at most one byte) parts those that no space does."""
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + len(behind))
+        bounds = np.flatnonzero(np.diff(ends // min(JOINED, LIBRARY // 2), prepend=-1)).tolist() + [len(pieces)]
+        joined = [(behind.join(pieces[a:b]) + behind).decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        ids = np.concatenate(self.ids(joined))
+        at = np.searchsorted(np.cumsum(self.bytes[ids], dtype=np.int64), ends) + 1
+        size = np.diff(at, prepend=0).astype(np.int32)
+        return (np.delete(ids, at - 1), size - np.int32(1)) if behind else (ids, size)
+
+    def learn(self, pieces: np.ndarray) -> None:
+        """Encode pieces met for the first time."""
+        known, n = len(self.number), len(pieces)
+        self.number.update(zip(pieces.tolist(), range(known, known + n), strict=True))
+        lengths = np.fromiter(map(len, pieces), np.int64, n)
+        starts = np.cumsum(lengths) - lengths
+        kinds = kinds_of(np.frombuffer(b"".join(pieces), np.uint8))
+        spaced = (kinds[starts] == _BLANK) & (lengths > 1)
+        solid = _SOLID[kinds]
+        solid[starts[spaced]] = True
+        # Without white space, but for a space in front: such pieces can stand side by side.
+        plain = np.logical_and.reduceat(solid, starts)
+        begin, size = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        flat, total = [self.flat], len(self.flat)
+        for those, behind in ((plain & spaced, b""), (plain & ~spaced, b"\n"), (~plain, None)):
+            if not those.any():
+                continue
+            mine = pieces[those].tolist()
+            if behind is None:
+                each = self.ids([x.decode() for x in mine])
+                ids, sizes = np.concatenate(each), np.fromiter(map(len, each), np.int32, len(each))
+            else:
+                ids, sizes = self.library(mine, behind)
+            size[those], begin[those] = sizes, total + np.cumsum(sizes) - sizes
+            flat.append(ids)
+            total += len(ids)
+        self.flat = np.concatenate(flat)
+        self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
+        self.uses = np.concatenate([self.uses, np.zeros(n, np.int32)])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, as unsigned 32-bit integers."""
@@ -149,26 +214,24 @@ class Encoder:
     def step(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.number) > REMEMBER:
             self.forget()
-        heads, rests = [], []
-        for text in texts:
-            whole = text[-1:] == " " or _RUNS.search(text)
-            head, space, rest = (text, "", "") if whole else text.partition(" ")
-            heads.append(head)
-            rests.append(rest if space else None)
-        first = self.ids(heads)
-        # Arrow splits and tells pieces apart; only different ones become Python strings.
-        split = pa.compute.split_pattern(pa.array(rests, pa.large_string()), " ")
-        counts = pa.compute.list_value_length(split).fill_null(0).to_numpy()
-        pieces = split.flatten().dictionary_encode()
-        different = pieces.dictionary.to_pylist()
-        numbers = np.fromiter(map(self.number.__getitem__, different), np.int32, len(different))
+        # Arrow tells pieces apart; only different ones become Python objects.
+        pieces, between = cut([text.encode() for text in texts])
+        pieces = pieces.dictionary_encode()
+        different = pieces.dictionary.to_numpy(zero_copy_only=False)
+        numbers = np.fromiter(map(self.number.get, different, repeat(-1)), np.int32, len(different))
+        new = np.flatnonzero(numbers < 0)
+        numbers[new] = np.arange(len(self.number), len(self.number) + len(new))
         at = numbers[pieces.indices.to_numpy()]
-        del split, pieces, different
-        self.learn()
+        if len(new):
+            self.learn(different[new])
+        del pieces, different
         self.uses += np.bincount(at, minlength=len(self.uses)).astype(np.int32)
-        ids, ends = gathered(self.flat, self.begin[at], self.size[at])
-        cuts = ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
-        return [np.concatenate([x, ids[a:b]]) for x, a, b in zip(first, cuts[:-1], cuts[1:], strict=True)]
+        size = self.size[at]
+        size[between] = 0
+        ids, ends = gathered(self.flat, self.begin[at], size)
+        ends = ends[between]
+        trim()  # what this step took and let go, several times what is remembered
+        return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 def encoder(path: str) -> Encoder:

@@ -100,6 +100,40 @@ def test_library_gets_few_characters_at_once(monkeypatch):
     assert sum(x <= 50 for x in asked) >= 8
 
 
+def test_a_word_is_asked_once_whatever_marks_and_lines_follow(monkeypatch):
+    monkeypatch.setattr(tokens, "STEP", 1000)
+    enc, asked = tokens.Encoder(queries.tokenizer_path()), []
+
+    class Asked:
+        def encode_batch_fast(self, texts, real=enc.tokenizer, **how):
+            asked.append(sum(map(len, texts)))
+            return real.encode_batch_fast(texts, **how)
+
+    enc.tokenizer = Asked()
+    words = [f"w{chr(97 + i)}{chr(97 + k)}rdé" for i in range(10) for k in range(10)]
+    ends = ["", ".", ",", "$$$", ".\nNext", ")", "; -", "'s", " \n   x"]
+    texts = [f"Of {w}{e} on {w}{f}" for w in words for e, f in itertools.product(ends, ends)]
+    whole = tokens.Encoder(queries.tokenizer_path()).ids(texts)
+    assert [x.tolist() for x in enc.encode(texts)] == [x.tolist() for x in whole]
+    # 100 words of six characters and a space, and a few ends.
+    assert sum(asked) < 1000
+
+
+def test_cuts_never_part_what_the_library_matches():
+    white = ["\t", "\n", "\r", "\x0b", "\x0c", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u3000"]
+    others = [" ", "  ", "a", "12", ".", "'", "'s", "'ll", "é", "×", "²", "Ж", "中", "—", "\u0301", "\0", "😀", "<|endoftext|>"]
+    texts = ["".join(x) for n in (1, 2, 3) for x in itertools.product([*others, *white], repeat=n)]
+    enc = tokens.Encoder(queries.tokenizer_path())
+    assert [x.tolist() for x in enc.encode(texts)] == [x.tolist() for x in enc.ids(texts)]
+
+
+def test_memory_of_a_step_of_encoding_is_returned(monkeypatch):
+    monkeypatch.setattr(tokens, "STEP", 10)
+    enc, trimmed = tokens.Encoder(queries.tokenizer_path()), []
+    monkeypatch.setattr(tokens, "trim", lambda: trimmed.append(1))
+    assert len(list(enc.encode(["one text of many", "and another of them"]))) == len(trimmed) == 2
+
+
 def test_workers_return_memory_when_operators_change(monkeypatch):
     trimmed = []
     monkeypatch.setattr(common.ctypes, "CDLL", lambda _: SimpleNamespace(malloc_trim=trimmed.append))

@@ -30,6 +30,8 @@ from .tokens import encoder
 LIMIT = 18
 BLOCK = 1 << 16
 STRIDE = 128
+#: Bits that hold the length of a code.
+SIZE = 5
 #: Blocks that are decoded side by side.
 ABREAST = 8
 IDS = "part int, doc_id long, start long, n int, ids binary, counts binary"
@@ -89,45 +91,58 @@ class Code:
         used = np.flatnonzero(self.lengths)
         return used[np.argsort(self.lengths[used], kind="stable")]
 
-    def table(self) -> tuple[int, np.ndarray, np.ndarray]:
-        """Longest length; id and length for each run of that many bits."""
+    def entries(self) -> np.ndarray:
+        """For each id its code and, in the last ``SIZE`` bits, the code's length."""
+        return (self.codes() << np.uint64(SIZE) | self.lengths).astype(np.uint32)
+
+    def table(self) -> tuple[int, np.ndarray]:
+        """Longest length; for each run of that many bits the id, and in the last ``SIZE`` bits its code's length."""
         order = self.order()
         longest = int(self.lengths.max(initial=1))
         repeat = np.int64(1) << (longest - self.lengths[order].astype(np.int64))
-        ids, sizes = np.repeat(order, repeat), np.repeat(self.lengths[order], repeat)
-        rest = (1 << longest) - len(ids)
-        return (
-            longest,
-            np.pad(ids, (0, rest)).astype(np.uint32),
-            np.pad(sizes, (0, rest), constant_values=1).astype(np.int64),
-        )
-
-
-def pack_bits(codes: np.ndarray, sizes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The codes after each other; the bit offset of each."""
-    ends = np.cumsum(sizes)
-    at = ends - sizes
-    place = codes << (np.uint64(64) - sizes.astype(np.uint64) - (at & 31).astype(np.uint64))
-    word = at >> 5
+        entries = np.repeat(order << SIZE | self.lengths[order], repeat)
+        return longest, np.pad(entries, (0, (1 << longest) - len(entries)), constant_values=1).astype(np.uint32)
+
+
+def pack_bits(entries: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The codes of ``Code.entries`` after each other; the bit offset of every ``STRIDE``-th."""
+    mask = np.uint32((1 << SIZE) - 1)
+    if len(entries) % 2:
+        entries = np.append(entries, np.uint32(0))
+    # Two neighbours are laid down as one code, of at most 2 * LIMIT bits.
+    second = entries[1::2]
+    size = second & mask
+    code = (entries[::2] >> np.uint32(SIZE)).astype(np.uint64) << size.astype(np.uint64)
+    code |= second >> np.uint32(SIZE)
+    size += entries[::2] & mask
+    ends = np.cumsum(size, dtype=np.int64)
+    at = ends - size
+    word, end = at >> 6, (at & 63) + size
     first = np.flatnonzero(np.diff(word, prepend=-1))
-    words = np.zeros(int(ends[-1] >> 5) + 2, np.uint64)
-    words[word[first]] += np.add.reduceat(place >> np.uint64(32), first)
-    words[word[first] + 1] += np.add.reduceat(place & np.uint64(0xFFFFFFFF), first)
-    return words.astype(">u4").tobytes()[: int(ends[-1] + 7) // 8], at
+    # Shifts by 64 and more give 0, and so do negative ones, seen as unsigned.
+    place = (code << (64 - end).astype(np.uint64)) | (code >> (end - 64).astype(np.uint64))
+    words = np.zeros(int(ends[-1] >> 6) + 2, np.uint64)
+    words[word[first]] = np.bitwise_or.reduceat(place, first)
+    # Only the last code of a word can reach into the next.
+    last = np.append(first[1:], len(at)) - 1
+    words[word[last] + 1] |= np.where(end[last] > 64, code[last] << (128 - end[last]).astype(np.uint64), np.uint64(0))
+    return words.astype(">u8").tobytes()[: int(ends[-1] + 7) // 8], at[:: STRIDE // 2]
 
 
-def unpack_bits(payload: bytes, starts: np.ndarray, table: tuple[int, np.ndarray, np.ndarray]) -> np.ndarray:
+def unpack_bits(payload: bytes, starts: np.ndarray, table: tuple[int, np.ndarray]) -> np.ndarray:
     """``STRIDE`` ids from each bit offset on, as rows; all offsets advance together."""
-    longest, ids, sizes = table
+    longest, entries = table
     raw = np.frombuffer(payload + bytes(STRIDE * 4 + 8), np.uint8).astype(np.uint32)
     four = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
     out = np.empty((STRIDE, len(starts)), np.uint32)
-    at, mask = starts.astype(np.int64), np.uint32((1 << longest) - 1)
-    shift = 32 - longest
+    at, mask, shift = starts.astype(np.uint32), np.uint32((1 << SIZE) - 1), np.uint32(32 - longest)
     for i in range(STRIDE):
-        seen = (four[at >> 3] >> (shift - (at & 7)).astype(np.uint32)) & mask
-        out[i] = ids[seen]
-        at += sizes[seen]
+        seen = four[at >> 3]
+        seen <<= at & 7
+        seen >>= shift
+        out[i] = entries[seen]
+        at += out[i] & mask
+    out >>= np.uint32(SIZE)
     return np.ascontiguousarray(out.T)
 
 
@@ -135,7 +150,7 @@ def unpack_bits(payload: bytes, starts: np.ndarray, table: tuple[int, np.ndarray
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
-    """Ids of each document in ascending document id; ``start`` counts within ``part``.
+    """Ids of each document in ascending document id, of two or four bytes each; ``start`` counts within ``part``.
 
     Each part's last row is no document: it has how often each id occurs in the
     part, as little-endian 64-bit integers in ``counts``.  Ranges are cut by document id and then by text, so that equal ids spread too.
@@ -155,7 +170,8 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
             found = np.bincount(np.concatenate(ids))
             counts = np.pad(counts, (0, max(0, len(found) - len(counts))))
             counts[: len(found)] += found
-            made = [x.tobytes() for x in ids]
+            # Two bytes for an id where all of the batch fit.
+            made = [x.astype(np.uint16 if len(found) <= 1 << 16 else np.uint32).tobytes() for x in ids]
             yield batch_of(IDS, [[part] * n, batch.column("doc_id").to_pylist(), starts, sizes, made, [None] * n])
         if total:
             yield batch_of(IDS, [[part], [None], [total], [0], [None], [counts.tobytes()]])
@@ -187,22 +203,23 @@ def encode_blocks(ids: DataFrame, lengths: np.ndarray, bases: dict[int, int]) ->
     code = Code(lengths)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, sizes = code.codes(), lengths.astype(np.int64)
+        entries = code.entries()
         held: list[tuple] = []  # part, doc_id, start of document, ids, first id
         count = 0
 
         def block() -> pa.RecordBatch:
             ids = np.concatenate([x[3] for x in held])
             at = np.cumsum([0, *(len(x[3]) for x in held[:-1])])
-            payload, offsets = pack_bits(codes[ids], sizes[ids])
+            payload, offsets = pack_bits(entries[ids])
             row = [held[0][0], held[0][4], len(ids), [x[1] for x in held], [x[2] for x in held], at, payload]
-            return batch_of(BLOCKS, [[x] for x in [*row, offsets[::STRIDE].astype(np.uint32).tobytes()]])
+            return batch_of(BLOCKS, [[x] for x in [*row, offsets.astype(np.uint32).tobytes()]])
 
         for batch in batches:
-            for part, key, start, cell in zip(
-                *(batch.column(i).to_pylist() for i in range(3)), batch.column(3), strict=True
+            for part, key, start, n, cell in zip(
+                *(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True
             ):
-                own = np.frombuffer(cell.as_buffer(), np.uint32)
+                raw = cell.as_buffer()
+                own = np.frombuffer(raw, np.uint16 if raw.size == 2 * n else np.uint32)
                 start += bases[part]
                 end = held[-1][4] + len(held[-1][3]) if held else start
                 if held and (held[0][0] != part or end != start or count + len(own) > BLOCK):
@@ -218,10 +235,10 @@ def encode_blocks(ids: DataFrame, lengths: np.ndarray, bases: dict[int, int]) ->
         if held:
             yield block()
 
-    return ids.where("counts IS NULL").select("part", "doc_id", "start", "ids").mapInArrow(encode, BLOCKS)
+    return ids.where("counts IS NULL").select("part", "doc_id", "start", "n", "ids").mapInArrow(encode, BLOCKS)
 
 
-_tables: dict[bytes, tuple[int, np.ndarray, np.ndarray]] = {}
+_tables: dict[bytes, tuple[int, np.ndarray]] = {}
 
 
 def decode_blocks(blocks: DataFrame, lengths: np.ndarray) -> DataFrame:

@@ -4,22 +4,21 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
-from .common import kept, steps, trim
+from .common import _VALUES, kept, mix, steps, trim
 
 #: Pieces remembered by one worker; beyond, those used least are forgotten.
-REMEMBER = 450_000
+REMEMBER = 800_000
 #: Characters of texts that are put together from pieces at once.
 STEP = 2_000_000
 #: Characters that the library gets at once.
 LIBRARY = 100_000
 #: Bytes of pieces that are joined for the library.
-JOINED = 8_000
+JOINED = 600
 
 # ---------------------------------------------------------------- where texts are cut
 
@@ -55,6 +54,7 @@ _KINDS, _BORDERS = _kinds(), _borders()
 _SOLID = np.isin(np.arange(8), (_WORD, _MARK, _OTHER))
 _LETTER_LEADS = np.isin(np.arange(256), (*range(0xC3, 0xCA), 0xD0, 0xD1))
 _WHITE_LEADS = np.isin(np.arange(256), (0xC2, 0xE1, 0xE2, 0xE3))
+_FACTORS = np.random.default_rng(64).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 _CONTRACTED = np.isin(np.arange(256), list(b"strvmld"))
 
 
@@ -114,6 +114,12 @@ def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.
     return flat[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1], dtype=np.int32)], ends
 
 
+def fingerprints(blob: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each piece of ``blob``, none empty; beyond ``len(_FACTORS)`` bytes order no longer counts."""
+    place = np.arange(len(blob), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
+    factors = _FACTORS[np.minimum(place, len(_FACTORS) - 1)]
+    return mix(np.add.reduceat(_VALUES[False][blob] * factors, starts) + lengths.astype(np.uint64))
+
 
 class Encoder:
     """Ids of texts as the tokenizers library gives them, special tokens left out.
@@ -138,21 +144,59 @@ class Encoder:
         for token, number in self.tokenizer.get_vocab().items():
             sizes[number] = len(token)
         self.bytes = sizes
-        self.keep({}, np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32))
+        #: Hashes of the pieces in ascending order, and the pieces' numbers.
+        self.hashes, self.order = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.keep(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int32))
         trim()  # what reading the vocabulary took
 
-    def keep(self, number: dict[bytes, int], flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
-        self.number, self.flat, self.begin, self.size = number, flat, begin, size
-        self.uses = np.zeros(len(number), np.int32)
+    def keep(self, blob: np.ndarray, lengths: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+        """Remember these pieces alone: their bytes and ids, each laid after each other."""
+        self.blob, self.lengths, self.start = blob, lengths, np.cumsum(lengths) - lengths
+        self.flat, self.size, self.begin = flat, size, (np.cumsum(size) - size).astype(np.int32)
+        self.uses = np.zeros(len(size), np.int32)
 
     def forget(self) -> None:
         """Keep the pieces used most, at most half of ``REMEMBER``."""
         least = 2
         while (often := self.uses >= least).sum() > REMEMBER // 2:
             least *= 2
-        pieces = [piece for piece, yes in zip(self.number, often.tolist(), strict=True) if yes]
-        flat, begin = gathered(self.flat, self.begin[often], self.size[often])
-        self.keep(dict(zip(pieces, range(len(pieces)), strict=True)), flat, begin[:-1], self.size[often])
+        kept_before = often[self.order]
+        self.hashes = self.hashes[kept_before]
+        self.order = (np.cumsum(often) - 1)[self.order[kept_before]].astype(np.int32)
+        blob, _ = gathered(self.blob, self.start[often], self.lengths[often])
+        flat, _ = gathered(self.flat, self.begin[often], self.size[often])
+        self.keep(blob, self.lengths[often], flat, self.size[often])
+
+    def numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The number of each of different pieces; those met for the first time are encoded."""
+        bounds = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+        blob = np.frombuffer(pieces.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+        starts, lengths = bounds[:-1] - bounds[0], np.diff(bounds)
+        hashes = fingerprints(blob, starts, lengths)
+        rank = np.argsort(hashes)
+        hashes, starts, lengths = hashes[rank], starts[rank], lengths[rank]
+        place = np.searchsorted(self.hashes, hashes)
+        found = np.full(len(pieces), -1, np.int32)
+        maybe = np.flatnonzero(np.append(self.hashes, 0)[place] == hashes)
+        maybe = maybe[place[maybe] < len(self.hashes)]
+        number = self.order[place[maybe]]
+        same = self.lengths[number] == lengths[maybe]
+        maybe, number = maybe[same], number[same]
+        if len(maybe):
+            # Equal hashes are not enough: the bytes decide.
+            here, ends = gathered(blob, starts[maybe], lengths[maybe])
+            there, _ = gathered(self.blob, self.start[number], lengths[maybe])
+            same = ~np.logical_or.reduceat(here != there, ends[:-1])
+            found[maybe[same]] = number[same]
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            found[new] = np.arange(len(self.size), len(self.size) + len(new))
+            self.hashes = np.insert(self.hashes, place[new], hashes[new])
+            self.order = np.insert(self.order, place[new], found[new])
+            self.learn(gathered(blob, starts[new], lengths[new])[0], lengths[new])
+        out = np.empty_like(found)
+        out[rank] = found
+        return out
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The library's ids of each text; it holds some 100 bytes for an id, so few texts at a time."""
@@ -162,23 +206,20 @@ class Encoder:
             found += [np.array(x.ids, np.uint32) for x in made]
         return found
 
-    def library(self, pieces: list[bytes], behind: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces and how many each has; ``behind`` (at most one byte) parts those that no space does."""
-        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + len(behind))
-        bounds = np.flatnonzero(np.diff(ends // min(JOINED, LIBRARY // 2), prepend=-1)).tolist() + [len(pieces)]
-        joined = [(behind.join(pieces[a:b]) + behind).decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        ids = np.concatenate(self.ids(joined))
+    def library(self, blob: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces laid after each other, which the library parts by itself, and how many each has."""
+        ends = np.cumsum(lengths)
+        first = np.flatnonzero(np.diff(ends // min(JOINED, LIBRARY // 2), prepend=-1))
+        bounds = [*(ends - lengths)[first].tolist(), len(blob)]
+        raw = blob.tobytes()
+        ids = np.concatenate(self.ids([raw[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]))
         at = np.searchsorted(np.cumsum(self.bytes[ids], dtype=np.int64), ends) + 1
-        size = np.diff(at, prepend=0).astype(np.int32)
-        return (np.delete(ids, at - 1), size - np.int32(1)) if behind else (ids, size)
-
-    def learn(self, pieces: np.ndarray) -> None:
-        """Encode pieces met for the first time."""
-        known, n = len(self.number), len(pieces)
-        self.number.update(zip(pieces.tolist(), range(known, known + n), strict=True))
-        lengths = np.fromiter(map(len, pieces), np.int64, n)
-        starts = np.cumsum(lengths) - lengths
-        kinds = kinds_of(np.frombuffer(b"".join(pieces), np.uint8))
+        return ids, np.diff(at, prepend=0).astype(np.int32)
+
+    def learn(self, blob: np.ndarray, lengths: np.ndarray) -> None:
+        """Encode pieces met for the first time, laid after each other in ``blob``."""
+        n, starts = len(lengths), np.cumsum(lengths) - lengths
+        kinds = kinds_of(blob)
         spaced = (kinds[starts] == _BLANK) & (lengths > 1)
         solid = _SOLID[kinds]
         solid[starts[spaced]] = True
@@ -186,18 +227,24 @@ class Encoder:
         plain = np.logical_and.reduceat(solid, starts)
         begin, size = np.zeros(n, np.int32), np.zeros(n, np.int32)
         flat, total = [self.flat], len(self.flat)
-        for those, behind in ((plain & spaced, b""), (plain & ~spaced, b"\n"), (~plain, None)):
+        for those, how in ((plain & spaced, "side by side"), (plain & ~spaced, "by line"), (~plain, "alone")):
             if not those.any():
                 continue
-            mine = pieces[those].tolist()
-            if behind is None:
-                each = self.ids([x.decode() for x in mine])
+            mine, ends = gathered(blob, starts[those], lengths[those])
+            if how == "alone":
+                raw = mine.tobytes()
+                each = self.ids([raw[a:b].decode() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)])
                 ids, sizes = np.concatenate(each), np.fromiter(map(len, each), np.int32, len(each))
+            elif how == "by line":
+                ids, sizes = self.library(np.insert(mine, ends[1:], 0x0A), lengths[those] + 1)
+                ids, sizes = np.delete(ids, np.cumsum(sizes) - 1), sizes - np.int32(1)
             else:
-                ids, sizes = self.library(mine, behind)
+                ids, sizes = self.library(mine, lengths[those])
             size[those], begin[those] = sizes, total + np.cumsum(sizes) - sizes
             flat.append(ids)
             total += len(ids)
+        self.start = np.concatenate([self.start, len(self.blob) + starts])
+        self.blob, self.lengths = np.concatenate([self.blob, blob]), np.concatenate([self.lengths, lengths])
         self.flat = np.concatenate(flat)
         self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
         self.uses = np.concatenate([self.uses, np.zeros(n, np.int32)])
@@ -212,19 +259,13 @@ class Encoder:
                 start, size = i + 1, 0
 
     def step(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.number) > REMEMBER:
+        if len(self.size) > REMEMBER:
             self.forget()
-        # Arrow tells pieces apart; only different ones become Python objects.
+        # Arrow tells pieces apart; they never become Python objects.
         pieces, between = cut([text.encode() for text in texts])
         pieces = pieces.dictionary_encode()
-        different = pieces.dictionary.to_numpy(zero_copy_only=False)
-        numbers = np.fromiter(map(self.number.get, different, repeat(-1)), np.int32, len(different))
-        new = np.flatnonzero(numbers < 0)
-        numbers[new] = np.arange(len(self.number), len(self.number) + len(new))
-        at = numbers[pieces.indices.to_numpy()]
-        if len(new):
-            self.learn(different[new])
-        del pieces, different
+        at = self.numbers(pieces.dictionary)[pieces.indices.to_numpy()]
+        del pieces
         self.uses += np.bincount(at, minlength=len(self.uses)).astype(np.int32)
         size = self.size[at]
         size[between] = 0

@@ -127,6 +127,26 @@ def test_cuts_never_part_what_the_library_matches():
     assert [x.tolist() for x in enc.encode(texts)] == [x.tolist() for x in enc.ids(texts)]
 
 
+def test_pieces_of_equal_hash_are_told_apart_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "fingerprints", lambda blob, starts, lengths: lengths.astype(np.uint64) // 4)
+    monkeypatch.setattr(tokens, "STEP", 20)
+    monkeypatch.setattr(tokens, "REMEMBER", 60)
+    enc = tokens.Encoder(queries.tokenizer_path())
+    texts = [f"{a} {b}on, {a}{b}é\n{b}'s  {a}." for a in "abcd" for b in ("the", "of", "ing", "中")]
+    for _ in range(2):
+        assert [x.tolist() for x in enc.encode(texts)] == [library_ids(t) for t in texts]
+
+
+def test_known_pieces_are_found_again_after_some_are_forgotten(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBER", 40)
+    enc, asked = tokens.Encoder(queries.tokenizer_path()), []
+    often = "often met words are kept " * 3
+    list(enc.encode([often + " ".join(f"rare{chr(97 + i)}" for i in range(26)), often]))
+    enc.forget()
+    monkeypatch.setattr(enc, "ids", lambda texts: asked.append(texts))
+    assert [x.tolist() for x in enc.encode([often.strip()])] == [library_ids(often.strip())] and not asked
+
+
 def test_memory_of_a_step_of_encoding_is_returned(monkeypatch):
     monkeypatch.setattr(tokens, "STEP", 10)
     enc, trimmed = tokens.Encoder(queries.tokenizer_path()), []
@@ -158,6 +178,25 @@ def test_code_lengths_are_limited_and_optimal():
     assert int((lengths * np.array([1, 1, 2, 3, 5])).sum()) == best
 
 
+def test_ids_take_two_bytes_where_they_fit(spark, docs):
+    for end, width in ((0, 2), (65_535, 2), (65_536, 4)):
+        rows = huffman.token_ids(docs, queries.tokenizer_path(), end).where("counts IS NULL").collect()
+        assert len(rows) == len(DOCS) and {len(r.ids) / r.n for r in rows} == {width}
+
+
+def test_codes_of_any_length_and_number_are_read_back():
+    rng = np.random.default_rng(5)
+    for used, n in ((1, 1), (2, 127), (40, 1000), (300, 128), (50_000, 70_001)):
+        counts = (2.0 ** rng.uniform(0, 40, used)).astype(np.int64)
+        code = huffman.Code(huffman.code_lengths(counts))
+        ids = rng.integers(0, used, n)
+        payload, marks = huffman.pack_bits(code.entries()[ids])
+        bits = "".join(f"{code.codes()[i]:0{code.lengths[i]}b}" for i in ids.tolist())
+        assert payload == int(bits.ljust(-len(bits) % 8 + len(bits), "0"), 2).to_bytes(len(payload))
+        assert marks.tolist() == np.cumsum([0, *code.lengths[ids].tolist()])[:-1][:: huffman.STRIDE].tolist()
+        assert (huffman.unpack_bits(payload, marks, code.table()).reshape(-1)[:n] == ids).all()
+
+
 def test_token_files_round_trip(spark, docs, none, tmp_path, monkeypatch):
     monkeypatch.setattr(huffman, "BLOCK", 700)
     huffman.write_ids(docs, queries.tokenizer_path(), str(tmp_path / "f"))

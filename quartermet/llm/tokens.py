@@ -160,9 +160,9 @@ class Encoder:
         least = 2
         while (often := self.uses >= least).sum() > REMEMBER // 2:
             least *= 2
-        kept_before = often[self.order]
-        self.hashes = self.hashes[kept_before]
-        self.order = (np.cumsum(often) - 1)[self.order[kept_before]].astype(np.int32)
+        known = often[self.order]
+        self.hashes = self.hashes[known]
+        self.order = (np.cumsum(often) - 1)[self.order[known]].astype(np.int32)
         blob, _ = gathered(self.blob, self.start[often], self.lengths[often])
         flat, _ = gathered(self.flat, self.begin[often], self.size[often])
         self.keep(blob, self.lengths[often], flat, self.size[often])
@@ -170,14 +170,21 @@ class Encoder:
     def numbers(self, pieces: pa.Array) -> np.ndarray:
         """The number of each of different pieces; those met for the first time are encoded."""
         bounds = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
-        blob = np.frombuffer(pieces.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
-        starts, lengths = bounds[:-1] - bounds[0], np.diff(bounds)
+        blob = np.frombuffer(pieces.buffers()[2], np.uint8)
+        # A long text is taken whole, its pieces are not: working arrays take some 50 bytes for one.
+        first = [*np.flatnonzero(np.diff(bounds[1:] // STEP, prepend=-1)).tolist(), len(pieces)]
+        found = [self.numbers_of(blob[bounds[a] : bounds[b]], np.diff(bounds[a : b + 1])) for a, b in zip(first[:-1], first[1:], strict=True)]
+        return np.concatenate(found)
+
+    def numbers_of(self, blob: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """``numbers`` of pieces laid after each other."""
+        starts = np.cumsum(lengths) - lengths
         hashes = fingerprints(blob, starts, lengths)
         rank = np.argsort(hashes)
         hashes, starts, lengths = hashes[rank], starts[rank], lengths[rank]
         place = np.searchsorted(self.hashes, hashes)
-        found = np.full(len(pieces), -1, np.int32)
-        maybe = np.flatnonzero(np.append(self.hashes, 0)[place] == hashes)
+        found = np.full(len(lengths), -1, np.int32)
+        maybe = np.flatnonzero(np.append(self.hashes, np.uint64(0))[place] == hashes)
         maybe = maybe[place[maybe] < len(self.hashes)]
         number = self.order[place[maybe]]
         same = self.lengths[number] == lengths[maybe]

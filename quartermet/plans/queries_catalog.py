@@ -763,8 +763,10 @@ def staged_statistics(spark, sf_dir):
     """Read-back check of a staged table laid out by station and year."""
     zone = Layout(shared_folder(spark, "staged"))
     rows = views.staged(spark, sf_dir, "moisture")
-    tables.write_by_station(rows, zone.staged("moisture"), mode="append", parallel_commit=True)
-    found = tables.table_statistics(spark.read.parquet(zone.staged("moisture")))
+    tables.write_by_station(rows, zone.staged("moisture"), mode="append", parallel_commit=True, rebalance=False)
+    read, tasks = (STATION, "timestamp"), views.tasks_for(spark, sf_dir, "lineitem")
+    stored = tables.read_by_station(spark, zone.staged("moisture"), rows.schema, tasks, read)
+    found = tables.table_statistics(stored, "_file", len(rows.columns))
     return found.select("total_rows", "min_timestamp", "max_timestamp", "distinct_stations")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _opened(folder: str) -> tuple[fs.FileSystem, str]:
+def opened(folder: str) -> tuple[fs.FileSystem, str]:
     # Hadoop writes local paths as file:/x, Arrow wants file:///x.
     return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", folder))
 
@@ -28,7 +28,7 @@ def write_files(files: DataFrame, folder: str, listed: str | None = None) -> dic
     """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, root = _opened(folder)
+        store, root = opened(folder)
         made = None
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
@@ -65,7 +65,7 @@ def read_listed(listed: DataFrame, folder: str, suffix: str = "") -> DataFrame:
     """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, root = _opened(folder)
+        store, root = opened(folder)
         paths: list[str] = []
         contents: list[bytes] = []
         held = 0

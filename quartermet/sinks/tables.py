@@ -12,18 +12,21 @@ table.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.counted import counted
 from ..model import STATION
 from ..operators.cleaning import add_version
 from ..session import shared_folder
+from .partitions import read_partitions, within_reach, write_partitions
 
 PARTITIONS = ("dataset_version", "year", "quarter")
+BY_STATION = (STATION, "year")
 ROW_BYTES = 100  # estimate for a staged row, as for the raw text it comes from
 MODES = ("overwrite", "append", "error", "replace")
 
@@ -36,6 +39,7 @@ def write_partitioned(
     target_file_mb: int = 128,
     also: tuple[Column, ...] = (),
     parallel_commit: bool = False,
+    rebalance: bool = True,
 ) -> dict[str, object]:
     """Write and return statistics, which are taken during the write.
 
@@ -46,7 +50,11 @@ def write_partitioned(
 
     ``parallel_commit`` has tasks move their files to their places as they end,
     instead of the driver all of them one after the other; it is for new tables
-    of many small partitions, as a run that fails leaves files.
+    of many small partitions, as a run that fails leaves files.  Such rows are
+    appended by ``write_partitions`` where Arrow knows the store and the types.
+
+    ``rebalance=False`` is for rows that come with each partition in one task, of
+    even size, as hours shuffled by station do: they are not shuffled again.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {MODES}")
@@ -55,9 +63,15 @@ def write_partitioned(
         raise ValueError(f"partition columns {absent} are not in the table")
     inner = [c for c in ("station_id", STATION, "timestamp") if c in df.columns and c not in partition_by]
     rows, wrote = counted(df, F.count(F.lit(1)).alias("rows_written"), *also)
-    rows = rows.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *inner)
+    if rebalance:
+        rows = rows.hint("rebalance", *partition_by)
+    rows = rows.sortWithinPartitions(*partition_by, *inner)
+    rows_per_file = target_file_mb * 1024 * 1024 // ROW_BYTES
+    if parallel_commit and mode == "append" and within_reach(path, df.schema, partition_by):
+        write_partitions(rows, path, partition_by, rows_per_file)
+        return {"path": path, "partition_by": list(partition_by), "mode": mode, **wrote()}
     writer = rows.write.partitionBy(*partition_by).option("compression", "snappy")
-    writer = writer.option("maxRecordsPerFile", target_file_mb * 1024 * 1024 // ROW_BYTES)
+    writer = writer.option("maxRecordsPerFile", rows_per_file)
     if parallel_commit:
         if mode == "overwrite":
             raise ValueError("partitions are replaced by the driver: parallel_commit needs another mode")
@@ -102,23 +116,37 @@ def merge_staged(df: DataFrame, path: str) -> None:
 
 def write_by_station(df: DataFrame, path: str, version: str | None = None, **options) -> dict[str, object]:
     """Staged rows laid out by station and year."""
-    return write_staged(df, path, version, partition_by=(STATION, "year"), **options)
+    return write_staged(df, path, version, partition_by=BY_STATION, **options)
+
+
+def read_by_station(
+    spark: SparkSession, path: str, schema: T.StructType, tasks: int, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of a table laid out by station and year, and the file of each as ``_file``.
+
+    It has a folder for each station and year: tasks list them and open their files, where Arrow knows the store.
+    """
+    if within_reach(path, schema, BY_STATION):
+        return read_partitions(spark, path, schema, BY_STATION, tasks, columns)
+    stored = spark.read.schema(schema).parquet(path)
+    return stored.select(*columns or schema.names, F.col("_metadata.file_path").alias("_file"))
 
 
-def table_statistics(df: DataFrame) -> DataFrame:
+def table_statistics(df: DataFrame, file: str = "_metadata.file_path", fields: int | None = None) -> DataFrame:
     """Read-back check of a written table: one row, one scan.
 
     Rows are first summed up by file and station, so that the distinct counts
-    work on few of them.
+    work on few of them.  ``file`` names the file of a row, ``fields`` is the
+    number of the table's columns if not all of them were read.
     """
     station = next((c for c in (STATION, "station_id") if c in df.columns), None)
     timed = "timestamp" in df.columns
     own = [F.count(F.lit(1)).alias("n")]
     if timed:
         own += [F.min("timestamp").alias("low"), F.max("timestamp").alias("high")]
-    keys = [F.col("_metadata.file_path").alias("_file")] + ([F.col(station).alias("_station")] if station else [])
+    keys = [F.col(file).alias("_file")] + ([F.col(station).alias("_station")] if station else [])
     summed = df.groupBy(*keys).agg(*own)
-    parts = [F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.lit(len(df.columns)).alias("schema_fields")]
+    parts = [F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.lit(fields or len(df.columns)).alias("schema_fields")]
     parts.append(F.countDistinct("_file").alias("files"))
     if timed:
         parts += [F.min("low").alias("min_timestamp"), F.max("high").alias("max_timestamp")]
